@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,7 @@ from placemetrics.llm.common import table
 #: Bytes of a piece beyond which the stepwise query runs.
 LONG = 256
 #: Pieces and cuts that a worker remembers, and rows of bytes that one query takes.
-CACHE, ROWS = 150_000, 600_000
+CACHE, ROWS = 400_000, 600_000
 #: Bytes of text that are laid out at a time.
 CHUNK = 4 << 20
 
@@ -77,7 +79,6 @@ class _Codec:
 
     def __init__(self, ranks_file: bytes, pattern: str):
         import duckdb
-        import numpy as np
         import pyarrow as pa
         import regex
 
@@ -116,7 +117,6 @@ class _Codec:
             self.con.unregister(name)
 
     def _learn_pieces(self, new: list[str]) -> None:
-        import numpy as np
         import pyarrow as pa
 
         raw = [w.encode() for w in new]
@@ -140,28 +140,45 @@ class _Codec:
                 ids, steps = found["id"].to_numpy(), found["step"][0].as_py()
             self.pieces[new[i]] = ids.astype("<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit integers."""
-        split = [self.pattern.findall(t) for t in texts]
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        new = {w for words in split for w in words if w not in self.pieces}
+    def _coded(self, pieces, known: dict, learn, ends: np.ndarray):
+        """Runs of pieces with each piece replaced by what is known of it; ``ends`` has the number of pieces up to each run's end."""
+        import pyarrow as pa
+
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(known) > CACHE:
+            known.clear()
+        new = [x for x in distinct if x not in known]
         if new:
-            self._learn_pieces(sorted(new))
-        known = self.pieces
-        return [b"".join([known[w] for w in words]) for words in split]
-
-    def decode(self, packed: list[bytes]) -> list[bytes]:
-        import numpy as np
-
-        if len(self.cuts) > CACHE:
-            self.cuts.clear()
-        split = []
-        for ids in packed:
-            starts = np.flatnonzero(self.opens[np.frombuffer(ids, dtype="<u4")]) * 4
-            edges = [0, *starts[starts > 0].tolist(), len(ids)]
-            split.append([ids[a:b] for a, b in zip(edges, edges[1:], strict=False)] if ids else [])
-        new = sorted({c for cuts in split for c in cuts if c not in self.cuts})
+            learn(new)
+        flat = pa.array([known[x] for x in distinct], pa.large_binary()).take(coded.indices)
+        offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+        at = np.concatenate(([offsets[0] if len(offsets) else 0], offsets[ends] if len(offsets) else ends)).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), flat.buffers()[2]])
+
+    def encode(self, texts: list[str]):
+        """The ids of each text, as little-endian unsigned 32-bit integers, in an Arrow array."""
+        import pyarrow as pa
+
+        split = [self.pattern.findall(t) for t in texts]
+        ends = np.cumsum([len(x) for x in split], dtype=np.int64)
+        return self._coded(pa.array(list(chain.from_iterable(split)), pa.large_string()), self.pieces, self._learn_pieces, ends)
+
+    def decode(self, packed):
+        """The bytes of each run of ids of an Arrow array."""
+        import pyarrow as pa
+
+        bounds, data = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1], packed.buffers()[2]
+        if not len(bounds) or bounds[0] == bounds[-1]:
+            return pa.array([b""] * len(packed), pa.large_binary())
+        first, last = int(bounds[0]) // 4, int(bounds[-1]) // 4
+        opens = np.flatnonzero(self.opens[np.frombuffer(data, "<u4")[first:last]]) + first
+        edges = np.sort(np.concatenate((opens * 4, bounds)), kind="stable")
+        edges = edges[np.concatenate(([True], edges[1:] != edges[:-1]))]
+        cuts = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), data])
+        return self._coded(cuts, self.cuts, self._learn_cuts, np.searchsorted(edges, bounds[1:]))
+
+    def _learn_cuts(self, new: list[bytes]) -> None:
         while new:
             lengths = np.array([len(c) // 4 for c in new])
             n = max(1, int(np.searchsorted(np.cumsum(lengths), ROWS, side="right")))
@@ -170,8 +187,6 @@ class _Codec:
             found = self._rows("cut_rows", {"piece": np.repeat(np.arange(n), lengths), "pos": np.arange(len(ids)), "id": ids}, _DECODE_SQL)
             for k, b in zip(found["piece"].to_pylist(), found["bytes"].to_pylist(), strict=True):
                 self.cuts[batch[k]] = b
-        known = self.cuts
-        return [b"".join([known[c] for c in cuts]) for cuts in split]
 
 
 _CODECS: dict[tuple[bytes, str], _Codec] = {}
@@ -212,17 +227,18 @@ def transcode(df: DataFrame, keep: list[str], ranks: bytes, pattern: str, source
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         codec = _codec(shared.value, pattern)
         for whole in batches:
             for batch in _pieces_of(whole, "__source", lambda v: len(v.as_buffer()) if v.is_valid else 0):
                 given = [v if v is not None else ("" if encode else b"") for v in batch.column("__source").to_pylist()]
                 out = [batch.column(i) for i in range(len(keep))]
-                ids = codec.encode(given) if encode else given
+                ids = codec.encode(given) if encode else pa.array(given, pa.large_binary())
                 if encode:
-                    out += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                    out += [pc.divide(pc.binary_length(ids), 4), ids.cast(pa.binary())]
                 if decode:
-                    out.append(pa.array(codec.decode(ids), pa.binary()))
+                    out.append(codec.decode(ids).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     return rows.mapInArrow(run, schema)
