@@ -3,8 +3,9 @@
 A document is its run of words: lower-cased, ASCII characters other than letters and digits separating. Its k-mers are the
 runs of five words, each labelled with its occurrence number. Each of ``BANDS`` hash functions samples the ``SAMPLED``
 k-mers of least hash and keeps their order in the text: two documents fall into one bucket where they agree on both, which
-follows edit similarity. In a bucket every document is compared with the smallest one; those that do not belong with it
-are put into smaller buckets, which also agree with the next band, and compared there. A pair is a link if
+follows edit similarity. In a bucket every document is compared with the smallest one. Then, round by round, each smaller
+bucket, which also agrees with the next band, that still holds several classes draws a new center for the documents of
+other classes, until ``QUIET`` rounds find no link. A pair is a link if
 
 * the k-mers they share are 0.8 or more of all their k-mers, occurrences counted, and
 * aligned word by word inside a band as wide as the allowed edits, no more than a fifth of the longer one is edited.
@@ -30,6 +31,8 @@ from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
 K, SAMPLED, BANDS, SIMILARITY = 5, 2, 16, 0.8
+#: Rounds without a new link after which no more centers are tried.
+QUIET = 2
 #: Cells of the table of mismatches that an alignment may use; beyond it, one row is held at a time.
 CELLS = 4_000_000
 
@@ -277,14 +280,25 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     pairs = stored(_pairs(stars), "dedup-pairs")
     links, words = _verified(pairs, docs, None)
 
-    found = stored(components(links), "dedup-classes")
-    mine, theirs = found.select(F.col("node").alias("rep"), F.col("component").alias("own")), found.select(F.col("node").alias("center"), F.col("component").alias("other"))
-    apart = stars.filter("rep <> center").join(mine, "rep", "left").join(theirs, "center", "left").filter(F.coalesce("own", "rep") != F.coalesce("other", "center"))
-    smaller = _stars(apart.select("rep", "band", "bucket", "next"), ["band", "bucket", "next"])
-    more = stored(_pairs(smaller).join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
-    late, _ = _verified(more, docs, words)
-
-    united = components(links.unionByName(late))
+    united = stored(components(links), "dedup-classes")
+    within, quiet, turn = ["band", "bucket", "next"], 0, 0
+    while quiet < QUIET:
+        turn += 1
+        named = stars.select("rep", *within).join(united.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("own", F.coalesce("component", "rep"))
+        order = F.xxhash64("rep", *within, F.lit(turn))
+        mixed = named.groupBy(*within).agg(F.min_by(F.struct("rep", "own"), order).alias("c"), F.min("own").alias("low"), F.max("own").alias("high")).filter("low <> high")
+        apart = named.join(mixed.select(*within, F.col("c.rep").alias("center"), F.col("c.own").alias("other")), within).filter("own <> other")
+        new = apart.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
+        new = stored(new.join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
+        if new.isEmpty():
+            break
+        more, words = _verified(new, docs, words)
+        pairs = pairs.unionByName(new)
+        if more.isEmpty():
+            quiet += 1
+        else:
+            quiet, links = 0, links.unionByName(more)
+            united = stored(components(links), "dedup-classes")
     per = reps.select("m1", "m2", "rep").join(united.withColumnRenamed("node", "rep"), "rep", "left").select("m1", "m2", F.coalesce("component", "rep").alias("class_id"))
     out = marked.select("doc_id", "m1", "m2").join(per, ["m1", "m2"]).select("doc_id", "class_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull() & F.col("class_id").isNull())
