@@ -243,10 +243,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame | None) -> tup
     ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
     if known is not None:
         ids = ids.join(known.select("rep"), "rep", "left_anti")
-    words = _words_of(docs.join(ids, "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
+    # by sort-merge at every size: the ids follow the data, and a broadcast of them would not hold
+    words = _words_of(docs.join(ids.hint("merge"), "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
     words = stored(words, "dedup-words")
     words = words if known is None else words.unionByName(known)
-    both = pairs.join(words.select(F.col("rep").alias("a"), F.col("words").alias("x")), "a").join(words.select(F.col("rep").alias("b"), F.col("words").alias("y")), "b")
+    both = pairs.join(words.select(F.col("rep").alias("a"), F.col("words").alias("x")).hint("merge"), "a")
+    both = both.join(words.select(F.col("rep").alias("b"), F.col("words").alias("y")).hint("merge"), "b")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
