@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,28 +73,24 @@ def _grid(df: DataFrame, resolution: int) -> DataFrame:
     return rows.withColumn("q", F.explode(F.sequence(F.floor(x0 / wide - F.col("r") / 2) - 1, F.ceil(x1 / wide - F.col("r") / 2) + 1)))
 
 
-def _corners(resolution: int, grow: float = 1.001) -> list[tuple[Column, Column]]:
-    """Longitude and latitude of a cell's six corners, counter-clockwise, a little outside."""
-    import math
-
+def _touches(resolution: int, grow: float = 1.001) -> Column:
+    """Whether the segment (x1, y1)-(x2, y2) meets the cell (q, r), a little enlarged: clipped against its six half-planes in degrees."""
     s = cells.side(resolution)
+    at = [(grow * s * math.cos(a), grow * s * math.sin(a)) for a in (math.radians(30 + 60 * k) for k in range(6))]
+    sides = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip((*p, *q), ("ax", "ay", "bx", "by"), strict=True))) for p, q in zip(at, [*at[1:], at[0]], strict=True)))
     x, y = (F.col("q") + F.col("r") / 2) * (3.0**0.5 * s), F.col("r") * (1.5 * s)
-    at = [math.radians(30 + 60 * k) for k in range(6)]
-    return [(cells.corner_lon(x + grow * s * math.cos(a)), cells.corner_lat(y + grow * s * math.sin(a))) for a in at]
-
-
-def _touches(resolution: int) -> Column:
-    """Whether the segment (x1, y1)-(x2, y2) meets the cell (q, r): clipped against six half-planes in degrees."""
-    c, low, high, out = _corners(resolution), [F.lit(0.0)], [F.lit(1.0)], F.lit(False)
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    for (ax, ay), (bx, by) in zip(c, [*c[1:], c[0]], strict=True):
-        ex, ey = bx - ax, by - ay
+
+    def clip(acc: Column, c: Column) -> Column:
+        ax, ay = cells.corner_lon(x + c["ax"]), cells.corner_lat(y + c["ay"])
+        ex, ey = cells.corner_lon(x + c["bx"]) - ax, cells.corner_lat(y + c["by"]) - ay
         num, den = ex * (F.col("y1") - ay) - ey * (F.col("x1") - ax), ex * dy - ey * dx
         t = -num / F.nullif(den, F.lit(0.0))
-        low.append(F.when(den > 0, t).otherwise(F.lit(0.0)))
-        high.append(F.when(den < 0, t).otherwise(F.lit(1.0)))
-        out = out | ((den == 0) & (num < 0))
-    return ~out & (F.greatest(*low) <= F.least(*high))
+        low = F.when(den > 0, F.greatest(acc["low"], t)).when((den == 0) & (num < 0), F.lit(2.0)).otherwise(acc["low"])
+        return F.struct(low.alias("low"), F.when(den < 0, F.least(acc["high"], t)).otherwise(acc["high"]).alias("high"))
+
+    done = F.aggregate(sides, F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")), clip)
+    return done["low"] <= done["high"]
 
 
 def cover(edge: DataFrame, resolution: int, key: tuple[str, ...] = ("boundary_set", "boundary_id")) -> DataFrame:
