@@ -4,8 +4,8 @@ A document is its run of words: lower-cased, ASCII characters other than letters
 runs of five words, each labelled with its occurrence number. Each of ``BANDS`` hash functions samples the ``SAMPLED``
 k-mers of least hash and keeps their order in the text: two documents fall into one bucket where they agree on both, which
 follows edit similarity. In a bucket every document is compared with the smallest one. Then, round by round, each smaller
-bucket, which also agrees with the next band, that still holds several classes draws a new center for the documents of
-other classes, until ``QUIET`` rounds find no link. A pair is a link if
+bucket, which also agrees with the next band, that still holds several classes draws ``CENTERS`` new centers for
+the documents of other classes, until ``QUIET`` rounds find no link. A pair is a link if
 
 * the k-mers they share are 0.8 or more of all their k-mers, occurrences counted, and
 * aligned word by word inside a band as wide as the allowed edits, no more than a fifth of the longer one is edited.
@@ -31,8 +31,8 @@ from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
 K, SAMPLED, BANDS, SIMILARITY = 5, 2, 16, 0.8
-#: Rounds without a new link after which no more centers are tried.
-QUIET = 2
+#: Centers that a bucket with several classes draws in a round; rounds without a new link after which no more are tried.
+CENTERS, QUIET = 4, 1
 #: Cells of the table of mismatches that an alignment may use; beyond it, one row is held at a time.
 CELLS = 4_000_000
 
@@ -287,9 +287,10 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     while quiet < QUIET:
         turn += 1
         named = stars.select("rep", *within).join(united.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("own", F.coalesce("component", "rep"))
-        order = F.xxhash64("rep", *within, F.lit(turn))
-        mixed = named.groupBy(*within).agg(F.min_by(F.struct("rep", "own"), order).alias("c"), F.min("own").alias("low"), F.max("own").alias("high")).filter("low <> high")
-        apart = named.join(mixed.select(*within, F.col("c.rep").alias("center"), F.col("c.own").alias("other")), within).filter("own <> other")
+        drawn = F.array(*(F.min_by(F.struct("rep", "own"), F.xxhash64("rep", *within, F.lit(turn), F.lit(k))) for k in range(CENTERS)))
+        mixed = named.groupBy(*within).agg(drawn.alias("drawn"), F.min("own").alias("low"), F.max("own").alias("high")).filter("low <> high")
+        centers = mixed.select(*within, F.explode(F.array_distinct("drawn")).alias("c"))
+        apart = named.join(centers.select(*within, F.col("c.rep").alias("center"), F.col("c.own").alias("other")), within).filter("own <> other")
         new = apart.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
         if new.isEmpty():
