@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,11 +125,17 @@ def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "bou
     return hits.groupBy(*key).agg(F.min_by(F.struct("longitude", "latitude"), "k").alias("p")).select(*key, "p.longitude", "p.latitude")
 
 
-def bridge(edge: DataFrame, resolutions: tuple[int, ...] = (8, 10), key: tuple[str, ...] = ("boundary_set", "boundary_id")) -> DataFrame:
-    """boundary_set, boundary_id, resolution, h3_cell, is_interior, is_primary, is_allocation_cell."""
+def bridge(
+    edge: DataFrame, resolutions: tuple[int, ...] = (8, 10), key: tuple[str, ...] = ("boundary_set", "boundary_id"), keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+) -> DataFrame:
+    """boundary_set, boundary_id, resolution, h3_cell, is_interior, is_primary, is_allocation_cell.
+
+    ``keep`` may store the covering cells, which are read twice.
+    """
     out = None
     for resolution in resolutions:
         found = cover(edge, resolution, key).select(*key, cells.pack(F.col("q"), F.col("r"), resolution).alias("h3_cell"), "is_center", (F.col("is_center") & ~F.col("is_touched")).alias("is_interior"))
+        found = keep(found, f"cover-{resolution}")
         without = edge.select(*key).distinct().join(found.filter("is_center"), list(key), "left_anti")
         point = representative(edge.join(without, list(key), "left_semi"), key)
         tiny = point.select(*key, cells.cell(F.col("latitude"), F.col("longitude"), resolution).alias("h3_cell"), F.lit(True).alias("is_center"), F.lit(False).alias("is_interior"))

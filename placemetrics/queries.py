@@ -137,7 +137,7 @@ def _edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def _bridge(spark: SparkSession, sf: str) -> DataFrame:
     """The bridge is a derived table: written once, then joined as often as needed."""
-    return stored(polygons.bridge(_edges(spark, sf), (8,)), "bridge")
+    return stored(polygons.bridge(stored(_edges(spark, sf), "edges"), (8,), keep=stored), "bridge")
 
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
