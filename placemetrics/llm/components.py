@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        large = stored(large.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"), "links")
+        large = stored(large, "links")  # repeats go with the small stars
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         rest = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = rest.unionByName(low.select("a", F.col("m").alias("b")))

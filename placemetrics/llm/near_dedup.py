@@ -238,15 +238,8 @@ def _words_of(docs: DataFrame) -> DataFrame:
     return docs.select("rep", "text").mapInArrow(run, "rep long, words binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Links among pairs (a, b); and the words of the documents in them."""
-    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
-    if known is not None:
-        ids = ids.join(known.select("rep"), "rep", "left_anti")
-    # by sort-merge at every size: the ids follow the data, and a broadcast of them would not hold
-    words = _words_of(docs.join(ids.hint("merge"), "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
-    words = stored(words, "dedup-words")
-    words = words if known is None else words.unionByName(known)
+def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Links among pairs (a, b). Sort-merge at every size: the words follow the data, and a broadcast of them would not hold."""
     both = pairs.join(words.select(F.col("rep").alias("a"), F.col("words").alias("x")).hint("merge"), "a")
     both = both.join(words.select(F.col("rep").alias("b"), F.col("words").alias("y")).hint("merge"), "b")
 
@@ -257,7 +250,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame | None) -> tup
             keep = [_linked(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)) for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "dedup-links"), words
+    return stored(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "dedup-links")
 
 
 def _stars(members: DataFrame, on: list[str]) -> DataFrame:
@@ -280,7 +273,10 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     members = bands.select("rep", "band", "bucket", F.element_at("bands", (F.col("band") + 1) % BANDS + 1).alias("next"))
     stars = stored(_stars(members, ["band", "bucket"]), "dedup-buckets")
     pairs = stored(_pairs(stars), "dedup-pairs")
-    links, words = _verified(pairs, docs, None)
+    ids = stars.select("rep").groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
+    words = _words_of(docs.join(ids.hint("merge"), "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
+    words = stored(words, "dedup-words")
+    links = _verified(pairs, words)
 
     united = stored(components(links), "dedup-classes")
     within, quiet, turn = ["band", "bucket", "next"], 0, 0
@@ -295,7 +291,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         new = stored(new.join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
         if new.isEmpty():
             break
-        more, words = _verified(new, docs, words)
+        more = _verified(new, words)
         pairs = pairs.unionByName(new)
         if more.isEmpty():
             quiet += 1
