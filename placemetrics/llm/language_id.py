@@ -12,6 +12,7 @@ columns are ignored unless named in ``keep``.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,6 +158,8 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int = TRAIN_ROWS) -> Model:
     """Train on at most ``most`` of the rows that have a language, those with the lowest hash of text and language."""
+    import pyarrow as pa
+
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     n = rows.count()
     if not n:
@@ -164,7 +167,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int =
     draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
     rows = rows.withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.2 * most / n) * (1 << 30)))
     found = features(rows, ["lang", "draw"]).orderBy("draw", "lang").limit(most).toArrow()
-    return train([(k, np.asarray(b, np.int32), np.asarray(s, np.float32)) for k, b, s in zip(found["lang"].to_pylist(), found["buckets"].to_numpy(), found["shares"].to_numpy(), strict=True)])
+    names = found["lang"].to_pylist()
+    buckets, shares = (found[c].combine_chunks() for c in ("buckets", "shares"))
+    ends = np.asarray(buckets.offsets)
+    flat = np.array(buckets.values, np.int32), np.array(shares.values, np.float32)
+    del found, buckets, shares
+    gc.collect()
+    pa.default_memory_pool().release_unused()  # the driver keeps one copy of the sample, and that only while it trains
+    return train([(k, flat[0][a:b], flat[1][a:b]) for k, a, b in zip(names, ends[:-1], ends[1:], strict=True)])
 
 
 def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
