@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -15,7 +16,9 @@ def plain(df: pd.DataFrame) -> list:
     def one(v):
         if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return None
-        return f"{float(v):.6f}" if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+        if isinstance(v, (bool, np.bool_)):
+            return str(bool(v))
+        return f"{float(v):.6f}" if isinstance(v, (int, float, np.number)) else str(v).removesuffix(" 00:00:00")
 
     return sorted((tuple(one(v) for v in row) for row in df[sorted(df.columns)].astype(object).values.tolist()), key=repr)
 
