@@ -145,7 +145,7 @@ def test_base_spans_of_personal_data():
 def test_terms_that_give_an_entity_away(spark):
     filler = ["river stone window", "garden paper silver", "forest market music", "letter summer winter"]
     given = [(i, f"{filler[i % 4]} number {i} write to zanzibarson at zan@example.com about {filler[(i + 1) % 4]}") for i in range(4)]
-    given += [(i, f"{filler[i % 4]} write to someone about {filler[(i + 2) % 4]} and {i}") for i in range(4, 600)]
+    given += [(i, f"{filler[i % 4]} number {i} write to someone at home about {filler[(i + 2) % 4]}") for i in range(4, 600)]
     given += [(600, "an old note of Zanzibarson without address"), (601, given[0][1])]
     df = spark.createDataFrame(given, "doc_id long, text string")
     found = {r.doc_id: r for r in pii.find(df).collect()}
