@@ -1,11 +1,15 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Every tree splits a bounded sample (``SAMPLE`` vectors of lowest hash) along random directions at the median, again and
-again, until a leaf stands for about ``LEAF`` vectors of the whole table. All vectors then go down every tree; one that
-falls within ``SPILL`` standard deviations of a cut goes to both sides. Vectors of one label that share a leaf are compared
-by cosine in double precision. A pair that meets in several leaves counts in the first of them only, so links are counted
-without listing pairs; each leaf gives its members' numbers of links and a link to the smallest member of their group
-there, and those are united. A leaf with more than ``ROWS`` vectors of a label is cut into blocks that meet two by two.
+Every tree splits a bounded sample (``SAMPLE`` vectors of lowest hash) along random directions, again and again, until a
+leaf stands for about ``LEAF`` vectors of the whole table. All vectors then go down the trees; one that falls within half
+the link distance of a cut goes to both sides. Two unit vectors whose cosine reaches the threshold are no further apart
+than that distance along any direction, so no cut parts a linked pair and each tree alone brings all of them together. Of
+``TRIES`` directions and all cuts a node takes those that leave the fewest pairs; where none leaves fewer than ``GAIN`` of
+them, as inside a dense group, the node stays a leaf. Of the trees, a label takes the one with the fewest pairs to compare.
+Vectors of one label that share a leaf are compared by cosine in double precision. A pair that meets in several leaves
+counts in the first of them only, so links are counted without listing pairs; each leaf gives its members' numbers of links
+and a link to the smallest member of their group there, and those are united. A leaf with more than ``ROWS`` vectors of a
+label is cut into blocks that meet two by two, so a group of any size is compared whole.
 
 Equal vectors of a label are compared once, with their number. A vector that is null, zero, or holds a null or non-finite
 component, or whose label or id is null, links with nothing and is its own component. Repeated rows count as vectors of
@@ -24,35 +28,62 @@ from pyspark.sql import types as T
 from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
-TREES, SPILL = 6, 0.1
+TREES = 6
 SAMPLE, LEAF, LEAST = 16384, 1024, 8
+#: Directions that a node tries, on so many of its sampled vectors at most; the share of pairs that a split may leave.
+TRIES, TRIED, GAIN = 8, 2048, 0.98
 ROWS = 512
 
 
 class Tree:
-    """Inner nodes by number: direction, cut, margin; children 2k+1 and 2k+2. Other numbers are leaves."""
+    """Inner nodes by number: direction, cut, children. Other numbers are leaves."""
 
-    def __init__(self, sample: np.ndarray, leaf: float, seed: int):
+    def __init__(self, sample: np.ndarray, leaf: float, margin: float, seed: int):
         rng = np.random.default_rng(seed)
         self.at: dict[int, int] = {}
-        directions, cuts, margins = [], [], []
-        todo = [(0, np.arange(len(sample)))]
+        self.margin = margin
+        directions, cuts, children = [], [], []
+        todo, nodes = [(0, np.arange(len(sample)))], 1
         while todo:
             node, rows = todo.pop()
-            direction = rng.normal(size=sample.shape[1])
             if len(rows) <= leaf:
                 continue
+            found = self._split(sample[rng.choice(rows, TRIED, replace=False) if len(rows) > TRIED else rows], rng)
+            if found is None:
+                continue
+            direction, cut = found
             p = sample[rows] @ direction
-            cut = float(np.median(p))
-            left = p < cut
-            if left.all() or not left.any():
+            left, right = p < cut + margin, p >= cut - margin
+            if left.all() or right.all():
                 continue
             self.at[node] = len(cuts)
             directions.append(direction)
             cuts.append(cut)
-            margins.append(SPILL * float(p.std()))
-            todo += [(2 * node + 1, rows[left]), (2 * node + 2, rows[~left])]
-        self.directions, self.cuts, self.margins = np.array(directions).reshape(len(cuts), sample.shape[1]), np.array(cuts), np.array(margins)
+            children.append((nodes, nodes + 1))
+            todo += [(nodes, rows[left]), (nodes + 1, rows[right])]
+            nodes += 2
+        self.directions, self.cuts, self.children = np.array(directions).reshape(len(cuts), sample.shape[1]), np.array(cuts), children
+
+    def _split(self, few: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float] | None:
+        """The direction and cut that leave the fewest pairs: random ones, and ones from one vector to another."""
+        n, best, least = len(few), None, GAIN
+        for k in range(TRIES):
+            i, j = rng.integers(n, size=2)
+            direction = few[i] - few[j] if k % 4 else rng.normal(size=few.shape[1])
+            norm = np.linalg.norm(direction)
+            if norm == 0:
+                continue
+            direction = direction / norm
+            p = np.sort(few @ direction)
+            cuts = (p[1:] + p[:-1]) / 2
+            if not len(cuts):
+                continue
+            left, right = np.searchsorted(p, cuts + self.margin) / n, 1 - np.searchsorted(p, cuts - self.margin) / n
+            cost = left**2 + right**2
+            at = int(cost.argmin())
+            if cost[at] < least:
+                best, least = (direction, float(cuts[at])), float(cost[at])
+        return best
 
     def leaves(self, unit: np.ndarray) -> list[list[int]]:
         """For each vector the leaves that it falls into."""
@@ -66,7 +97,7 @@ class Tree:
                     found[i].append(node)
                 continue
             p = unit[rows] @ self.directions[k]
-            for child, side in ((2 * node + 1, p < self.cuts[k] + self.margins[k]), (2 * node + 2, p >= self.cuts[k] - self.margins[k])):
+            for child, side in zip(self.children[k], (p < self.cuts[k] + self.margin, p >= self.cuts[k] - self.margin), strict=True):
                 if side.any():
                     todo.append((child, rows[side]))
         return found
@@ -80,8 +111,9 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def grow(rows: DataFrame, n: int, length: int, trees: int = TREES) -> list[Tree]:
+def grow(rows: DataFrame, n: int, length: int, threshold: float, trees: int = TREES) -> list[Tree]:
     """Trees for vectors of one length, from a sample of at most SAMPLE rows."""
+    margin = float(np.sqrt(max(0.0, 2 - 2 * threshold))) / 2 + 1e-6  # more than rounding can add to a distance
     draw = F.pmod(F.xxhash64("vector", F.lit("sample")), F.lit(1 << 30))
     few = rows.filter(F.size("vector") == length).withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.2 * SAMPLE / max(n, 1)) * (1 << 30)))
     few = few.orderBy("draw", "rep").limit(SAMPLE).select("vector").toArrow()
@@ -89,18 +121,16 @@ def grow(rows: DataFrame, n: int, length: int, trees: int = TREES) -> list[Tree]
         return []
     sample = _unit(_matrix(few["vector"]))
     leaf = max(LEAST, LEAF * len(sample) / max(n, 1))
-    return [Tree(sample, leaf, seed) for seed in range(trees)]
+    return [Tree(sample, leaf, margin, seed) for seed in range(trees)]
 
 
-def _shared_first(leaves: list[np.ndarray], tree: int, leaf: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether this tree's leaf is the first in which the pairs (i, j) meet."""
+def _shared_first(leaves: np.ndarray, leaf: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether this leaf is the first in which the pairs (i, j) meet."""
     first = np.ones(len(i), dtype=bool)
-    for t in range(tree + 1):
-        a, b = leaves[t][i], leaves[t][j]
-        for x in range(a.shape[1]):
-            for y in range(b.shape[1]):
-                same = (a[:, x] == b[:, y]) & (a[:, x] >= 0)
-                first &= ~(same & (a[:, x] < leaf) if t == tree else same)
+    a, b = leaves[i], leaves[j]
+    for x in range(a.shape[1]):
+        for y in range(b.shape[1]):
+            first &= ~((a[:, x] == b[:, y]) & (a[:, x] >= 0) & (a[:, x] < leaf))
     return first
 
 
@@ -108,14 +138,12 @@ def _compare(key: tuple, t, threshold: float):
     """One leaf, or two blocks of it: rep, links, root."""
     import pyarrow as pa
 
-    _, tree, leaf, first_block, second_block = (x.as_py() for x in key)
+    _, leaf, first_block, second_block = (x.as_py() for x in key)
     ids, weight, block = t["rep"].to_numpy(), t["copies"].to_numpy(), t["block"].to_numpy()
-    lists = t["leaves"].to_pylist()
-    padded = []
-    for k in range(tree + 1):
-        own = [x[k] for x in lists]
-        width = max(map(len, own))
-        padded.append(np.array([x + [-1] * (width - len(x)) for x in own], dtype=np.int64))
+    # only leaves before this one matter
+    lists = [[y for y in x if y < leaf] for x in t["leaves"].to_pylist()]
+    width = max(map(len, lists))
+    padded = np.array([x + [-1] * (width - len(x)) for x in lists], dtype=np.int64).reshape(len(lists), width)
     links, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
 
     def find(x: int) -> int:
@@ -138,7 +166,7 @@ def _compare(key: tuple, t, threshold: float):
             if first_block != second_block:
                 use &= block[i] != block[j]
             i, j = i[use], j[use]
-            new = _shared_first(padded, tree, leaf, i, j)
+            new = _shared_first(padded, leaf, i, j)
             i, j = i[new], j[new]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
@@ -163,7 +191,7 @@ def link(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: st
     groups = good.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
     groups = stored(groups, "vectors")
     counts = groups.groupBy(F.size("vector").alias("length")).count().collect()  # a row for each length that vectors have
-    forest = spark.sparkContext.broadcast({r["length"]: grow(groups, r["count"], r["length"], trees) for r in counts})  # SAMPLE bounds a tree
+    forest = spark.sparkContext.broadcast({r["length"]: grow(groups, r["count"], r["length"], threshold, trees) for r in counts})  # SAMPLE bounds a tree
 
     schema = T.StructType([*groups.schema.fields, T.StructField("leaves", T.ArrayType(T.ArrayType(T.LongType())))])
 
@@ -181,15 +209,21 @@ def link(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: st
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.list_(pa.int64())))], names=schema.names)
 
     routed = groups.mapInArrow(route, schema)
-    met = routed.select("label", "rep", "copies", "vector", "leaves", F.posexplode("leaves").alias("tree", "own")).withColumn("leaf", F.explode("own")).drop("own")
-    met = stored(met, "leaves")
-    sizes = met.groupBy("label", "tree", "leaf").agg(F.count("*").alias("held")).filter(F.col("held") > 1)
-    sizes = sizes.withColumn("blocks", F.expr(f"cast((held + {ROWS - 1}) div {ROWS} as int)")).drop("held")
-    met = met.join(sizes, ["label", "tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    routed = stored(routed, "leaves")
+    every = routed.select("label", F.posexplode("leaves").alias("tree", "own")).withColumn("leaf", F.explode("own"))
+    held = every.groupBy("label", "tree", "leaf").agg(F.count("*").alias("held"))
+    held = stored(held, "leaf-sizes")
+    trees_of = held.groupBy("label", "tree").agg(F.sum(F.col("held").cast("double") * F.col("held")).alias("cost"))
+    taken = trees_of.groupBy("label").agg(F.min_by("tree", F.struct("cost", "tree")).alias("tree"))
+    sizes = held.join(taken, ["label", "tree"]).filter("held > 1")
+    sizes = sizes.select("label", "leaf", F.expr(f"cast((held + {ROWS - 1}) div {ROWS} as int)").alias("blocks"))
+    own = F.element_at("leaves", F.col("tree") + 1)
+    met = routed.join(taken, "label").select("label", "rep", "copies", "vector", own.alias("leaves")).withColumn("leaf", F.explode("leaves"))
+    met = met.join(sizes, ["label", "leaf"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
     # two blocks meet in one group; a block meets itself in a group of its own
-    met = met.select("label", "tree", "leaf", "first", "second", "rep", "copies", "vector", "leaves", "block")
-    found = met.groupBy("label", "tree", "leaf", "first", "second").applyInArrow(lambda k, t: _compare(k, t, threshold), "rep long, links long, root long")
+    met = met.select("label", "leaf", "first", "second", "rep", "copies", "vector", "leaves", "block")
+    found = met.groupBy("label", "leaf", "first", "second").applyInArrow(lambda k, t: _compare(k, t, threshold), "rep long, links long, root long")
     found = stored(found, "leaf-links")
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))

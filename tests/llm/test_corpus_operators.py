@@ -201,6 +201,17 @@ def test_embedding_groups_equal_brute_force(spark):
     assert embedding_dedup.link(df.limit(0)).count() == 0
 
 
+def test_no_link_of_a_large_dense_group_is_missed(spark):
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=64) + rng.normal(size=(6000, 64)) * rng.choice([0.05, 0.1, 0.13], size=(6000, 1))
+    m = np.concatenate((m, rng.normal(size=(500, 64))))
+    df = spark.createDataFrame([(i, v.tolist(), "one") for i, v in enumerate(m)], "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.link(df).collect()}
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.98).sum(axis=1) - 1 for i in range(0, len(m), 1000)])
+    assert want.sum() > 1_000_000 and [got[i] for i in range(len(m))] == want.tolist()
+
+
 def test_pipeline_stages_on_their_own_input(spark, small):
     docs = table(spark, small, "documents")
     kept = {}
