@@ -3,9 +3,9 @@
 A document is its run of words: lower-cased, ASCII characters other than letters and digits separating. Its k-mers are the
 runs of five words, each labelled with its occurrence number. Each of ``BANDS`` hash functions samples the ``SAMPLED``
 k-mers of least hash and keeps their order in the text: two documents fall into one bucket where they agree on both, which
-follows edit similarity. In a bucket every document is compared with the smallest one. Then, round by round, each smaller
-bucket, which also agrees with the next band, that still holds several classes draws ``CENTERS`` new centers for
-the documents of other classes, until ``QUIET`` rounds find no link. A pair is a link if
+follows edit similarity. In a bucket every document is compared with the smallest one. Then, in each bucket that still
+holds several classes, every two documents of different classes are compared whose lengths allow a link. A bucket is cut by
+length into cells, and a large cell into blocks that meet two by two. A pair is a link if
 
 * the k-mers they share are 0.8 or more of all their k-mers, occurrences counted, and
 * aligned word by word inside a band as wide as the allowed edits, no more than a fifth of the longer one is edited.
@@ -31,8 +31,10 @@ from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
 K, SAMPLED, BANDS, SIMILARITY = 5, 2, 16, 0.8
-#: Centers that a bucket with several classes draws in a round; rounds without a new link after which no more are tried.
-CENTERS, QUIET = 4, 1
+#: Documents, and words of them, in a block of a cell that still holds several classes; k-mers counted at a time there.
+ROWS, VOLUME, COLUMNS = 512, 1 << 19, 4096
+#: Documents of a link are in the same or in neighbouring steps of length.
+STEP = float(np.log(1 / SIMILARITY)) + 1e-6
 #: Cells of the table of mismatches that an alignment may use; beyond it, one row is held at a time.
 CELLS = 4_000_000
 
@@ -263,6 +265,85 @@ def _pairs(stars: DataFrame) -> DataFrame:
     return stars.filter("rep <> center").groupBy(F.col("center").alias("a"), F.col("rep").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
 
 
+def _shared_kmers(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many labelled k-mers each of one shares with each of two."""
+    flat = np.concatenate([*one, *two])
+    doc = np.repeat(np.arange(len(one) + len(two)), [len(x) for x in (*one, *two)])
+    _, column, held = np.unique(flat, return_inverse=True, return_counts=True)
+    common = held > 1
+    column, doc = (np.cumsum(common) - 1)[column[common[column]]], doc[common[column]]
+    order = np.argsort(column, kind="stable")
+    column, doc = column[order], doc[order]
+    both = np.zeros((len(one), len(two)), dtype=np.float64)
+    for start in range(0, int(common.sum()), COLUMNS):
+        low, high = np.searchsorted(column, (start, start + COLUMNS))
+        m = np.zeros((len(one) + len(two), COLUMNS), dtype=np.float32)
+        m[doc[low:high], column[low:high] - start] = 1
+        both += m[: len(one)] @ m[len(one) :].T
+    return both
+
+
+def _compare(key: tuple, t):
+    """Links that unite classes in one cell, or in two blocks of it. A pair counts in the first band on which it agrees."""
+    import pyarrow as pa
+
+    band, _, cell, first_block, second_block = (x.as_py() for x in key)
+    ids, own, level, block = (t[c].to_numpy() for c in ("rep", "own", "level", "block"))
+    found: list[tuple[int, int]] = []
+    x, y = np.flatnonzero(block == first_block), np.flatnonzero(block == second_block)
+    if len(x) and len(y) and len(np.unique(own)) > 1:
+        words = [np.frombuffer(w.as_buffer(), np.uint32) for w in t["words"]]
+        labelled = []
+        for w in words:
+            h = kmers(w)
+            labelled.append(_mix(h + _occurrences(h).astype(np.uint64) * _U(_BASE)))
+        n = np.array([len(h) for h in labelled])
+        both = _shared_kmers([labelled[i] for i in x], [labelled[j] for j in y])
+        share = both / (n[x, None] + n[y] - both)
+        use = (share >= SIMILARITY - 1e-9) & (own[x, None] != own[y]) & ((level[x, None] == cell) | (level[y] == cell))
+        if first_block == second_block:
+            use &= x[:, None] < y
+        i, j = np.nonzero(use)
+        i, j = x[i], y[j]
+        if band and len(i):
+            bands = np.array(t["bands"].to_pylist(), dtype=np.int64)[:, :band]
+            new = np.concatenate([~(bands[i[k : k + 65536]] == bands[j[k : k + 65536]]).any(axis=1) for k in range(0, len(i), 65536)])
+            i, j = i[new], j[new]
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                root[c] = root.get(root[c], root[c])
+                c = root[c]
+            return c
+
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            c, d = find(int(own[a])), find(int(own[b]))
+            if c != d and _linked(words[a], words[b]):
+                root[max(c, d)] = min(c, d)
+                found.append((int(ids[a]), int(ids[b])))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _across(stars: DataFrame, united: DataFrame, words: DataFrame) -> DataFrame:
+    """Links between different classes within buckets: all pairs that share a bucket and may be links by length."""
+    sizes = words.select("rep", F.expr(f"greatest(1, cast(length(words) div 4 as int) - {K - 1})").alias("n"))
+    named = sizes.join(united.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "n", F.coalesce("component", "rep").alias("own"))
+    named = named.withColumn("level", F.floor(F.log("n") / F.lit(STEP)).cast("int"))
+    cells = stars.select("rep", "band", "bucket").join(named, "rep").withColumn("cell", F.explode(F.array(F.col("level"), F.col("level") + 1)))
+    on = ["band", "bucket", "cell"]
+    mixed = cells.groupBy(*on).agg(F.min("own").alias("low"), F.max("own").alias("high"), F.max("level").alias("top"), F.count("*").alias("held"), F.sum("n").alias("volume"))
+    blocks = F.greatest(F.expr(f"(held + {ROWS - 1}) div {ROWS}"), F.expr(f"(volume + {VOLUME - 1}) div {VOLUME}")).cast("int")
+    mixed = mixed.filter("low <> high and top = cell").select(*on, blocks.alias("blocks"))
+    met = cells.join(mixed, on).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    met = stored(met.select(*on, "rep", "own", "level", "block", "blocks"), "dedup-mixed")
+    met = met.join(words.hint("merge"), "rep").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    # two blocks meet in one group; a block meets itself in a group of its own
+    met = met.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    met = met.select(*on, "first", "second", "rep", "own", "level", "block", "bands", "words")
+    return stored(met.groupBy(*on, "first", "second").applyInArrow(lambda k, t: _compare(k, t), "a long, b long"), "dedup-links")
+
+
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id, kept: one row a row of ``df``."""
     marked = stored(sketches(df, key, text), "dedup-sketches")
@@ -270,34 +351,17 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     reps = marked.groupBy("m1", "m2").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
     reps = stored(reps, "dedup-reps")
     bands = reps.filter("rep is not null and bands is not null").select("rep", "bands", F.posexplode("bands").alias("band", "bucket"))
-    members = bands.select("rep", "band", "bucket", F.element_at("bands", (F.col("band") + 1) % BANDS + 1).alias("next"))
-    stars = stored(_stars(members, ["band", "bucket"]), "dedup-buckets")
+    stars = stored(_stars(bands.select("rep", "band", "bucket"), ["band", "bucket"]), "dedup-buckets")
     pairs = stored(_pairs(stars), "dedup-pairs")
     ids = stars.select("rep").groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
     words = _words_of(docs.join(ids.hint("merge"), "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
-    words = stored(words, "dedup-words")
+    words = stored(words.join(reps.groupBy("rep").agg(F.max("bands").alias("bands")), "rep"), "dedup-words")
     links = _verified(pairs, words)
 
     united = stored(components(links), "dedup-classes")
-    within, quiet, turn = ["band", "bucket", "next"], 0, 0
-    while quiet < QUIET:
-        turn += 1
-        named = stars.select("rep", *within).join(united.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("own", F.coalesce("component", "rep"))
-        drawn = F.array(*(F.min_by(F.struct("rep", "own"), F.xxhash64("rep", *within, F.lit(turn), F.lit(k))) for k in range(CENTERS)))
-        mixed = named.groupBy(*within).agg(drawn.alias("drawn"), F.min("own").alias("low"), F.max("own").alias("high")).filter("low <> high")
-        centers = mixed.select(*within, F.explode(F.array_distinct("drawn")).alias("c"))
-        apart = named.join(centers.select(*within, F.col("c.rep").alias("center"), F.col("c.own").alias("other")), within).filter("own <> other")
-        new = apart.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
-        new = stored(new.join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
-        if new.isEmpty():
-            break
-        more = _verified(new, words)
-        pairs = pairs.unionByName(new)
-        if more.isEmpty():
-            quiet += 1
-        else:
-            quiet, links = 0, links.unionByName(more)
-            united = stored(components(links), "dedup-classes")
+    more = _across(stars, united, words)
+    if not more.isEmpty():
+        united = stored(components(links.unionByName(more)), "dedup-classes")
     per = reps.select("m1", "m2", "rep").join(united.withColumnRenamed("node", "rep"), "rep", "left").select("m1", "m2", F.coalesce("component", "rep").alias("class_id"))
     out = marked.select("doc_id", "m1", "m2").join(per, ["m1", "m2"]).select("doc_id", "class_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull() & F.col("class_id").isNull())

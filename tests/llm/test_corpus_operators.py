@@ -136,6 +136,15 @@ def test_near_copies_equal_brute_force(spark, small):
     assert got == brute_classes(texts)
 
 
+def test_near_copies_in_a_crowd_that_shares_a_passage(spark):
+    passage = " ".join(f"p{j}" for j in range(180))
+    texts = {i: passage + "".join(f" own{i}x{j}" for j in range(25)) for i in range(600)}  # similarity 0.78: not linked
+    texts |= {1000 + i: passage + "".join(f" own{i + 1000 * (j > 4)}x{j}" for j in range(25)) for i in range(100, 200)}  # 0.81 to document i
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(df).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i in texts}
+
+
 def test_near_copies_of_odd_rows(odd, none):
     got = near_dedup.classes(odd).collect()
     assert len(got) == odd.count()
