@@ -14,6 +14,9 @@ and stops after each 64 steps so that past steps do not pile up.
 from __future__ import annotations
 
 import base64
+import ctypes
+import os
+import tempfile
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,14 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placemetrics.llm.common import table
+from placemetrics.llm.common import slices, table
 
 #: Bytes of a piece beyond which the stepwise query runs.
 LONG = 256
-#: Pieces and cuts that a worker remembers, and rows of bytes that one query takes.
-CACHE, ROWS = 400_000, 600_000
+#: Pieces and cuts of a generation that a worker remembers, and rows of bytes that one query takes.
+CACHE, ROWS = 100_000, 200_000
 #: Bytes of text that are laid out at a time.
-CHUNK = 4 << 20
+CHUNK = 3 << 20
 
 _SHORT_SQL = """
 WITH RECURSIVE st(step, g, id) AS (
@@ -74,6 +77,23 @@ SELECT st.piece, pos, id, f.step FROM st JOIN (SELECT piece, max(step) AS step F
 _DECODE_SQL = "SELECT piece, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes FROM cut_rows JOIN vocab USING (id) GROUP BY piece"
 
 
+class _Known(dict):
+    """What a worker remembers: two generations, the older one dropped when the younger is full. What is used stays."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def missing(self, keys: list) -> list:
+        """Makes room, takes keys over from the older generation, and gives those that neither holds."""
+        if len(self) > CACHE:
+            self.older = dict(self)
+            self.clear()
+        new = [k for k in keys if k not in self]
+        self.update((k, self.older[k]) for k in new if k in self.older)
+        return [k for k in new if k not in self]
+
+
 class _Codec:
     """The merge table and vocabulary in DuckDB, with what this worker has encoded and decoded already."""
 
@@ -84,8 +104,7 @@ class _Codec:
 
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks_file.splitlines() if line)}
         self.pattern = regex.compile(pattern)
-        self.pieces: dict[str, bytes] = {}
-        self.cuts: dict[bytes, bytes] = {}
+        self.pieces, self.cuts = _Known(), _Known()
         self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int32)
         self.opens = np.zeros(max(ranks.values()) + 1, dtype=bool)
         splits = []
@@ -99,7 +118,9 @@ class _Codec:
         least = np.full(len(self.opens), np.iinfo(np.int64).max)  # of the tokens that have a token as a part
         np.minimum.at(least, left, rank)
         np.minimum.at(least, right, rank)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        spill = f"{tempfile.gettempdir()}/duckdb-{os.getpid()}"  # the task's own folder; used only by a piece beyond the limit
+        limits = {"threads": 1, "memory_limit": "256MB", "temp_directory": spill, "allocator_flush_threshold": "16MB"}
+        self.con = duckdb.connect(":memory:", config=limits)
         merges = pa.table({"pair": left * 16777216 + right, "rank": pa.array(rank, pa.int32()), "safe": least[rank] > rank})
         vocab = pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
         for name, rows in (("merges", merges), ("vocab", vocab)):
@@ -107,6 +128,16 @@ class _Codec:
             self.con.execute(f"CREATE TABLE {name} AS FROM loading")
             self.con.unregister("loading")
 
+    def rest(self) -> None:
+        """Gives back what texts have taken: other stages use the worker after this task."""
+        import pyarrow as pa
+
+        self.pieces, self.cuts = _Known(), _Known()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
     def _rows(self, name: str, columns: dict, sql: str):
         import pyarrow as pa
 
@@ -140,16 +171,13 @@ class _Codec:
                 ids, steps = found["id"].to_numpy(), found["step"][0].as_py()
             self.pieces[new[i]] = ids.astype("<u4").tobytes()
 
-    def _coded(self, pieces, known: dict, learn, ends: np.ndarray):
+    def _coded(self, pieces, known: _Known, learn, ends: np.ndarray):
         """Runs of pieces with each piece replaced by what is known of it; ``ends`` has the number of pieces up to each run's end."""
         import pyarrow as pa
 
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(known) > CACHE:
-            known.clear()
-        new = [x for x in distinct if x not in known]
-        if new:
+        if new := known.missing(distinct):
             learn(new)
         flat = pa.array([known[x] for x in distinct], pa.large_binary()).take(coded.indices)
         offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
@@ -203,18 +231,6 @@ def _codec(ranks_file: bytes, pattern: str) -> _Codec:
     return _CODECS[key]
 
 
-def _pieces_of(batch, column: str, measure) -> Iterator:
-    """Slices of an Arrow batch of about CHUNK bytes, one row at least."""
-    start, size, values = 0, 0, batch.column(column)
-    for i in range(batch.num_rows):
-        size += measure(values[i])
-        if size >= CHUNK:
-            yield batch.slice(start, i + 1 - start)
-            start, size = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def transcode(df: DataFrame, keep: list[str], ranks: bytes, pattern: str, source: str = "text", encode: bool = True, decode: bool = False) -> DataFrame:
     """``keep`` columns, then n_tokens and ids (packed little-endian unsigned 32-bit integers), then, on request, decoded (bytes).
 
@@ -231,7 +247,7 @@ def transcode(df: DataFrame, keep: list[str], ranks: bytes, pattern: str, source
 
         codec = _codec(shared.value, pattern)
         for whole in batches:
-            for batch in _pieces_of(whole, "__source", lambda v: len(v.as_buffer()) if v.is_valid else 0):
+            for batch in slices(whole, "__source", CHUNK):
                 given = [v if v is not None else ("" if encode else b"") for v in batch.column("__source").to_pylist()]
                 out = [batch.column(i) for i in range(len(keep))]
                 ids = codec.encode(given) if encode else pa.array(given, pa.large_binary())
@@ -240,6 +256,7 @@ def transcode(df: DataFrame, keep: list[str], ranks: bytes, pattern: str, source
                 if decode:
                     out.append(codec.decode(ids).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        codec.rest()
 
     return rows.mapInArrow(run, schema)
 

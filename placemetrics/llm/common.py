@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,3 +38,15 @@ def text_or_empty(col: str = "text") -> Column:
 def fold(key: str, modulus: int) -> Column:
     """crc32 of the key as text, modulo: the fold that the contracts use. A null key counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def slices(batch, column: str, most: int = 4 << 20) -> Iterator:
+    """Slices of an Arrow batch whose ``column`` holds about ``most`` bytes, one row at least: what a task makes of a batch stays small."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
+    for a, b in zip(starts[:-1], starts[1:], strict=True):
+        yield batch.slice(a, b - a)

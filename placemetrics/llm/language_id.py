@@ -2,7 +2,7 @@
 
 Subwords are the 2-, 3- and 4-byte windows of the lower-cased text with runs of other than letters made one space; each is
 hashed into ``BUCKETS``. A document is the mean of its subwords' embeddings. Embeddings and softmax are trained together by
-stochastic gradient descent in numpy on at most ``TRAIN_ROWS`` labelled rows, those of lowest hash; one in ``HELD`` of them
+stochastic gradient descent in numpy on at most ``TRAIN_ROWS`` different labelled texts, those of lowest hash; one in ``HELD`` of them
 is kept from training to set the temperature and the confidence below which a document is rejected.
 
 A text that is null or has no letter is ``und`` with score 0 and is rejected. Rows without a language teach nothing; with
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placemetrics.llm.common import fold, table
+from placemetrics.llm.common import fold, slices, table
 
 BUCKETS, DIM = 1 << 15, 16
 TRAIN_ROWS, HELD = 4000, 8
@@ -73,10 +73,10 @@ def features(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "__text")):
             rows, buckets, shares = [], [], []
-            for i, value in enumerate(batch.column("__text").to_pylist()):
-                raw = _letters(value or "")
+            for i, value in enumerate(batch.column("__text")):
+                raw = _letters(value.as_py() or "")
                 if raw:
                     counts = sum(np.bincount(_subwords(p), minlength=BUCKETS) for p in _parts(raw))
                     at = np.flatnonzero(counts)
@@ -161,11 +161,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int =
     import pyarrow as pa
 
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    n = rows.count()
+    rows = rows.withColumn("mark", F.xxhash64("text", "lang"))
+    n = rows.agg(F.approx_count_distinct("mark")).first()[0]
     if not n:
         return train([])
-    draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
-    rows = rows.withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.2 * most / n) * (1 << 30)))
+    rows = rows.withColumn("draw", F.pmod("mark", F.lit(1 << 30))).filter(F.col("draw") < int(min(1.0, 1.5 * most / n) * (1 << 30)))
+    rows = rows.groupBy("mark", "draw", "lang").agg(F.any_value("text").alias("text"))  # copies are one row of the sample
     found = features(rows, ["lang", "draw"]).orderBy("draw", "lang").limit(most).toArrow()
     names = found["lang"].to_pylist()
     buckets, shares = (found[c].combine_chunks() for c in ("buckets", "shares"))
@@ -183,18 +184,20 @@ def identify(df: DataFrame, model: Model, keep: list[str], text: str = "text") -
         [*df.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     )
     shared = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows, whatever the data
+    body = text if text in keep else "__text"  # a text goes to Python once
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         m = shared.value
-        for batch in batches:
-            found = [m.predict(t.as_py()) for t in batch.column("__text")]
-            names, scores, rejected = zip(*found, strict=True) if found else ((), (), ())
-            cols = [*(batch.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+        for whole in batches:
+            for batch in slices(whole, body):
+                found = [m.predict(t.as_py()) for t in batch.column(body)]
+                names, scores, rejected = zip(*found, strict=True) if found else ((), (), ())
+                cols = [*(batch.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+
+    return df.select(*keep, *([] if text in keep else [F.col(text).alias(body)])).mapInArrow(run, schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,19 +3,20 @@
 A document is its run of words: lower-cased, ASCII characters other than letters and digits separating. Its k-mers are the
 runs of five words, each labelled with its occurrence number. Each of ``BANDS`` hash functions samples the ``SAMPLED``
 k-mers of least hash and keeps their order in the text: two documents fall into one bucket where they agree on both, which
-follows edit similarity. In a bucket every document is compared with the smallest one. Then, in each bucket that still
+follows edit similarity. In a bucket every document is compared with the first one. Then, in each bucket that still
 holds several classes, every two documents of different classes are compared whose lengths allow a link. A bucket is cut by
-length into cells, and a large cell into blocks that meet two by two. A pair is a link if
+length into cells, and a large cell into blocks that meet two by two.
 
-* the k-mers they share are 0.8 or more of all their k-mers, occurrences counted, and
-* aligned word by word inside a band as wide as the allowed edits, no more than a fifth of the longer one is edited.
+A pair is a link if, aligned word by word inside a band as wide as the allowed edits, at least 0.8 of the longer one stands
+unedited. What spares an alignment loses nothing: a word that one of the two lacks costs an edit.
 
 Documents of the same words are copies, collapsed before anything is compared, so a group of copies costs one comparison.
 Documents are classes of links: ``class_id`` is the smallest doc_id of the class, and that document is kept.
 
 A null text is an empty one. Texts without words are copies only of the same text. Texts of one to four words have one
-k-mer of all their words. Rows of one doc_id are told apart by their text alone; a null doc_id takes the class of
-its text's copies and is kept if they have no doc_id either. An empty table gives an empty table; other columns are ignored.
+k-mer of all their words. Texts are compared as such, so rows of one doc_id may be of different classes; of several texts
+of a class's smallest doc_id the one of least hash is kept, and rows that repeat it are. A class without any doc_id has a
+null class_id and keeps the rows of one text. An empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemetrics.llm.common import stored, table
+from placemetrics.llm.common import slices, stored, table, text_or_empty
 from placemetrics.llm.components import components
 
 K, SAMPLED, BANDS, SIMILARITY = 5, 2, 16, 0.8
@@ -109,26 +110,24 @@ def _occurrences(h: np.ndarray) -> np.ndarray:
 def sketch(h: np.ndarray) -> np.ndarray:
     """For each band one number that stands for the sampled k-mers in text order."""
     labelled = _mix(h + _occurrences(h).astype(np.uint64) * _U(_BASE))
-    v = (labelled[None, :] ^ _SEEDS[:, None]) * _U(0xD6E8FEB86659FD93)
-    v ^= v >> _U(32)
-    rows, at = np.arange(BANDS), []
-    for _ in range(min(SAMPLED, len(h))):
-        least = v.argmin(axis=1)
-        v[rows, least] = np.iinfo(np.uint64).max
-        at.append(least)
-    out = _SEEDS.copy()
-    for p in np.sort(np.stack(at), axis=0):
-        out = _mix(out * _U(31) + labelled[p])
+    out, some = _SEEDS.copy(), max(1, min(BANDS, CELLS // len(h)))
+    for start in range(0, BANDS, some):  # all bands at once but for very long texts
+        v = (labelled[None, :] ^ _SEEDS[start : start + some, None]) * _U(0xD6E8FEB86659FD93)
+        v ^= v >> _U(32)
+        rows, at = np.arange(len(v)), []
+        for _ in range(min(SAMPLED, len(h))):
+            least = v.argmin(axis=1)
+            v[rows, least] = np.iinfo(np.uint64).max
+            at.append(least)
+        for p in np.sort(np.stack(at), axis=0):
+            out[start : start + some] = _mix(out[start : start + some] * _U(31) + labelled[p])
     return out.view(np.int64)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common k-mers among all, occurrences counted, of two arrays of k-mer hashes."""
-    x, m = np.unique(a, return_counts=True)
-    y, n = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    both = np.minimum(m[i], n[j]).sum()
-    return float(both / (len(a) + len(b) - both)) if len(a) + len(b) else 1.0
+def _labelled(words: np.ndarray) -> np.ndarray:
+    """Word hashes with their occurrence numbers: texts share as many words as these have in common."""
+    w = words.astype(np.uint64)
+    return _mix(w + _occurrences(w).astype(np.uint64) * _U(_BASE)) if len(w) else w
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,20 +198,29 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
         band *= 4
 
 
+def _edits(n: int) -> int:
+    """How many words of the longer of two near copies may be edited."""
+    return int((1 - SIMILARITY) * n + 1e-9)
+
+
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
-    x, y = kmers(a), kmers(b)
-    if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)) or similarity(x, y) < SIMILARITY:
+    n = max(len(a), len(b))
+    limit = _edits(n)
+    if n - min(len(a), len(b)) > limit:
         return False
-    return edits_within(a, b, int((1 - SIMILARITY) * max(len(a), len(b)) + 1e-9))
+    # every word that the shorter one lacks takes an edit
+    if n - len(np.intersect1d(_labelled(a), _labelled(b), assume_unique=True)) > limit:
+        return False
+    return edits_within(a, b, limit)
 
 
 def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, two numbers that stand for the text's words, and its bands (null for a text without words)."""
+    """doc_id, content (a hash of the text), two numbers that stand for the text's words, and its bands (null for a text without words)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "__text")):
             marks, bands = [], []
             for t in batch.column("__text"):
                 raw = t.as_py() or ""
@@ -220,11 +228,16 @@ def sketches(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 marks.append(hashlib.blake2b(words or b" " + raw.encode("utf-8", "replace"), digest_size=16).digest())
                 bands.append(sketch(kmers(word_hashes(words))) if words else None)
             two = np.frombuffer(b"".join(marks), dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "m1", "m2", "bands"]
-            )
+            made = [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), *made], names=["doc_id", "content", "m1", "m2", "bands"])
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("__text")).mapInArrow(run, "doc_id long, m1 long, m2 long, bands array<long>")
+    rows = df.select(F.col(key).cast("long").alias("doc_id"), content(text).alias("content"), F.col(text).alias("__text"))
+    return rows.mapInArrow(run, "doc_id long, content long, m1 long, m2 long, bands array<long>")
+
+
+def content(text: str = "text") -> Column:
+    """A hash of the whole text; null counts as empty."""
+    return F.xxhash64(text_or_empty(text))
 
 
 def _words_of(docs: DataFrame) -> DataFrame:
@@ -233,7 +246,7 @@ def _words_of(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             packed = [word_hashes(normal(t.as_py() or "")).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(packed, pa.binary())], names=["rep", "words"])
 
@@ -265,8 +278,8 @@ def _pairs(stars: DataFrame) -> DataFrame:
     return stars.filter("rep <> center").groupBy(F.col("center").alias("a"), F.col("rep").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
 
 
-def _shared_kmers(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
-    """How many labelled k-mers each of one shares with each of two."""
+def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many labelled words each of one shares with each of two."""
     flat = np.concatenate([*one, *two])
     doc = np.repeat(np.arange(len(one) + len(two)), [len(x) for x in (*one, *two)])
     _, column, held = np.unique(flat, return_inverse=True, return_counts=True)
@@ -293,14 +306,11 @@ def _compare(key: tuple, t):
     x, y = np.flatnonzero(block == first_block), np.flatnonzero(block == second_block)
     if len(x) and len(y) and len(np.unique(own)) > 1:
         words = [np.frombuffer(w.as_buffer(), np.uint32) for w in t["words"]]
-        labelled = []
-        for w in words:
-            h = kmers(w)
-            labelled.append(_mix(h + _occurrences(h).astype(np.uint64) * _U(_BASE)))
-        n = np.array([len(h) for h in labelled])
-        both = _shared_kmers([labelled[i] for i in x], [labelled[j] for j in y])
-        share = both / (n[x, None] + n[y] - both)
-        use = (share >= SIMILARITY - 1e-9) & (own[x, None] != own[y]) & ((level[x, None] == cell) | (level[y] == cell))
+        labelled = [_labelled(w) for w in words]
+        n = np.array([len(w) for w in words])
+        longer = np.maximum(n[x, None], n[y])
+        lacking = longer - _shared([labelled[i] for i in x], [labelled[j] for j in y])
+        use = (lacking <= (1 - SIMILARITY) * longer + 1e-9) & (own[x, None] != own[y]) & ((level[x, None] == cell) | (level[y] == cell))
         if first_block == second_block:
             use &= x[:, None] < y
         i, j = np.nonzero(use)
@@ -327,7 +337,7 @@ def _compare(key: tuple, t):
 
 def _across(stars: DataFrame, united: DataFrame, words: DataFrame) -> DataFrame:
     """Links between different classes within buckets: all pairs that share a bucket and may be links by length."""
-    sizes = words.select("rep", F.expr(f"greatest(1, cast(length(words) div 4 as int) - {K - 1})").alias("n"))
+    sizes = words.select("rep", F.expr("greatest(1, cast(length(words) div 4 as int))").alias("n"))
     named = sizes.join(united.select(F.col("node").alias("rep"), "component"), "rep", "left").select("rep", "n", F.coalesce("component", "rep").alias("own"))
     named = named.withColumn("level", F.floor(F.log("n") / F.lit(STEP)).cast("int"))
     cells = stars.select("rep", "band", "bucket").join(named, "rep").withColumn("cell", F.explode(F.array(F.col("level"), F.col("level") + 1)))
@@ -345,30 +355,38 @@ def _across(stars: DataFrame, united: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id, kept: one row a row of ``df``."""
+    """doc_id, class_id, kept, content (a hash of the text): one row a row of ``df``."""
     marked = stored(sketches(df, key, text), "dedup-sketches")
-    docs = df.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
-    reps = marked.groupBy("m1", "m2").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
-    reps = stored(reps, "dedup-reps")
-    bands = reps.filter("rep is not null and bands is not null").select("rep", "bands", F.posexplode("bands").alias("band", "bucket"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("first")
+    reps = marked.groupBy("m1", "m2").agg(first, F.any_value("bands").alias("bands"))
+    # a number for each text that holds once the table is written: an id may stand for several texts, or for none
+    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "dedup-reps")
+    bands = reps.filter("bands is not null").select("rep", "bands", F.posexplode("bands").alias("band", "bucket"))
     stars = stored(_stars(bands.select("rep", "band", "bucket"), ["band", "bucket"]), "dedup-buckets")
     pairs = stored(_pairs(stars), "dedup-pairs")
-    ids = stars.select("rep").groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
-    words = _words_of(docs.join(ids.hint("merge"), "rep", "left_semi")).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
-    words = stored(words.join(reps.groupBy("rep").agg(F.max("bands").alias("bands")), "rep"), "dedup-words")
+    ids = stars.groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
+    ids = reps.join(ids, "rep").select("rep", F.col("first.doc_id").alias("id"), F.col("first.content").alias("mark"))
+    docs = df.select(F.col(key).cast("long").alias("doc_id"), content(text).alias("content"), F.col(text).alias("text"))
+    same = (F.col("content") == F.col("mark")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    words = _words_of(docs.join(ids.hint("merge"), same)).groupBy("rep").agg(F.max("words").alias("words"))  # one row for repeated rows
+    words = stored(words.join(reps.select("rep", "bands"), "rep"), "dedup-words")
     links = _verified(pairs, words)
 
     united = stored(components(links), "dedup-classes")
     more = _across(stars, united, words)
     if not more.isEmpty():
         united = stored(components(links.unionByName(more)), "dedup-classes")
-    per = reps.select("m1", "m2", "rep").join(united.withColumnRenamed("node", "rep"), "rep", "left").select("m1", "m2", F.coalesce("component", "rep").alias("class_id"))
-    out = marked.select("doc_id", "m1", "m2").join(per, ["m1", "m2"]).select("doc_id", "class_id")
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull() & F.col("class_id").isNull())
+    per = reps.select("m1", "m2", "rep", "first").join(united.withColumnRenamed("node", "rep"), "rep", "left")
+    per = per.select("m1", "m2", "first", F.coalesce("component", "rep").alias("component"))
+    leaders = per.groupBy("component").agg(F.min("first").alias("leader"))
+    per = stored(per.join(leaders, "component").select("m1", "m2", "leader"), "dedup-leaders")
+    out = marked.select("doc_id", "content", "m1", "m2").join(per, ["m1", "m2"])
+    kept = F.col("doc_id").eqNullSafe(F.col("leader.doc_id")) & (F.col("content") == F.col("leader.content"))
+    return out.select("doc_id", F.col("leader.doc_id").alias("class_id"), kept.alias("kept"), "content")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(table(spark, sf_dir, "documents"))
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
 QUERIES = {"op5_near_dedup": op5_near_dedup}

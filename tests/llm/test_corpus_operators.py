@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -101,9 +103,33 @@ def test_banded_alignment(monkeypatch, cells):
         assert near_dedup.edits_within(np.array(a, np.uint32), np.array(b, np.uint32), limit) == (distance(a, b) <= limit)
 
 
+def edit_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Of whole arrays, row by row, without a band."""
+    row, step = np.arange(len(b) + 1), np.arange(len(b) + 1)
+    for i, x in enumerate(a, 1):
+        new = np.minimum(row[1:] + 1, row[:-1] + (b != x))
+        row = np.minimum.accumulate(np.concatenate(([i], new)) - step) + step
+    return int(row[-1])
+
+
+def brute_links(texts: dict[int, str]) -> list[tuple[int, int]]:
+    """All pairs whose words differ in a fifth of the longer one at most; only lengths and bags of words spare an alignment."""
+    words = {d: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", t.lower()) for d, t in texts.items()}
+    number: dict[str, int] = {}
+    coded = {d: np.array([number.setdefault(x, len(number)) for x in w], dtype=np.int64) for d, w in words.items()}
+    bags, links, ids = {d: Counter(w) for d, w in words.items()}, [], sorted(texts)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            longer, shorter = max(len(words[a]), len(words[b])), min(len(words[a]), len(words[b]))
+            if not longer:
+                if texts[a] == texts[b]:
+                    links.append((b, a))
+            elif shorter >= 0.8 * longer and (bags[a] & bags[b]).total() >= 0.8 * longer - 1e-9 and edit_distance(coded[a], coded[b]) <= 0.2 * longer + 1e-9:
+                links.append((b, a))
+    return links
+
+
 def brute_classes(texts: dict[int, str]) -> dict[int, int]:
-    k = {d: near_dedup.kmers(near_dedup.word_hashes(near_dedup.normal(t))) for d, t in texts.items()}
-    words = {d: near_dedup.word_hashes(near_dedup.normal(t)) for d, t in texts.items()}
     root = {d: d for d in texts}
 
     def find(x):
@@ -111,14 +137,10 @@ def brute_classes(texts: dict[int, str]) -> dict[int, int]:
             x = root[x]
         return x
 
-    ids = sorted(texts)
-    for n, a in enumerate(ids):
-        for b in ids[:n]:
-            same = texts[a] == texts[b] if not len(k[a]) else np.array_equal(words[a], words[b])
-            if same or (len(k[a]) and len(k[b]) and near_dedup._linked(words[a], words[b])):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    return {d: find(d) for d in ids}
+    for a, b in brute_links(texts):
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in texts}
 
 
 def test_near_copies_equal_brute_force(spark, small):
@@ -137,14 +159,41 @@ def test_near_copies_equal_brute_force(spark, small):
 
 
 def test_near_copies_in_a_crowd_that_shares_a_passage(spark):
-    passage = " ".join(f"p{j}" for j in range(180))
-    texts = {i: passage + "".join(f" own{i}x{j}" for j in range(25)) for i in range(600)}  # similarity 0.78: not linked
-    texts |= {1000 + i: passage + "".join(f" own{i + 1000 * (j > 4)}x{j}" for j in range(25)) for i in range(100, 200)}  # 0.81 to document i
+    passage = " ".join(f"p{j}" for j in range(150))
+    texts = {i: passage + "".join(f" own{i}x{j}" for j in range(50)) for i in range(600)}  # 0.75 of the words stand: not linked
+    texts |= {1000 + i: passage + "".join(f" own{i + 1000 * (j > 9)}x{j}" for j in range(50)) for i in range(100, 200)}  # 0.8 of document i
     df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in near_dedup.classes(df).collect()}
     assert got == {i: i - 1000 if i >= 1000 else i for i in texts}
 
 
+def test_scattered_edits_are_near_copies(spark):
+    """Words replaced at random up to a tenth, which leaves half of the k-mers or fewer: the alignment decides."""
+    rng = random.Random(3)
+    texts = {}
+    for i in range(300):
+        w = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 900))]
+        texts[i] = " ".join(w)
+        for k in rng.sample(range(len(w)), int(len(w) * rng.choice([0.02, 0.05, 0.1]))):
+            w[k] = f"new{i}"
+        texts[1000 + i] = " ".join(w)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()}
+    assert all(got[i] == i for i in range(300))
+    assert sum(got[1000 + i] == i for i in range(300)) >= 0.97 * 300
+
+
+def test_two_texts_of_one_id_are_classes_of_their_own(spark):
+    one, two = (" ".join(f"{c}{j}" for j in range(100)) for c in "ab")
+    given = [(1, one), (2, two), (7, one + " more"), (7, two + " more"), (9, "first text of nine"), (9, "second of nine"), (None, one + " end"), (None, "no id at all"), (None, "no id at all"), (None, "another")]
+    got = near_dedup.classes(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.kept) for r in got) == sorted(
+        [(1, 1, True), (2, 2, True), (7, 1, False), (7, 2, False), (9, 9, True), (9, 9, True), (0, 1, False), (0, 0, True), (0, 0, True), (0, 0, True)]
+    )
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, "another"), (0, "no id at all"), (1, one), (2, two), (9, "first text of nine"), (9, "second of nine")])
+
+
 def test_near_copies_of_odd_rows(odd, none):
     got = near_dedup.classes(odd).collect()
     assert len(got) == odd.count()
