@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again before the next one. All
 but the last return the columns of documents. Other columns of the input are dropped. A stage's result is defined for nulls
-as its operator's is; documents without an id are never dropped as near copies.
+as its operator's is.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ def recognise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each class of near copies."""
-    kept = near_dedup.classes(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
+    """One document of each class of near copies: of its smallest doc_id. Rows that repeat it become one row."""
+    kept = near_dedup.classes(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("content").alias("kept_content")).distinct()
+    rows = docs.select(*COLUMNS).withColumn("content", near_dedup.content())
+    named = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["content"] == kept["kept_content"]), "left_semi")
+    one = named.groupBy("doc_id", "content").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("row"))
+    return one.select("doc_id", "row.text", "row.lang", "row.source", "row.n_chars")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
