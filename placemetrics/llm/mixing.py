@@ -1,14 +1,16 @@
 """Mixing sources to target weights by a low-discrepancy schedule. DataFrame functions only.
 
 Sources, in code-point order with null last, get the weights in turn and share the words to be mixed; a source stops at
-``repeats`` times its own words and what is left over goes to the others by weight. The schedule is a run of slots of
-equal size: slot i has the point frac(0.5 + i * golden ratio), which falls into the stretch of one source on the line of
-cumulative targets. A slot's rank among the slots of its source names a block: the source's documents, shuffled by the MD5
-of their id, form one run of words, cut into blocks of that size, and ranks go through them again and again.
-
-Ranks and running sums are made in two levels (root-sized parts, then offsets of parts), so no task holds a whole source.
-A null text has no words; documents without words are taken 0 times. Equal rows are told apart by their place, so each is
-a document of its own. An empty table gives an empty table; other columns are ignored.
+``repeats`` times its own words and what is left over goes to the others by weight. The schedule is a run of slots:
+slot i has the point frac(0.5 + i * golden ratio), which falls into the stretch of one source on the line of
+cumulative targets; a source that no point meets gets one slot at the end. A source's documents, shuffled by MD5, form one
+run of words that repeats. The source's slots, by rank, take equal blocks of that run one after the other, the last one the
+remainder, so that a source of any size is taken to its target, to the word.
+
+Ranks, running sums and the numbers of equal rows are made in two levels (parts, then offsets of parts), so no task holds a
+whole source or all repeats of a row. A null text has no words; documents without words are taken 0 times. Equal rows are
+told apart by a number, so each is a document of its own. An empty table gives an empty table; other columns are ignored.
+Only sources are ordered and summed in one task, a row a source.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from placemetrics.llm.common import stored, table
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
-#: Slots that a small corpus is cut into, and the words of a slot of a large one.
+#: Slots that a small corpus is cut into, and about how many words a slot of a large one has.
 SLOTS, SLOT_WORDS = 65536, 4096
 GOLDEN = 0.6180339887498949
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,7 +33,7 @@ def n_words(text: str = "text") -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, share: float = 1.0) -> DataFrame:
-    """One row a source: sid, source, source_size, target, slot (words of a slot), n_blocks, n_parts, low and high (its stretch)."""
+    """One row a source: sid, source, source_size, target, words (the target, whole), slot (about a slot's words), n_parts, low and high (its stretch)."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     named = Window.orderBy(F.col("source").asc_nulls_last())  # a row a source
     per = per.withColumn("sid", F.row_number().over(named))
@@ -40,8 +42,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     whole = Window.partitionBy()
     filled = Window.orderBy(F.col("cap") / F.col("weight"), "sid")
     before = filled.rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("words", F.sum("source_size").over(whole))
-    level = (F.col("words") * F.lit(float(share)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
+    per = per.withColumn("all_words", F.sum("source_size").over(whole))
+    level = (F.col("all_words") * F.lit(float(share)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     )
     per = per.withColumn("level", level)
@@ -50,12 +52,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     per = per.withColumns(
         {
             "target": F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))),
-            "slot": F.greatest(F.lit(1), F.least(F.lit(SLOT_WORDS), F.expr(f"words div {SLOTS}"))).cast("long"),
+            "slot": F.greatest(F.lit(1), F.least(F.lit(SLOT_WORDS), F.expr(f"all_words div {SLOTS}"))).cast("long"),
         }
     )
     per = per.withColumns(
         {
-            "n_blocks": F.expr("(source_size + slot - 1) div slot"),
+            "words": F.floor(F.col("target") + 0.5).cast("long"),
             "n_parts": F.ceil(F.sqrt("n_docs")).cast("long"),
             "high": F.try_divide(F.sum("target").over(named), F.sum("target").over(whole)),
             "mixed": F.sum("target").over(whole),
@@ -64,8 +66,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     return per.withColumn("low", F.coalesce(F.lag("high").over(named), F.lit(0.0)))
 
 
-def schedule(per: DataFrame, repeats: int = REPEATS) -> DataFrame:
-    """One row a slot that is used: slot number, sid, rank among its source's slots, block."""
+def schedule(per: DataFrame) -> DataFrame:
+    """One row a slot: its number i, sid, rank among its source's slots, n_slots of the source."""
     spark = per.sparkSession
     mixed, slot = per.agg(F.coalesce(F.max("mixed"), F.lit(0.0)), F.coalesce(F.max("slot"), F.lit(1))).first()
     n = -int(-mixed // slot)
@@ -73,48 +75,81 @@ def schedule(per: DataFrame, repeats: int = REPEATS) -> DataFrame:
     point = F.lit(0.5) + F.col("i") * F.lit(GOLDEN)
     points = spark.range(n).withColumnRenamed("id", "i").withColumn("point", point - F.floor(point))
     points = points.withColumn("cell", F.floor(F.col("point") * cells).cast("int"))
+    used = per.filter("words > 0")
     last = F.least(F.floor(F.col("high") * cells), F.lit(cells - 1)).cast("int")
-    stretch = per.filter("target > 0").withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * cells).cast("int"), last)))
+    stretch = used.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * cells).cast("int"), last)))
     inside = (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))
-    slots = points.join(stretch.select("sid", "low", "high", "n_blocks", "cell"), "cell").filter(inside)
-    slots = slots.withColumn("part", F.expr(f"i div {part}")).select("i", "part", "sid", "n_blocks")
-    sums = slots.groupBy("sid", "part").agg(F.count("*").alias("held"))
-    offset = F.coalesce(F.sum("held").over(Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.select("sid", "part", offset.alias("offset"))
-    slots = slots.join(sums, ["sid", "part"])
+    slots = points.join(stretch.select("sid", "low", "high", "cell"), "cell").filter(inside)
+    slots = slots.withColumn("part", F.expr(f"i div {part}")).select("i", "part", "sid")
+    sums = stored(slots.groupBy("sid", "part").agg(F.count("*").alias("held")), "mix-slots")
+    own = Window.partitionBy("sid")
+    offset = F.coalesce(F.sum("held").over(own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sums.select("sid", "part", offset.alias("offset"), F.sum("held").over(own).alias("n_slots"))
     rank = F.row_number().over(Window.partitionBy("sid", "part").orderBy("i")) - 1 + F.col("offset")
-    slots = slots.withColumn("rank", rank).filter(F.col("rank") < F.col("n_blocks") * repeats)
-    return slots.select("i", "sid", "rank", F.expr("rank % n_blocks").alias("block"))
-
-
-def mix(
+    ranked = slots.join(offsets, ["sid", "part"]).select("i", "sid", rank.cast("long").alias("rank"), "n_slots")
+    missed = used.join(sums.select("sid").distinct(), "sid", "left_anti")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    return ranked.unionByName(missed.select((F.lit(n) + F.col("sid")).cast("long").alias("i"), "sid", zero.alias("rank"), one.alias("n_slots")))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with a number among their equals, column ``copy``; ``held_by`` names the part in which a row was written."""
+    same = ["doc_id", "source", "content"]
+    sums = rows.groupBy(*same, "held_by").agg(F.count("*").alias("held")).withColumn("more", F.count("*").over(Window.partitionBy(*same)))
+    before = F.sum("held").over(Window.partitionBy(*same).orderBy("held_by").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.filter("more > 1").select(*(F.col(c).alias(f"s_{c}") for c in (*same, "held_by")), F.coalesce(before, F.lit(0)).alias("offset"))
+    own = F.row_number().over(Window.partitionBy(*same, "held_by").orderBy("size")) - 1
+    met = F.col("held_by") == F.col("s_held_by")
+    for c in same:
+        met &= F.col(c).eqNullSafe(F.col(f"s_{c}"))
+    return rows.withColumn("own", own).join(sums, met, "left").withColumn("copy", F.col("own") + F.coalesce("offset", F.lit(0))).select(*rows.columns, "copy")
+
+
+def blocks(
     df: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, share: float = 1.0, key: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: how many of a document's words the mix takes, repeats counted."""
-    sizes = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"))
-    sizes = stored(sizes.withColumn("shuffle", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))), "mix-sizes")
+    """The mix: slot, sid, and the words [low, high) of a document that the slot takes; documents that none takes have null slots.
+
+    With doc_id, source, content (MD5 of the text), copy (number among equal rows), size, source_size and target.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    sizes = df.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"), F.md5(body.cast("binary")).alias("content"))
+    sizes = stored(sizes.withColumn("held_by", F.spark_partition_id()), "mix-sizes")
     per = stored(targets(sizes, weights, repeats, share), "mix-targets")
-    draws = schedule(per, repeats).groupBy("sid", "block").agg(F.count("*").alias("draws"))
+    slots = schedule(per)
 
-    names = per.select(F.col("source").alias("name"), "sid", "source_size", "target", "slot", "n_parts")
-    docs = sizes.join(names, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "content", F.col("copy").cast("string"))
+    docs = _numbered(sizes).withColumn("shuffle", F.md5(name.cast("binary"))).drop("held_by")
+    names = per.select(F.col("source").alias("name"), "sid", "source_size", "target", "words", "n_parts")
+    docs = docs.join(names, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     place = F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / 2.0**32
     docs = docs.withColumn("part", F.floor(place * F.col("n_parts")))
     sums = docs.groupBy("sid", "part").agg(F.sum("size").alias("held"))
     before = F.sum("held").over(Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("sid", "part", F.coalesce(before, F.lit(0)).alias("offset"))
-    order = Window.partitionBy("sid", "part").orderBy("shuffle", "doc_id", "size")
+    order = Window.partitionBy("sid", "part").orderBy("shuffle", "source", "doc_id")
     start = F.col("offset") + F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    docs = docs.join(sums, ["sid", "part"]).withColumns({"start": start, "nth": F.row_number().over(order)})
-    touched = F.when(F.col("size") > 0, F.sequence(F.expr("start div slot"), F.expr("(start + size - 1) div slot")))
-    docs = docs.withColumn("block", F.explode_outer(touched))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("slot")) - F.greatest(F.col("start"), F.col("block") * F.col("slot"))
-    docs = docs.select("sid", "part", "nth", "doc_id", "source", "size", "source_size", "target", "block", overlap.alias("overlap"))
-    taken = docs.join(draws, ["sid", "block"], "left")
-    taken = taken.groupBy("sid", "part", "nth", "doc_id", "source", "size", "source_size", "target").agg(
-        F.coalesce(F.sum(F.col("overlap") * F.col("draws")), F.lit(0)).cast("long").alias("taken")
-    )
-    return taken.select("doc_id", "source", "size", "source_size", "target", "taken")
+    docs = docs.join(sums, ["sid", "part"]).withColumn("start", start)
+    lengths = slots.groupBy("sid").agg(F.max("n_slots").alias("n_slots"))
+    docs = docs.join(lengths, "sid", "left").withColumn("block_words", F.expr("(words + n_slots - 1) div n_slots"))
+    # a document's places on the repeated run, as far as the target goes, cut into blocks
+    turns = F.when((F.col("size") > 0) & (F.col("start") < F.col("words")), F.expr("sequence(start, words - 1, source_size)"))
+    docs = docs.withColumn("first", F.explode_outer(turns)).withColumn("last", F.least(F.col("first") + F.col("size"), "words"))
+    docs = docs.withColumn("block", F.explode_outer(F.expr("sequence(first div block_words, (last - 1) div block_words)")))
+    low = F.greatest("first", F.col("block") * F.col("block_words")) - F.col("first")
+    high = F.least("last", (F.col("block") + 1) * F.col("block_words")) - F.col("first")
+    taken = docs.join(slots.select(F.col("i").alias("slot"), F.col("sid").alias("slot_sid"), "rank"), (F.col("sid") == F.col("slot_sid")) & (F.col("block") == F.col("rank")), "left")
+    return taken.select("slot", "sid", low.alias("low"), high.alias("high"), "doc_id", "source", "content", "copy", "size", "source_size", "target")
+
+
+def mix(
+    df: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, share: float = 1.0, key: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """doc_id, source, content, size, source_size, target, taken: how many of a document's words the mix takes, repeats counted."""
+    one = ["doc_id", "source", "content", "copy", "size", "source_size", "target"]
+    words = F.when(F.col("slot").isNotNull(), F.col("high") - F.col("low")).otherwise(0)
+    taken = blocks(df, weights, repeats, share, key, text, source).groupBy(*one).agg(F.sum(words).cast("long").alias("taken"))
+    return taken.drop("copy")
 
 
 def copies(size: str = "size", taken: str = "taken", key: str = "doc_id") -> Column:
@@ -129,13 +164,15 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op3_mixing": op3_mixing}
 
+# The slots of a source take the words of its run one after the other up to its target, however the schedule deals them:
+# the SQL states what they take together.
 SQL = {
-    "op3_mixing": rf"""
+    "op3_mixing": r"""
 WITH docs AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '')) AS shuffle FROM documents),
-per AS (
-  SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM docs GROUP BY source),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS content FROM documents),
+numbered AS (
+  SELECT *, md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), content, (row_number() OVER (PARTITION BY doc_id, source, content) - 1)::VARCHAR)) AS shuffle FROM docs),
+per AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
 named AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS sid, sum(source_size) OVER () ::BIGINT AS words FROM per),
 weighed AS (
   SELECT *, ([5.0, 2.0, 1.0])[((sid - 1) % 3 + 1)::INT]::DOUBLE AS weight, (source_size * 3)::DOUBLE AS cap FROM named),
@@ -144,28 +181,14 @@ levels AS (
   FROM weighed WINDOW b AS (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (SELECT arg_min(lv, cap / weight * 1000000 + sid) AS lv FROM levels WHERE lv <= cap / weight),
 targets AS (
-  SELECT w.*, least(cap, coalesce(l.lv * weight, cap)) AS target,
-         greatest(1, least({SLOT_WORDS}, words // {SLOTS}))::BIGINT AS slot
-  FROM weighed w, level l),
-lines AS (
-  SELECT *, sum(target) OVER (ORDER BY sid) / nullif(sum(target) OVER (), 0) AS high, sum(target) OVER () AS mixed,
-         (source_size + slot - 1) // slot AS n_blocks FROM targets),
-stretches AS (SELECT *, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low FROM lines),
-points AS (
-  SELECT i, (0.5::DOUBLE + i * {GOLDEN}::DOUBLE) - floor(0.5::DOUBLE + i * {GOLDEN}::DOUBLE) AS point
-  FROM (SELECT unnest(generate_series(0, (SELECT ceil(max(mixed) / max(slot)) FROM lines)::BIGINT - 1)) AS i)),
-slots AS (
-  SELECT sid, n_blocks, row_number() OVER (PARTITION BY sid ORDER BY i) - 1 AS rank
-  FROM points JOIN stretches ON point >= low AND point < high),
-draws AS (SELECT sid, rank % n_blocks AS block, count(*) AS draws FROM slots WHERE rank < 3 * n_blocks GROUP BY 1, 2),
+  SELECT source, sid, source_size, least(cap, coalesce(l.lv * weight, cap)) AS target,
+         floor(least(cap, coalesce(l.lv * weight, cap)) + 0.5)::BIGINT AS goal FROM weighed w, level l),
 placed AS (
-  SELECT d.*, t.sid, t.source_size, t.target, t.slot, row_number() OVER (ORDER BY t.sid, shuffle, doc_id, size) AS nth,
-         coalesce(sum(size) OVER (PARTITION BY t.sid ORDER BY shuffle, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
-cut AS (SELECT *, unnest(generate_series(start // slot, (start + size - 1) // slot)) AS block FROM placed WHERE size > 0),
-taken AS (
-  SELECT nth, sum((least(start + size, (block + 1) * slot) - greatest(start, block * slot)) * draws)::BIGINT AS taken
-  FROM cut JOIN draws USING (sid, block) GROUP BY nth)
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, source FROM placed LEFT JOIN taken USING (nth)
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.goal,
+         coalesce(sum(size) OVER (PARTITION BY t.sid ORDER BY shuffle, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM numbered d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, source,
+       coalesce(list_sum([greatest(0, least(start + n * source_size + size, goal) - (start + n * source_size)) FOR n IN [0, 1, 2]]), 0)::BIGINT AS taken
+FROM placed
 """
 }

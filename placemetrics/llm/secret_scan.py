@@ -1,12 +1,13 @@
 """Secret scans by corpus-wide ownership frequency. DataFrame functions only.
 
 Patterns find candidates; the hash of each candidate's value is counted over the whole corpus by distinct repositories and
-owners. A value that ``WIDE`` or more owners hold is a widely copied example. A value of one or two owners that also looks
-generated (``DISTINCT`` different characters or more, a digit among them) is a live-looking credential of its owner.
+owners. A value that ``WIDE`` or more owners hold, or ``SPREAD`` or more repositories, is a widely copied example, also if
+one owner alone has spread it. Any other value that looks generated (``DISTINCT`` different characters or more, a digit
+among them) is a live-looking credential of its owner.
 
-In ``documents`` a row stands for a repository and ``source`` for its owner. A null text is an empty one; a null source is
-an owner of its own. Equal rows have equal spans and count as one repository. An empty table gives an empty table; other
-columns are ignored.
+In ``documents`` a text of an owner stands for a repository and ``source`` for the owner. A null text is an empty one; a
+null source is an owner of its own. Equal rows have equal spans; copies of a text at one owner count as one repository. An
+empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ KINDS = (
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 LIVE = "live"
-#: Owners from which on a value is a widely copied example; different characters of a generated value.
-WIDE, DISTINCT = 3, 8
+#: Owners, and repositories, from which on a value is a widely copied example; different characters of a generated value.
+WIDE, SPREAD, DISTINCT = 3, 20, 8
 #: Matches whose places are summed up at a time.
 STRIDE = 512
 
@@ -63,8 +64,8 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", owner: st
 
 
 def ownership(hits: DataFrame) -> DataFrame:
-    """value_hash, n_repositories, n_owners over all rows of (value_hash, owner, doc_id)."""
-    each = hits.groupBy("value_hash", "owner", "doc_id").agg(F.lit(1).alias("one"))
+    """value_hash, n_repositories, n_owners over all rows of (value_hash, owner, content)."""
+    each = hits.groupBy("value_hash", "owner", "content").agg(F.lit(1).alias("one"))
     by_owner = each.groupBy("value_hash", "owner").agg(F.count("*").alias("n_repositories"))
     return by_owner.groupBy("value_hash").agg(F.sum("n_repositories").alias("n_repositories"), F.count("*").alias("n_owners"))
 
@@ -75,7 +76,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "s
     hit = base.filter(F.size("hits") > 0).select("doc_id", "owner", "row", "content", F.explode("hits").alias("hit"))
     value = F.col("hit.value")
     hit = hit.withColumns({"value_hash": F.sha2(value, 256), "generated": (F.size(F.array_distinct(F.split(value, ""))) >= DISTINCT) & value.rlike("[0-9]")})
-    wide = F.col("n_owners") >= WIDE
+    wide = (F.col("n_owners") >= WIDE) | (F.col("n_repositories") >= SPREAD)
     judged = hit.join(ownership(hit), "value_hash").withColumns({"wide": wide, "live": ~wide & F.col("generated")})
     place = F.struct(F.col("hit.value_start").alias("start"), (F.col("hit.value_start") + F.length(value)).alias("end"))
     each = judged.groupBy("row", "content", "hit.start", "hit.kind").agg(F.max(F.when(F.col("live"), place)).alias("place"), F.max("wide").alias("wide"))
@@ -112,4 +113,37 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_secret_scan": op10_secret_scan}
-SQL: dict[str, str] = {}
+
+
+def _hits_sql(number: int, pattern: str, group: int, least: int) -> str:
+    """Matches of one kind: what stands between matches gives their places."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT row, {number} AS kind, begins + length(match) AS stop, begins AS start, value FROM (
+    SELECT row, match, value, (sum(length(gap)) OVER w + coalesce(sum(length(match)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS begins
+    FROM (SELECT row, unnest(regexp_extract_all(body, '{quoted}')) AS match, unnest(regexp_extract_all(body, '{quoted}', {group})) AS value,
+                 unnest(string_split_regex(body, '{quoted}')) AS gap, generate_subscripts(string_split_regex(body, '{quoted}'), 1) AS nth
+          FROM d WHERE regexp_matches(body, '{quoted}'))
+    WINDOW w AS (PARTITION BY row ORDER BY nth)) WHERE length(value) >= {least}"""
+
+
+SQL = {
+    "op10_secret_scan": f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS body FROM documents),
+hits AS ({" UNION ALL ".join(_hits_sql(i, p, g, n) for i, (_, p, g, n) in enumerate(KINDS))}),
+spread AS (
+  SELECT value, count(DISTINCT coalesce('=' || source, '')) AS owners, count(DISTINCT coalesce('=' || source, '') || chr(1) || body) AS repositories
+  FROM hits JOIN d USING (row) GROUP BY value),
+live AS (
+  SELECT row, {len(KINDS)} AS kind, stop, stop - length(value) AS start FROM hits JOIN spread USING (value)
+  WHERE owners < {WIDE} AND repositories < {SPREAD} AND len(list_distinct(string_split(value, ''))) >= {DISTINCT} AND regexp_matches(value, '[0-9]')),
+spans AS (
+  SELECT row, kind, start, stop, {"CASE kind " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate((*(k[0] for k in KINDS), LIVE))) + " END"} || ':' || start || ':' || stop AS span
+  FROM (SELECT row, kind, start, stop FROM hits UNION SELECT row, kind, start, stop FROM live)),
+per AS (
+  SELECT row, {", ".join(f"count(*) FILTER (kind = {i}) AS n_{k[0]}" for i, k in enumerate(KINDS))},
+         string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(KINDS)}) AS base, string_agg(span, ',' ORDER BY start, kind, stop) AS spans
+  FROM spans GROUP BY row)
+SELECT doc_id, {", ".join(f"coalesce(n_{k[0]}, 0)::BIGINT AS n_{k[0]}" for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (row)
+"""
+}
