@@ -49,6 +49,20 @@ def as_result(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check_name"), "failures")
 
 
+def registered(registry: DataFrame, found: DataFrame, name: str = "table_name") -> DataFrame:
+    """Tables that are registered and not there, or there and not registered: table_name, problem."""
+    missing = registry.select(name).distinct().join(found.select(name).distinct(), name, "left_anti").withColumn("problem", F.lit("missing"))
+    strange = found.select(name).distinct().join(registry.select(name).distinct(), name, "left_anti").withColumn("problem", F.lit("unregistered"))
+    return missing.unionByName(strange)
+
+
+def log_rows(results: DataFrame, invocation: str, started: str, warn: list[str] = ()) -> DataFrame:
+    """Check results as rows of the log: failures of a check named in ``warn`` only warn."""
+    failed = F.when(F.col("check_name").isin(list(warn)), "warn").otherwise("fail") if warn else F.lit("fail")
+    status = F.when(F.col("failures") > 0, failed).otherwise("pass")
+    return results.select(F.lit(invocation).alias("invocation_id"), F.lit(started).alias("run_started_at"), "check_name", "failures", status.alias("status"))
+
+
 def newest_runs(log: DataFrame, keep: int = 50) -> DataFrame:
     """Rows of the newest ``keep`` invocations, whole invocations only."""
     newest = log.groupBy("invocation_id").agg(F.max("run_started_at").alias("at")).orderBy(F.col("at").desc(), F.col("invocation_id").desc()).limit(keep)

@@ -21,13 +21,22 @@ def assign(points: DataFrame, bridge: DataFrame, edge: DataFrame, resolution: in
 
 
 def sample(points: DataFrame, n: int) -> DataFrame:
-    """First n usable points of each source by a hash of the key."""
-    order = Window.partitionBy("source_table").orderBy(F.sha2("row_key", 256), "row_key")
-    return points.filter("is_usable_coordinate").withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= n).drop("__n")
-
-
-def oracle(sampled: DataFrame, boundaries: DataFrame, cache: DataFrame | None = None) -> DataFrame:
-    """Exact answers for sampled points by the test without cells; answers of a cache are kept while coordinates are the same."""
+    """First n usable points of each source by a hash of the key. Only the hashes below a bound that surely holds n are ranked."""
+    usable = points.filter("is_usable_coordinate").withColumn("__h", F.sha2("row_key", 256))
+    bound = F.lit(n + 8.0 * n**0.5 + 64) / F.col("__rows")
+    rows = usable.join(F.broadcast(usable.groupBy("source_table").agg(F.count("*").alias("__rows"))), "source_table")
+    few = rows.filter(F.conv(F.substring("__h", 1, 8), 16, 10).cast("double") / 2.0**32 < bound)
+    order = Window.partitionBy("source_table").orderBy("__h", "row_key")
+    return few.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= n).drop("__n", "__h", "__rows")
+
+
+def oracle(sampled: DataFrame, boundaries: DataFrame, cache: DataFrame | None = None, moved: DataFrame | None = None) -> DataFrame:
+    """Exact answers for sampled points by the test without cells; answers of a cache are kept while coordinates are the same.
+
+    ``moved`` names the boundary sets whose polygons changed since: their cached answers are dropped.
+    """
+    if cache is not None and moved is not None:
+        cache = cache.join(F.broadcast(moved.select("boundary_set").distinct()), "boundary_set", "left_anti")
     keep = ["source_table", "row_key", "latitude", "longitude"]
     asked = sampled.select(*keep, "h3_r8", "h3_r10")
     sets = boundaries.select("boundary_set").distinct()

@@ -41,11 +41,16 @@ def crosses(lon: Column, lat: Column) -> Column:
     return ((y1 > lat) != (y2 > lat)) & (lon < x1 + (lat - y1) * (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0)))
 
 
-def inside(candidates: DataFrame, edge: DataFrame, point: list[str], key: tuple[str, ...] = ("boundary_set", "boundary_id")) -> DataFrame:
-    """Pairs of ``candidates`` (point columns, longitude, latitude, key) whose point lies inside: odd outside ring, no odd hole."""
-    band = [F.least("y1", "y2").alias("low"), F.greatest("y1", "y2").alias("high")]
-    hit = candidates.join(edge.select(*key, "poly", "ring", "x1", "y1", "x2", "y2", *band), list(key))
-    hit = hit.filter((F.col("latitude") >= F.col("low")) & (F.col("latitude") < F.col("high")) & crosses(F.col("longitude"), F.col("latitude")))
+def inside(candidates: DataFrame, edge: DataFrame, point: list[str], key: tuple[str, ...] = ("boundary_set", "boundary_id"), band: float = 0.02) -> DataFrame:
+    """Pairs of ``candidates`` (point columns, longitude, latitude, key) whose point lies inside: odd outside ring, no odd hole.
+
+    Points and edges meet on key and band of latitude (``band`` degrees), so a large boundary is dealt over many tasks.
+    """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    bands = F.explode(F.sequence(F.floor(low / band), F.floor(high / band)))
+    cut = edge.filter("y1 <> y2").select(*key, "poly", "ring", "x1", "y1", "x2", "y2", bands.alias("__band"))
+    hit = candidates.withColumn("__band", F.floor(F.col("latitude") / band)).join(cut, [*key, "__band"])
+    hit = hit.filter(crosses(F.col("longitude"), F.col("latitude")))
     ring = hit.groupBy(*point, *key, "poly", "ring").agg((F.count("*") % 2).alias("odd"))
     poly = ring.groupBy(*point, *key, "poly").agg(F.max(F.when(F.col("ring") == 0, F.col("odd"))).alias("shell"), F.max(F.when(F.col("ring") > 0, F.col("odd"))).alias("hole"))
     return poly.filter("shell = 1 and coalesce(hole, 0) = 0").select(*point, *key).distinct()
@@ -109,7 +114,11 @@ def cover(edge: DataFrame, resolution: int, key: tuple[str, ...] = ("boundary_se
 
 
 def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "boundary_id"), steps: int = 15) -> DataFrame:
-    """A point inside each boundary: its largest shell's mean vertex if that is inside, else the first hit of a grid over its box."""
+    """A point inside each boundary: its largest shell's mean vertex if that is inside, else the first hit of a grid over its box.
+
+    Where the grid misses too, the middle of the widest stretch of the boundary on the latitude between its two lowest vertices:
+    every boundary with an area gets a point.
+    """
     twice = F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")))
     shells = edge.filter("ring = 0").groupBy(*key, "poly").agg(
         twice.alias("size"), F.avg("x1").alias("mx"), F.avg("y1").alias("my"), F.min("x1").alias("x0"), F.max("x1").alias("xn"), F.min("y1").alias("y0"), F.max("y1").alias("yn")
@@ -122,7 +131,15 @@ def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "bou
     lat = F.when(F.col("k") == 0, F.col("my")).otherwise(F.col("y0") + (i + 0.5) * (F.col("yn") - F.col("y0")) / steps)
     tries = tries.select(*key, "k", lon.alias("longitude"), lat.alias("latitude"))
     hits = inside(tries, edge, ["k", "longitude", "latitude"], key)
-    return hits.groupBy(*key).agg(F.min_by(F.struct("longitude", "latitude"), "k").alias("p")).select(*key, "p.longitude", "p.latitude")
+    found = hits.groupBy(*key).agg(F.min_by(F.struct("longitude", "latitude"), "k").alias("p")).select(*key, "p.longitude", "p.latitude")
+    thin = edge.join(found.select(*key), list(key), "left_anti")
+    heights = thin.groupBy(*key).agg(F.slice(F.array_sort(F.collect_set("y1")), 1, 2).alias("y")).filter(F.size("y") == 2)
+    level = heights.select(*key, ((F.col("y")[0] + F.col("y")[1]) / 2).alias("latitude"))
+    met = thin.join(level, list(key)).filter((F.col("y1") > F.col("latitude")) != (F.col("y2") > F.col("latitude")))
+    at = F.col("x1") + (F.col("latitude") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    xs = met.groupBy(*key, "latitude").agg(F.array_sort(F.collect_list(at)).alias("x"))
+    spans = F.transform(F.sequence(F.lit(1), F.size("x") - 1, F.lit(2)), lambda i: F.struct((F.element_at("x", i + 1) - F.element_at("x", i)).alias("w"), ((F.element_at("x", i) + F.element_at("x", i + 1)) / 2).alias("longitude")))
+    return found.unionByName(xs.select(*key, F.array_max(spans)["longitude"].alias("longitude"), "latitude"))
 
 
 def bridge(

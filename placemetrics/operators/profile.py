@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemetrics.functions.casts import canonical
 
 
-def _shape(kind: str) -> str:
+def _shape(kind: str, name: str = "", cells: tuple[str, ...] = ()) -> str:
+    if name in cells:
+        return "cell"
     if kind in ("boolean",):
         return "boolean"
     if kind.startswith(("timestamp", "date")):
@@ -20,20 +22,52 @@ def _shape(kind: str) -> str:
     return "string" if kind == "string" else "blob"
 
 
-def profile(df: DataFrame, few: int = 50) -> DataFrame:
-    """One row a column, from one aggregate: shape, nulls, distinct values, least, greatest and median of numbers, low signal."""
-    cols = [(c, _shape(k)) for c, k in df.dtypes]
-    aggs = [F.count("*").alias("__rows")]
+def _median(counts: DataFrame, steps: int = 1000) -> DataFrame:
+    """column_name and exact median of (column_name, number, n): only the step of equal width that holds the middle is sorted."""
+    span = counts.groupBy("column_name").agg(F.min("number").alias("a"), F.max("number").alias("b"), F.sum("n").alias("all"))
+    step = F.when(F.col("b") > F.col("a"), F.least(F.floor((F.col("number") - F.col("a")) / (F.col("b") - F.col("a")) * steps), F.lit(steps - 1))).otherwise(0).cast("int")
+    placed = counts.join(F.broadcast(span), "column_name").withColumn("step", step)
+    own = Window.partitionBy("column_name").orderBy("step")
+    steps_ = placed.groupBy("column_name", "step").agg(F.sum("n").alias("m"), F.first("all").alias("all")).withColumn("upto", F.sum("m").over(own))
+    # the two middle places, counted from 0, are (all - 1) div 2 and all div 2
+    hold = (F.col("upto") > F.expr("(all - 1) div 2")) & (F.col("upto") - F.col("m") <= F.expr("all div 2"))
+    few = placed.drop("all").join(F.broadcast(steps_.filter(hold).select("column_name", "step", "all", (F.col("upto") - F.col("m")).alias("before"))), ["column_name", "step"])
+    inner = Window.partitionBy("column_name", "step").orderBy("number")
+    few = few.withColumn("upto", F.col("before") + F.sum("n").over(inner))
+    middle = (F.col("upto") > F.expr("(all - 1) div 2")) & (F.col("upto") - F.col("n") <= F.expr("all div 2"))
+    both = few.filter(middle).groupBy("column_name").agg(F.min("number").alias("x"), F.max("number").alias("y"))
+    return both.select("column_name", ((F.col("x") + F.col("y")) / 2).alias("median"))
+
+
+def profile(df: DataFrame, few: int = 50, top: int = 5, cells: tuple[str, ...] = (), described: tuple[str, ...] = ()) -> DataFrame:
+    """One row a column: shape, nulls, distinct values, range and median of numbers, first and last time, most frequent values, low signal.
+
+    The table is read once: (column, value) pairs are counted before the shuffle and the rest follows from the counts. A
+    constant column has low signal unless it is among the ``described`` ones.
+    """
+    cols = [(c, _shape(k, c, cells)) for c, k in df.dtypes]
+    entries = []
     for c, shape in cols:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"))
-        aggs.append((F.lit(None).cast("long") if shape == "blob" else F.count_distinct(c)).alias(f"{c}__distinct"))
-        low, high, mid = (F.min(c), F.max(c), F.median(c)) if shape == "numeric" else (F.lit(None), F.lit(None), F.lit(None))
-        aggs += [low.cast("double").alias(f"{c}__low"), high.cast("double").alias(f"{c}__high"), mid.cast("double").alias(f"{c}__median")]
-    rows = ", ".join(f"'{c}', '{s}', `{c}__nulls`, `{c}__distinct`, `{c}__low`, `{c}__high`, `{c}__median`" for c, s in cols)
-    one = df.agg(*aggs).selectExpr("__rows as n_rows", f"stack({len(cols)}, {rows}) as (column_name, shape, n_nulls, n_distinct, low, high, median)")
+        value = F.col(f"`{c}`")
+        text = F.when(value.isNotNull(), F.lit("blob")) if shape == "blob" else value.cast("string")
+        number = value.cast("double") if shape == "numeric" else F.lit(None).cast("double")
+        entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(shape).alias("shape"), text.alias("text"), number.alias("number")))
+    counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("column_name", "shape", "text", "number").agg(F.count("*").alias("n"))
+    real = F.col("text").isNotNull()
+    most = F.slice(F.array_sort(F.collect_list(F.when(F.col("nth") <= top, F.struct((-F.col("n")).alias("m"), "text")))), 1, top)
+    order = Window.partitionBy("column_name").orderBy(F.col("text").isNull(), F.col("n").desc(), "text")
+    best = counts.filter(real & F.col("shape").isin("string", "boolean")).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= top)
+    best = best.groupBy("column_name").agg(F.concat_ws(",", F.transform(most, lambda x: F.concat_ws(":", x["text"], (-x["m"]).cast("string")))).alias("top_values"))
+    one = counts.groupBy("column_name", "shape").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(~real, F.col("n"))), F.lit(0)).alias("n_nulls"), F.count_if(real).alias("n_distinct"),
+        F.min("number").alias("low"), F.max("number").alias("high"), F.min(F.when(F.col("shape") == "temporal", F.col("text"))).alias("first_time"), F.max(F.when(F.col("shape") == "temporal", F.col("text"))).alias("last_time"),
+    )
+    one = one.withColumn("n_distinct", F.when(F.col("shape") != "blob", F.col("n_distinct")))
+    one = one.join(_median(counts.filter("number is not null")), "column_name", "left").join(best, "column_name", "left")
     category = (F.col("shape") == "string") & (F.col("n_distinct") <= few) & (F.col("n_distinct") < F.col("n_rows"))
-    one = one.withColumn("shape", F.when(category, "category").otherwise(F.col("shape")))
-    return one.withColumn("low_signal", (F.col("shape") == "blob") | (F.col("n_nulls") == F.col("n_rows")) | F.coalesce(F.col("n_distinct") == 1, F.lit(False)))
+    one = one.withColumns({"shape": F.when(category, "category").otherwise(F.col("shape")), "top_values": F.when(category | (F.col("shape") == "boolean"), F.col("top_values"))})
+    constant = F.coalesce(F.col("n_distinct") == 1, F.lit(False)) & ~F.col("column_name").isin(list(described) or [""])
+    return one.withColumn("low_signal", (F.col("shape") == "blob") | (F.col("n_nulls") == F.col("n_rows")) | constant)
 
 
 def frequent(df: DataFrame, col: str, k: int = 5) -> DataFrame:
@@ -51,12 +85,29 @@ def schema_hash(df: DataFrame) -> str:
 
 
 def schema_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Added, removed, retyped and reordered columns of two sets of schema rows."""
+    """Added, removed, renamed, retyped and reordered columns of two sets of schema rows.
+
+    A removed and an added column of the same type at the same position are one renamed column, reported under its old name.
+    """
     both = old.select("column_name", F.col("column_type").alias("t0"), F.col("position").alias("p0")).join(
         new.select("column_name", F.col("column_type").alias("t1"), F.col("position").alias("p1")), "column_name", "full_outer"
     )
     change = F.when(F.col("t0").isNull(), "added").when(F.col("t1").isNull(), "removed").when(F.col("t0") != F.col("t1"), "retyped").when(F.col("p0") != F.col("p1"), "reordered")
-    return both.select("column_name", change.alias("change")).filter("change is not null")
+    found = both.withColumn("change", change).filter("change is not null")
+    gone, come = found.filter("change = 'removed'"), found.filter("change = 'added'")
+    pair = gone.select(F.col("column_name").alias("was"), F.col("t0").alias("kind"), F.col("p0").alias("place")).join(
+        come.select(F.col("column_name").alias("now"), F.col("t1").alias("kind"), F.col("p1").alias("place")), ["kind", "place"]
+    )
+    single = found.join(pair.select(F.col("was").alias("column_name")).unionByName(pair.select(F.col("now").alias("column_name"))), "column_name", "left_anti")
+    none = F.lit(None).cast("string")
+    return single.select("column_name", "change", none.alias("new_name")).unionByName(pair.select(F.col("was").alias("column_name"), F.lit("renamed").alias("change"), F.col("now").alias("new_name")))
+
+
+def column_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(table_name, column_name) rows of either side that the other lacks, with the side."""
+    cols = ["table_name", "column_name"]
+    a, b = left.select(*cols), right.select(*cols)
+    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
 def fingerprint(df: DataFrame, key: list[str]) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def held_by_run(raw: DataFrame) -> DataFrame:
-    """Rows and partitions of each run; rows without a run id are named."""
-    return raw.groupBy(F.coalesce("run_id", F.lit("(no run id)")).alias("run_id")).agg(F.count("*").alias("rows_held"), F.array_sort(F.collect_set("ingest_date")).alias("partitions"))
+def held_by_run(raw: DataFrame, by: tuple[str, ...] = (), file: str | None = None) -> DataFrame:
+    """Rows, partitions and, if named, files of each run (and table, say); rows without a run id are named."""
+    files = [F.count_distinct(file).alias("files_held")] if file else []
+    run = F.coalesce("run_id", F.lit("(no run id)")).alias("run_id")
+    return raw.groupBy(*by, run).agg(F.count("*").alias("rows_held"), *files, F.array_sort(F.collect_set("ingest_date")).alias("partitions"))
 
 
 def runs_against_rows(claims: DataFrame, held: DataFrame) -> DataFrame:
@@ -31,7 +33,7 @@ def resume_position(raw: DataFrame, column: str, since: str | None = None, start
 
 def position_drift(claims: DataFrame, raw: DataFrame, column: str) -> DataFrame:
     both = claims.agg(F.max("watermark_out").alias("claimed")).join(F.broadcast(raw.agg(F.max(column).alias("held"))))
-    return both.withColumn("drift", F.when(F.col("claimed").eqNullSafe(F.col("held")), "none").when(F.col("claimed") > F.col("held"), "ahead").otherwise("behind"))
+    return both.withColumn("drift", F.when(F.col("claimed").eqNullSafe(F.col("held")), "none").when(F.col("claimed").isNull(), "unclaimed").when(F.col("held").isNull() | (F.col("claimed") > F.col("held")), "ahead").otherwise("behind"))
 
 
 def supersession(rows: DataFrame, partition: str, key: str, version: str, datasets: list[str] = ()) -> DataFrame:
@@ -49,13 +51,25 @@ def supersession(rows: DataFrame, partition: str, key: str, version: str, datase
     return out.withColumn("proven", (F.col("unreachable") == 0) & (F.col("regressed") == 0))
 
 
-def retention(rows: DataFrame, proof: DataFrame, partition: str, keep: int) -> DataFrame:
-    """Each partition's fate: newest ``keep`` stay, older ones go if proven."""
+def retention(rows: DataFrame, proof: DataFrame, partition: str, keep: int, refresh: str = "snapshot") -> DataFrame:
+    """Each partition's fate: newest ``keep`` stay, older ones go if proven. A plan: nothing is dropped by it.
+
+    Only a snapshot dataset holds all its rows in each partition; for any other kind a plan is refused.
+    """
+    if refresh != "snapshot":
+        raise ValueError(f"retention needs a snapshot dataset, not {refresh}")
+    if keep < 1:
+        raise ValueError("the newest partition stays")
     ranked = rows.select(partition).distinct().withColumn("nth", F.dense_rank().over(Window.orderBy(F.col(partition).desc())))
     fate = F.when(F.col("nth") <= keep, "newest").when(F.coalesce("proven", F.lit(False)), "drop").otherwise("unproven")
     return ranked.join(proof.select(partition, "proven"), partition, "left").select(partition, "nth", fate.alias("fate"))
 
 
+def kept_rows(rows: DataFrame, fates: DataFrame, partition: str, dry_run: bool = True) -> DataFrame:
+    """The rows that stay when a plan is applied; all of them in a dry run, which is the default."""
+    return rows if dry_run else rows.join(F.broadcast(fates.filter("fate = 'drop'").select(partition)), partition, "left_anti")
+
+
 def runs_to_drop(runs: DataFrame, fates: DataFrame, partition: str) -> DataFrame:
     """Runs all of whose partitions go."""
     gone = fates.filter("fate = 'drop'").select(partition).withColumn("gone", F.lit(True))
@@ -63,17 +77,23 @@ def runs_to_drop(runs: DataFrame, fates: DataFrame, partition: str) -> DataFrame
 
 
 def changed_partitions(old: DataFrame, new: DataFrame, partition: str, share: float = 0.5) -> DataFrame:
-    """New or grown partitions are rebuilt alone; a shrunk or vanished one, or half of them touched, rebuilds the table."""
-    both = old.select(partition, F.col("rows").alias("old_rows")).join(new.select(partition, F.col("rows").alias("new_rows")), partition, "full_outer")
+    """New or grown partitions are rebuilt alone; a shrunk or vanished one, or a share of them touched, rebuilds the table.
+
+    A partition has grown or shrunk by its rows; with equal rows and another number of files it counts as grown.
+    """
+    if ("files" in old.columns) != ("files" in new.columns):
+        raise ValueError("both states need files, or none")
+    files = "files" in old.columns
+    mine = lambda df, name: df.select(partition, F.col("rows").alias(f"{name}_rows"), (F.col("files") if files else F.lit(0)).alias(f"{name}_files"))
+    both = mine(old, "old").join(mine(new, "new"), partition, "full_outer")
     state = (
         F.when(F.col("old_rows").isNull(), "new").when(F.col("new_rows").isNull(), "vanished").when(F.col("new_rows") > F.col("old_rows"), "grown")
-        .when(F.col("new_rows") < F.col("old_rows"), "shrunk").otherwise("same")
+        .when(F.col("new_rows") < F.col("old_rows"), "shrunk").when(F.col("new_files") != F.col("old_files"), "grown").otherwise("same")
     )
     both = both.select(partition, state.alias("state"))
-    whole = Window.partitionBy()
-    lost = F.max(F.col("state").isin("vanished", "shrunk")).over(whole)
-    much = F.sum((F.col("state") != "same").cast("int")).over(whole) >= share * F.count("*").over(whole)
-    return both.withColumn("rebuild", F.when(lost | much, "table").when(F.col("state") != "same", "partition").otherwise("none"))
+    totals = both.agg(F.max(F.col("state").isin("vanished", "shrunk")).alias("lost"), (F.count_if(F.col("state") != "same") >= share * F.count("*")).alias("much"))
+    rebuild = F.when(F.col("lost") | F.col("much"), "table").when(F.col("state") != "same", "partition").otherwise("none")
+    return both.join(F.broadcast(totals)).select(partition, "state", rebuild.alias("rebuild"))
 
 
 def derived_staleness(then: DataFrame, now: DataFrame) -> DataFrame:

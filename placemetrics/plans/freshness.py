@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,11 @@ def is_healthy(stale: Column, run_status: Column, failed: Column, malformed: Col
     return F.when(stale, False).when(F.coalesce(run_status == "failed", F.lit(False)), False).when(F.coalesce(failed, F.lit(0)) > 0, False).when(F.coalesce(malformed, F.lit(0)) > 0, False).otherwise(True)
 
 
-def loads(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """dataset, row_count, latest_load of each named table and its load column."""
-    parts = [df.agg(F.count("*").alias("row_count"), F.max(c).cast("timestamp_ntz").alias("latest_load")).select(F.lit(name).alias("dataset"), "row_count", "latest_load") for name, (df, c) in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def loads(tables: dict[str, tuple[DataFrame, str]], run: str | None = None) -> DataFrame:
+    """dataset, row_count, latest_load and latest_run of each named table, its load column and the column with its run."""
+    last = F.max(run) if run else F.lit(None).cast("string")
+    parts = [df.agg(F.count("*").alias("row_count"), F.max(c).cast("timestamp_ntz").alias("latest_load"), last.alias("latest_run")).withColumn("dataset", F.lit(name)) for name, (df, c) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("dataset", "row_count", "latest_load", "latest_run")
 
 
 def check_totals(results: DataFrame) -> DataFrame:

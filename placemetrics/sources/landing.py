@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placemetrics.operators.profile import schema_hash
+from placemetrics.sources.zones import found_paths, read_version, remove, write_version
 
 RUNS = (
     "run_id string, dataset string, table_name string, ingest_date string, started_at timestamp, finished_at timestamp, watermark_in string, "
@@ -51,24 +54,45 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None, after:
     return (df.filter(F.col(position) > after) if after else df).orderBy(position, key)
 
 
-def run_record(rows: DataFrame, position: str, **known: str) -> DataFrame:
+def ingest(rows: DataFrame, raw: str, runs: str, position: str, **known: str) -> None:
+    """Land a batch and append its run record, also for a batch without rows and for one that fails."""
+    spark = rows.sparkSession
+    try:
+        append_batch(land_records(rows, known["run_id"], known["finished_at"]), raw, known["ingest_date"])
+    except Exception as e:
+        failed = run_record(rows.limit(0), position, status="failed", error=shorten(str(e)), **known)
+        failed.write.mode("append").json(runs)
+        raise
+    done = read_raw(spark, raw, [known["ingest_date"]], with_file=True) if not rows.isEmpty() else None
+    if done is None:
+        run_record(rows.limit(0), position, status="success", **known).write.mode("append").json(runs)
+        return
+    own = done.filter(F.col("_ingest_run_id") == known["run_id"])
+    run_record(own, safe_name(position), files="source_file", status="success", **known).write.mode("append").json(runs)
+
+
+def shorten(text: str, most: int = 500) -> str:
+    return text if len(text) <= most else text[: most - 3] + "..."
+
+
+def run_record(rows: DataFrame, position: str, files: str | None = None, **known: str) -> DataFrame:
     """One record of a run, from the rows just written; a run without rows has one too."""
-    one = rows.agg(F.count("*").alias("rows_written"), F.max(position).alias("watermark_out"))
+    written = F.count_distinct(files) if files else F.lit(0).cast("long")
+    one = rows.agg(F.count("*").alias("rows_written"), F.max(position).alias("watermark_out"), written.alias("files_written"))
     names = T.StructType.fromDDL(RUNS).fields
-    return one.select(*((F.col(f.name) if f.name in ("rows_written", "watermark_out") else F.lit(known.get(f.name)).cast(f.dataType)).alias(f.name) for f in names))
+    made = ("rows_written", "watermark_out", "files_written")
+    return one.select(*((F.col(f.name).cast(f.dataType) if f.name in made else F.lit(known.get(f.name)).cast(f.dataType)).alias(f.name) for f in names))
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).option("multiLine", True).json(path)
+    return spark.read.schema(RUNS).json(path)
 
 
-def full_refresh(fresh: DataFrame, staging: str, target: str) -> bool:
-    """Replace a table only after a complete fetch; an empty result keeps the old one."""
-    fresh.write.mode("overwrite").parquet(staging)
-    done = fresh.sparkSession.read.schema(fresh.schema).parquet(staging)
-    if done.isEmpty():
+def full_refresh(fresh: DataFrame, path: str) -> bool:
+    """Replace a table only after a complete fetch; an empty result keeps the old one, and so does a crash."""
+    if fresh.isEmpty():
         return False
-    done.write.mode("overwrite").parquet(target)
+    write_version(fresh, path)
     return True
 
 
@@ -79,8 +103,8 @@ def load_views(spark: SparkSession, tables: dict[str, str], optional: dict[str,
     for name, path in tables.items():
         try:
             df = spark.read.option("mergeSchema", True).parquet(path)
-        except AnalysisException:
-            if name not in (optional or {}):
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND" or name not in (optional or {}):
                 raise
             df = spark.createDataFrame([], optional[name])
         df.createOrReplaceTempView(name)
@@ -90,14 +114,30 @@ def load_views(spark: SparkSession, tables: dict[str, str], optional: dict[str,
 def write_derived(df: DataFrame, schema: str, path: str) -> None:
     """A derived table is replaced as a whole, in its declared schema."""
     fields = T.StructType.fromDDL(schema).fields
-    df.select(*(F.col(f.name).cast(f.dataType) for f in fields)).write.mode("overwrite").parquet(path)
+    write_version(df.select(*(F.col(f.name).cast(f.dataType) for f in fields)), path)
+
+
+def read_derived(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """The newest complete state of a derived table in its declared schema; an empty one if there is none yet."""
+    found = read_version(spark, path, T.StructType.fromDDL(schema))
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def publish(df: DataFrame, name: str, path: str, at: str, partition_by: list[str] | None = None, files: int = 1) -> DataFrame:
-    """Write a mart in few files, then return its manifest row."""
-    out = df.repartition(files) if files > 1 else df.coalesce(1)
-    writer = out.write.mode("overwrite")
+    """Write a mart in few files, then return its manifest row. The mart is computed at full width and only then dealt to its files."""
+    writer = df.repartition(files).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     done = df.sparkSession.read.parquet(path)
     size = done.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size").alias("bytes"))
     return done.agg(F.count("*").alias("rows")).join(F.broadcast(size)).select(F.lit(name).alias("mart"), "rows", "bytes", F.lit(schema_hash(df)).alias("schema_hash"), F.lit(at).alias("published_at"))
+
+
+def publish_all(marts: dict[str, DataFrame], root: str, at: str) -> DataFrame:
+    """Publish marts under ``root``, remove what is no longer published, and write the manifest last."""
+    rows = reduce(lambda a, b: a.unionByName(b), [publish(df, name, f"{root}/{name}", at) for name, df in marts.items()])
+    spark = rows.sparkSession
+    for path in found_paths(spark, f"{root}/*"):
+        if path.rsplit("/", 1)[1] not in {*marts, "manifest"}:
+            remove(spark, path)
+    rows.coalesce(1).write.mode("overwrite").json(f"{root}/manifest")  # a row a mart
+    return spark.read.schema("mart string, rows long, bytes long, schema_hash string, published_at string").json(f"{root}/manifest")

@@ -1,7 +1,8 @@
-"""Tables written once and read again: derived tables that several steps of a job share."""
+"""Tables written once and read again, and tables that are replaced version by version."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,15 +10,58 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of its own only where the session names none."""
+    """The cluster's shared folder; one of its own only where the session names none, which only a local session may do."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-zones-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def found_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in any file system that Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    hits = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(h.getPath()) for h in hits or [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Complete versions of a table, oldest first."""
+    done = [p.removesuffix("/_SUCCESS") for p in found_paths(spark, f"{path}/version=*/_SUCCESS")]
+    return sorted((int(re.search(r"version=(\d+)$", p)[1]), p) for p in done)
+
+
+def write_version(df: DataFrame, path: str, number: int | None = None, keep: int = 2) -> None:
+    """A new version beside the old ones. It counts once it is complete, so a crash leaves the last one in place.
+
+    Writing a number again replaces that version; versions beyond the newest ``keep`` are removed afterwards.
+    """
+    spark = df.sparkSession
+    have = versions(spark, path)
+    number = number if number is not None else (have[-1][0] + 1 if have else 0)
+    df.write.mode("overwrite").parquet(f"{path}/version={number:012d}")
+    for _, old in versions(spark, path)[:-keep]:
+        remove(spark, old)
+
+
+def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The newest complete version, or None."""
+    have = versions(spark, path)
+    return spark.read.schema(schema).parquet(have[-1][1]) if have else None

@@ -1,45 +1,73 @@
-"""Streams of JSON drops: landing, a latest-version table kept current, monthly counts of the groups a batch touches."""
+"""Streams of JSON drops: landing, a latest-version table kept current, monthly counts of the groups a batch touches.
+
+Every batch is written under its own number and counts once it is complete. A batch that a restart replays replaces what it
+had written, and a crash between batches leaves the state of the last complete one.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placemetrics.functions.casts import month
-from placemetrics.operators.versions import latest_by_key, merge
-from placemetrics.sources.landing import append_batch, land_records
+from placemetrics.operators.versions import latest_by_key
+from placemetrics.sources.landing import land_records, run_record
+from placemetrics.sources.zones import found_paths, remove
 
+#: Parts of a latest-version table; a batch rewrites those that its keys fall into.
+PARTS = 64
 
-def land_stream(spark: SparkSession, drops: str, schema: str, raw: str, checkpoint: str, run_id: str, day: str) -> StreamingQuery:
-    """Every drop once into the raw zone; the checkpoint is the resume position."""
+
+def land_stream(spark: SparkSession, drops: str, schema: str, raw: str, checkpoint: str, run_id: str, day: str, runs: str | None = None, position: str | None = None) -> StreamingQuery:
+    """Every drop once into the raw zone, with a run record for each batch; the checkpoint is the resume position."""
 
     def one(batch: DataFrame, number: int) -> None:
-        append_batch(land_records(batch, f"{run_id}-{number}", day), raw, day)
+        name = f"{run_id}-{number}"
+        at = f"{raw}/ingest_date={day}/batch={number}"
+        land_records(batch, name, day).write.mode("overwrite").parquet(at)
+        if runs:
+            done = batch.sparkSession.read.parquet(at).select("*", F.col("_metadata.file_path").alias("source_file"))
+            record = run_record(done, position or "_ingested_at", files="source_file", run_id=name, ingest_date=day, mode="stream", status="success")
+            record.write.mode("overwrite").json(f"{runs}/run={name}")
 
     return spark.readStream.schema(schema).json(drops).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _replace(df: DataFrame, path: str) -> None:
-    """Write beside the table, then over it: a table cannot be read and overwritten in one job."""
-    df.write.mode("overwrite").parquet(f"{path}.next")
-    df.sparkSession.read.parquet(f"{path}.next").write.mode("overwrite").parquet(path)
+def _parts(spark: SparkSession, path: str, before: int | None = None) -> dict[int, str]:
+    """The folder that holds each part's newest state, from complete batches (before a number) only."""
+    done = {int(re.search(r"batch=(\d+)/_SUCCESS$", p)[1]) for p in found_paths(spark, f"{path}/batch=*/_SUCCESS")}
+    newest: dict[int, tuple[int, str]] = {}
+    for p in found_paths(spark, f"{path}/batch=*/part=*"):
+        batch, part = (int(x) for x in re.search(r"batch=(\d+)/part=(\d+)$", p).groups())
+        if batch in done and (before is None or batch < before):
+            newest[part] = max(newest.get(part, (-1, "")), (batch, p))
+    return {part: p for part, (_, p) in newest.items()}
+
+
+def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The latest-version table as of its last complete batch."""
+    found = list(_parts(spark, path).values())
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
 def latest_stream(spark: SparkSession, drops: str, schema: str, latest: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
-    """The newest version of every key, whatever the order of arrival."""
+    """The newest version of every key, whatever the order of arrival. A batch rewrites only the parts that its keys fall into."""
 
     def one(batch: DataFrame, number: int) -> None:
-        fresh = latest_by_key(batch, key, order)
-        try:
-            cache = batch.sparkSession.read.schema(batch.schema).parquet(latest)
-            touched = cache.join(fresh.select(*key), key, "left_semi")
-            fresh = latest_by_key(fresh.unionByName(touched), key, order)
-            fresh = merge(cache, fresh, key)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        _replace(fresh, latest)
+        session = batch.sparkSession
+        part = F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")
+        touched = [r[0] for r in batch.select(part).distinct().collect()]  # PARTS values at most
+        old = _parts(session, latest, before=number)
+        paths = [old[t] for t in touched if t in old]
+        rows = batch.unionByName(session.read.schema(batch.schema).parquet(*paths)) if paths else batch
+        fresh = latest_by_key(rows, key, order).withColumn("part", part)
+        fresh.repartition(max(1, len(touched)), "part").write.mode("overwrite").partitionBy("part").parquet(f"{latest}/batch={number}")
+        for t in touched:
+            if t in old and int(re.search(r"batch=(\d+)/", old[t])[1]) < number - 1:
+                remove(session, old[t])  # the batch before stays, for a reader that has just listed it
 
     return spark.readStream.schema(schema).json(drops).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -49,3 +77,23 @@ def recount(latest: DataFrame, touched: DataFrame, place: str, ts: str) -> DataF
     rows = latest.withColumn("event_month", month(F.col(ts)))
     groups = touched.select(place, month(F.col(ts)).alias("event_month")).distinct()
     return rows.join(groups, [place, "event_month"], "left_semi").groupBy(place, "event_month").agg(F.count("*").alias("event_count"))
+
+
+def recount_stream(spark: SparkSession, drops: str, schema: str, latest: str, counts: str, checkpoint: str, place: str, ts: str) -> StreamingQuery:
+    """Monthly counts by place kept current: each batch recounts, over the latest table, the groups that its rows touch.
+
+    An update changes old months, so windows that only append would be wrong. Run it after ``latest_stream`` on the same drops.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        fresh = recount(read_latest(batch.sparkSession, latest, batch.schema), batch, place, ts)
+        fresh.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{counts}/part={number}")
+
+    return spark.readStream.schema(schema).json(drops).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_counts(spark: SparkSession, path: str, place: str) -> DataFrame:
+    """The newest count of every group."""
+    rows = spark.read.parquet(path)
+    newest = rows.groupBy(place, "event_month").agg(F.max_by("event_count", "batch").alias("event_count"))
+    return newest.filter("event_count > 0")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from placemetrics.functions import casts
 from placemetrics.operators import checks, profile, reconcile, versions
-from placemetrics.sources import landing
+from placemetrics.sources import landing, zones
 from placemetrics.streaming import feeds
 
 
@@ -34,15 +34,37 @@ def test_json_source_refresh_views_and_publish(spark, tmp_path):
     (tmp_path / "in" / "a.json").write_text(json.dumps([{"id": "b", "updated_at": "2"}, {"id": "a", "updated_at": "2"}, {"id": "c", "updated_at": "1"}]))
     got = landing.read_json(spark, str(tmp_path / "in"), after="1")
     assert [r.id for r in got.collect()] == ["a", "b"]
-    target, staging = str(tmp_path / "t"), str(tmp_path / "s")
-    assert landing.full_refresh(got, staging, target) and not landing.full_refresh(got.limit(0), staging, target)
-    assert spark.read.parquet(target).count() == 2
+    target = str(tmp_path / "t")
+    assert landing.full_refresh(got, target) and not landing.full_refresh(got.limit(0), target)
+    assert zones.read_version(spark, target, got.schema).count() == 2
+    for n in (1, 2, 3):
+        assert landing.full_refresh(got.limit(n), target)
+    assert [v for v, _ in zones.versions(spark, target)] == [2, 3]
+    (tmp_path / "t" / "version=000000000009").mkdir()  # a version whose writing has not ended
+    assert zones.read_version(spark, target, got.schema).count() == 2
+    target = zones.versions(spark, target)[-1][1]
     landing.load_views(spark, {"things": target, "absent": str(tmp_path / "no")}, {"absent": "x long"})
     assert spark.sql("select * from absent").columns == ["x"] and spark.table("things").count() == 2
     row = landing.publish(spark.table("things"), "things", str(tmp_path / "p"), "now").first()
     assert row.rows == 2 and row.bytes > 0 and len(row.schema_hash) == 64
+    assert landing.read_derived(spark, "id int", str(tmp_path / "d")).count() == 0
     landing.write_derived(spark.range(3), "id int", str(tmp_path / "d"))
-    assert spark.read.parquet(str(tmp_path / "d")).dtypes == [("id", "int")]
+    assert landing.read_derived(spark, "id int", str(tmp_path / "d")).dtypes == [("id", "int")]
+    root = str(tmp_path / "marts")
+    landing.publish_all({"a": spark.range(3), "b": spark.range(4)}, root, "t1")
+    assert {r.mart: r.rows for r in landing.publish_all({"b": spark.range(5)}, root, "t2").collect()} == {"b": 5} and not (tmp_path / "marts" / "a").exists()
+
+
+def test_a_run_is_recorded_whether_it_succeeds_or_not(spark, tmp_path):
+    raw, runs = str(tmp_path / "raw"), str(tmp_path / "runs")
+    rows = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, `:updated` string")
+    known = {"dataset": "d", "ingest_date": "2024-01-01", "finished_at": "2024-01-01 00:00:00"}
+    landing.ingest(rows, raw, runs, ":updated", run_id="r1", **known)
+    landing.ingest(rows.limit(0), raw, runs, ":updated", run_id="r2", **known)
+    with pytest.raises(Exception, match="(?i)divi"):
+        landing.ingest(rows.withColumn("x", F.expr("cast(id as int) / 0")), raw, runs, ":updated", run_id="r3", **known)
+    got = {r.run_id: (r.status, r.rows_written, r.watermark_out, r.error is None) for r in landing.read_runs(spark, runs).collect()}
+    assert got == {"r1": ("success", 2, "b", True), "r2": ("success", 0, None, True), "r3": ("failed", 0, None, False)}
 
 
 def test_streams(spark, tmp_path):
@@ -59,8 +81,17 @@ def test_streams(spark, tmp_path):
     (drops / "2.json").write_text('{"id":"1","place":"x","ts":"2024-02-01","v":"new"}\n{"id":"2","place":"x","ts":"2023-12-01","v":"late"}\n')
     run()
     assert spark.read.parquet(raw).count() == 4
-    rows = spark.read.parquet(latest)
+    rows = feeds.read_latest(spark, latest, schema)
     assert {r.id: r.v for r in rows.collect()} == {"1": "new", "2": "a"}
+    # a crash in the middle of a batch: its folder is not complete, so the state before it holds, and the batch runs again
+    (tmp_path / "latest" / "batch=2" / "part=0").mkdir(parents=True)
+    (drops / "3.json").write_text('{"id":"3","place":"y","ts":"2024-03-01","v":"z"}\n')
+    assert feeds.read_latest(spark, latest, schema).count() == 2
+    run()
+    assert {r.id: r.v for r in feeds.read_latest(spark, latest, schema).collect()} == {"1": "new", "2": "a", "3": "z"}
+    totals = str(tmp_path / "totals")
+    feeds.recount_stream(spark, str(drops), schema, latest, totals, str(tmp_path / "c3"), "place", "ts").awaitTermination()
+    assert {(r.place, str(r.event_month)): r.event_count for r in feeds.read_counts(spark, totals, "place").collect()} == {("x", "2024-01-01"): 1, ("x", "2024-02-01"): 1, ("y", "2024-03-01"): 1}
     counts = feeds.recount(rows, rows.filter("id = '1'"), "place", "ts").collect()
     assert [(r.place, str(r.event_month), r.event_count) for r in counts] == [("x", "2024-02-01", 1)]
 
@@ -88,6 +119,11 @@ def test_retention_keeps_unproven_partitions_and_their_runs(spark):
     assert {r.day: (r.unreachable, r.regressed, r.proven) for r in proof.collect()} == {"1": (0, 0, True), "2": (1, 0, False)}
     fates = reconcile.retention(rows, proof, "day", 1)
     assert {r.day: r.fate for r in fates.collect()} == {"1": "drop", "2": "unproven", "3": "newest"}
+    assert reconcile.kept_rows(rows, fates, "day").count() == 6 and reconcile.kept_rows(rows, fates, "day", dry_run=False).count() == 4
+    with pytest.raises(ValueError, match="snapshot"):
+        reconcile.retention(rows, proof, "day", 1, refresh="delta")
+    nameless = spark.createDataFrame([("1", None, 1), ("2", None, 2)], "day string, key string, v int")
+    assert reconcile.supersession(nameless, "day", "key", "v").first().unreachable == 1  # a null key is never found again
     runs = spark.createDataFrame([("r1", "1"), ("r2", "1"), ("r2", "2")], "run_id string, day string")
     assert [r.run_id for r in reconcile.runs_to_drop(runs, fates, "day").collect()] == ["r1"]
 
@@ -99,3 +135,5 @@ def test_schema_changes_and_parity(spark):
     assert [(r.column_name, r.k) for r in profile.differing(a, b, ["k"]).collect()] == [("v", 1)]
     old, new = profile.schema_rows(a), profile.schema_rows(a.select("k", F.col("v").cast("string"), F.lit(1).alias("n")))
     assert {r.column_name: r.change for r in profile.schema_changes(old, new).collect()} == {"v": "retyped", "s": "removed", "n": "added"}
+    renamed = profile.schema_rows(a.withColumnRenamed("s", "t"))
+    assert [(r.column_name, r.change, r.new_name) for r in profile.schema_changes(old, renamed).collect()] == [("s", "renamed", "t")]
