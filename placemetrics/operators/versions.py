@@ -42,6 +42,7 @@ def input_state(df: DataFrame, key: str, watermark: str, name: str) -> DataFrame
     return df.agg((F.count_distinct(key) + nulls).alias("rows"), F.max(watermark).alias("watermark")).select(F.lit(name).alias("table_name"), "rows", "watermark")
 
 
-def partition_state(df: DataFrame, partition: str, file: str | None = None) -> DataFrame:
-    files = [F.count_distinct(file).alias("files")] if file else []
-    return df.groupBy(partition).agg(F.count("*").alias("rows"), *files)
+def partition_state(df: DataFrame, partition: str, file: str | None = None, key: str | None = None) -> DataFrame:
+    """Rows, and where named the different files and keys, of each partition."""
+    more = [F.count_distinct(c).alias(n) for n, c in (("files", file), ("keys", key)) if c]
+    return df.groupBy(partition).agg(F.count("*").alias("rows"), *more)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,24 @@ def boundaries(spark: SparkSession, sf: str) -> DataFrame:
     return nations.unionByName(r.select(F.lit("region").alias("boundary_set"), F.col("k").cast("string").alias("boundary_id"), F.expr(one(whole)).alias("geojson")))
 
 
+#: Directions of a ring's sixteen vertices.
+ROUND = [(round(math.cos(math.pi * i / 8), 6), round(0.8 * math.sin(math.pi * i / 8), 6)) for i in range(16)]
+
+
+def rings(spark: SparkSession, sf: str) -> DataFrame:
+    """A ring of sixteen slanted edges for each supplier, a thousand to a set: every seventh with a hole, every tenth tiny."""
+    k = F.col("s_suppkey")
+    x, y = F.lit(WEST + 0.02) + (k % 40) * F.lit(0.022), F.lit(SOUTH + 0.01) + (F.expr("s_suppkey div 40") % 25) * F.lit(0.0128)
+    size = F.when(k % 10 == 0, 0.0002).otherwise(0.006)
+
+    def ring(part: float):
+        points = [F.concat(F.lit("["), F.round(x + size * F.lit(part) * a, 6).cast("string"), F.lit(","), F.round(y + size * F.lit(part) * b, 6).cast("string"), F.lit("]")) for a, b in ROUND]
+        return F.concat(F.lit("["), F.concat_ws(",", *points), F.lit("]"))
+
+    shape = F.concat(F.lit('{"type":"Polygon","coordinates":['), ring(1.0), F.when(k % 7 == 0, F.concat(F.lit(","), ring(0.5))).otherwise(""), F.lit("]}"))
+    return table(spark, sf, "supplier").select(F.concat(F.lit("ring"), F.expr("s_suppkey div 1000")).alias("boundary_set"), k.cast("string").alias("boundary_id"), shape.alias("geojson"))
+
+
 def versioned_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events as strings, every tenth again later with another value, and a tie on the first order column."""
     e = table(spark, sf, "events")
@@ -71,13 +90,13 @@ def place_events(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [orders, items]
 
 
-def nation_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    """Boundaries of the nations with customers as residents and suppliers as businesses, as ``activity.dimension`` wants them."""
-    from placemetrics.operators import polygons
-    from placemetrics.plans.activity import dimension
+def residents(spark: SparkSession, sf: str) -> DataFrame:
+    """People and housing units (customers, and those with a balance) of every nation."""
+    c = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("string").alias("boundary_id"))
+    return c.agg(F.count("*").alias("population"), F.count_if(F.col("c_acctbal") > 0).alias("housing_units"))
+
 
-    own = boundaries(spark, sf).filter("boundary_set = 'nation'")
-    areas = own.join(polygons.area(polygons.edges(own)), ["boundary_set", "boundary_id"]).select("boundary_id", "area_sq_km")
-    people = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("string").alias("boundary_id")).agg((F.count("*") * F.lit(1.0)).alias("population"), F.count("*").alias("cell_count"))
-    firms = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("string").alias("boundary_id")).agg(F.count_if(F.col("s_acctbal") > 0).alias("businesses"))
-    return dimension(areas, people, firms)
+def firms(spark: SparkSession, sf: str, place: str = "nation") -> DataFrame:
+    """Active businesses (suppliers with a balance) of every nation or region."""
+    own = F.col("s_nationkey") if place == "nation" else F.expr("s_nationkey div 5")
+    return table(spark, sf, "supplier").groupBy(own.cast("string").alias("boundary_id")).agg(F.count_if(F.col("s_acctbal") > 0).alias("businesses"))

@@ -47,11 +47,15 @@ def read_raw(spark: SparkSession, path: str, partitions: list[str] | None = None
     return df if partitions is None else df.filter(F.col("ingest_date").isin(partitions))
 
 
-def read_json(spark: SparkSession, path: str, schema: str | None = None, after: str | None = None, position: str = "updated_at", key: str = "id") -> DataFrame:
+def after(df: DataFrame, since: str | None, position: str, key: str) -> DataFrame:
+    """Records after a position, in the order of position and key."""
+    return (df.filter(F.col(position) > since) if since else df).orderBy(position, key)
+
+
+def read_json(spark: SparkSession, path: str, schema: str | None = None, since: str | None = None, position: str = "updated_at", key: str = "id") -> DataFrame:
     """JSON records after a position, in the order of position and key."""
     reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
-    df = (reader.schema(schema) if schema else reader).json(path)
-    return (df.filter(F.col(position) > after) if after else df).orderBy(position, key)
+    return after((reader.schema(schema) if schema else reader).json(path), since, position, key)
 
 
 def ingest(rows: DataFrame, raw: str, runs: str, position: str, **known: str) -> None:

@@ -65,3 +65,17 @@ def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The newest complete version, or None."""
     have = versions(spark, path)
     return spark.read.schema(schema).parquet(have[-1][1]) if have else None
+
+
+_DERIVED: dict[tuple[str, str, str], tuple] = {}
+
+
+def derived(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A table derived from the tables of ``sf``: built and written once in an application, then read by every query that needs it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _DERIVED:
+        df, path = build(), fresh_path(spark, name)
+        df.write.parquet(path)
+        _DERIVED[key] = (path, df.schema)
+    path, schema = _DERIVED[key]
+    return spark.read.schema(schema).parquet(path)

@@ -7,7 +7,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from placemetrics.queries import QUERIES, SQL
+from placemetrics import queries, zone_queries
+
+QUERIES, SQL = queries.QUERIES | zone_queries.QUERIES, queries.SQL | zone_queries.SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -32,7 +32,7 @@ def test_landing_round_trip(spark, tmp_path):
 def test_json_source_refresh_views_and_publish(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(json.dumps([{"id": "b", "updated_at": "2"}, {"id": "a", "updated_at": "2"}, {"id": "c", "updated_at": "1"}]))
-    got = landing.read_json(spark, str(tmp_path / "in"), after="1")
+    got = landing.read_json(spark, str(tmp_path / "in"), since="1")
     assert [r.id for r in got.collect()] == ["a", "b"]
     target = str(tmp_path / "t")
     assert landing.full_refresh(got, target) and not landing.full_refresh(got.limit(0), target)
