@@ -1,15 +1,17 @@
 """Exact top-k search by no-random-access aggregation over sorted lists.
 
-Each dimension is a list: a block of vectors sorted by that component, read from the top for queries with a positive
-weight there and from the bottom for a negative one. Reading goes down all lists together, a share of the block at a time.
-What has been read bounds every vector's score from both sides: an unread component lies between the last value read and
-the far end of its list. Vectors whose upper bound is below the k-th best lower bound cannot qualify and drop out; when few
-are left, their scores are resolved. Blocks of vectors and blocks of queries meet in pairs, so a task holds one of each;
+In a block of vectors each dimension is a list, sorted by that component, that a query reads from its better end: from the
+top for a positive weight, from the bottom for a negative one. A query reads all its lists down together, step by step, and
+keeps for what it has seen a lower bound (what is unread counts as the far end of its list) and an upper bound (what is
+unread counts as the value last read). It stops as soon as nothing outside its best k can qualify: neither an unseen vector,
+whose bound is the sum of the values last read, nor a seen one below the k-th lower bound. Only then are the scores of what
+is left resolved. Blocks of vectors and blocks of queries meet in pairs, so a task holds one of each, of bounded size;
 the best k of all blocks are then ranked.
 
-Components become floor(scale * x). A vector that is null, or holds a null, NaN or infinite component, takes no part, nor
-does one with a null id. Ties go to the smaller id. Equal rows are candidates of their own, except that a query never meets
-rows of its own id. Vectors of another length than a query's are not compared with it. An empty table gives an empty table.
+Components become floor(scale * x), whole numbers, and sums are whole too, so no score is rounded; one that a long cannot
+hold is an error. A vector that is null, or holds a null, NaN or infinite component, takes no part, nor does one with a null
+id. Ties go to the smaller id. Equal rows are candidates of their own, except that a query never meets rows of its own id.
+Vectors of another length than a query's are not compared with it. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,41 +25,67 @@ from pyspark.sql import types as T
 
 from placemetrics.llm.common import table
 
-#: Vectors of a block, and blocks at least; queries of a block.
-BLOCK, BLOCKS, QUERY_BLOCK = 8192, 32, 2048
-#: Shares of the lists at which bounds are compared.
-DEPTHS = (0.25, 0.5, 0.75)
-
-
-def no_random_access(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: its number, positions and scores of its best k of these vectors, by score, then id. Values are whole numbers."""
-    n, dims = vectors.shape
-    order = np.argsort(vectors, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    weights = np.hstack([up, down])
-    lowest, highest = vectors[order[0], np.arange(dims)], vectors[order[-1], np.arange(dims)]
-    alive = ids[None, :] != own[:, None]
-    for depth in DEPTHS:
-        read = int(n * depth)
-        if read < 1 or n <= 4 * k:
-            break
-        top, bottom = rank >= n - read, rank < read
-        top_at, bottom_at = vectors[order[n - read], np.arange(dims)], vectors[order[read - 1], np.arange(dims)]
-        # a positive weight reads from the top: what is unread is at most the last value read and at least the lowest
-        upper = weights @ np.hstack([np.where(top, vectors, top_at), np.where(bottom, vectors, bottom_at)]).T
-        lower = weights @ np.hstack([np.where(top, vectors, lowest), np.where(bottom, vectors, highest)]).T
-        lower[~alive] = -np.inf
-        bar = np.partition(lower, n - k, axis=1)[:, n - k]
-        alive &= upper >= bar[:, None]
-        if alive.sum() <= 4 * k * len(queries):
-            break
-    for q in range(len(queries)):
-        left = np.flatnonzero(alive[q])
-        score = vectors[left] @ queries[q]
-        best = np.lexsort((ids[left], -score))[:k]
-        yield q, left[best], score[best]
+#: Vectors and queries of a block at most; blocks that a smaller table is cut into, and rows of such a block at least.
+BLOCK, QUERY_BLOCK, PARTS, LEAST = 16384, 4096, 8, 1024
+#: Places of the lists read at first, and the growth of a step: bounds are compared after each step.
+STEP, GROWTH = 32, 1.2
+
+
+class Lists:
+    """The sorted lists of a block: which vector stands where in each dimension, and the reverse."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        self.order = np.argsort(vectors, axis=0, kind="stable").astype(np.int32)
+        self.place = np.empty_like(self.order)
+        np.put_along_axis(self.place, self.order, np.arange(len(vectors), dtype=np.int32)[:, None], axis=0)
+        self.least, self.most = vectors.min(axis=0), vectors.max(axis=0)
+        self.size = np.maximum(np.abs(self.least.astype(np.float64)), np.abs(self.most.astype(np.float64)))
+
+
+def no_random_access(lists: Lists, weights: np.ndarray, eligible: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Positions and scores of what may be among the best k of the eligible vectors, ties included, and how many entries were read."""
+    n, dims = len(lists.vectors), np.flatnonzero(weights)
+    if float((np.abs(weights.astype(np.float64)) * lists.size).sum()) >= 2.0**61:
+        raise OverflowError("a score is beyond a long")
+    left, depth = np.flatnonzero(eligible), 0
+    if len(left) > k and len(dims):
+        w, up = weights[dims], weights[dims] > 0
+        order, vectors = lists.order[:, dims], lists.vectors[:, dims]
+        worst = w * np.where(up, lists.least[dims], lists.most[dims])
+        gain, seen = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)  # a lower bound is gain and the sum of the worst
+        at, open_ = np.arange(len(dims)), True
+        while depth < n and len(left) > k:
+            t = np.arange(depth, min(n, max(depth + STEP, int(depth * GROWTH))))
+            rows = np.where(up, order[n - 1 - t], order[t])
+            read = vectors[rows, at] * w - worst
+            np.add.at(gain, rows.ravel(), read.ravel())
+            depth, last = int(t[-1]) + 1, read[-1]
+            if open_:
+                seen[rows.ravel()] = True
+                known = np.flatnonzero(seen & eligible)
+                if len(known) < k:
+                    continue
+                bar = np.partition(gain[known], len(known) - k)[len(known) - k]
+                if last.sum() >= bar and depth < n:
+                    continue  # an unseen vector may still qualify
+                open_, left = False, known
+            bar = np.partition(gain[left], len(left) - k)[len(left) - k]
+            left = left[gain[left] + last.sum() >= bar]
+            place = lists.place[left][:, dims]
+            unread = np.where(up, n - 1 - place, place) >= depth
+            left = left[gain[left] + unread @ last >= bar]
+    return left, lists.vectors[left] @ weights, depth * len(dims)
+
+
+def _by_length(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, rows and matrix of the vectors of each length in an Arrow column of lists."""
+    whole = column.combine_chunks()
+    flat, ends = whole.flatten().to_numpy(zero_copy_only=False), np.asarray(whole.offsets, dtype=np.int64)
+    starts, sizes = ends[:-1] - ends[0], np.diff(ends)
+    for length in np.unique(sizes):
+        rows = np.flatnonzero(sizes == length)
+        yield int(length), rows, flat[starts[rows][:, None] + np.arange(length)].astype(np.int64).reshape(len(rows), int(length))
 
 
 def search(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale: float = 256.0) -> DataFrame:
@@ -66,7 +94,8 @@ def search(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scal
     rows = df.select(F.col(key).alias("__id"), F.col(vector).cast("array<double>").alias("__v")).filter(fine)
     rows = rows.select("__id", F.transform("__v", lambda x: F.floor(x * scale).cast("long")).alias("__v"))
     n, nq = rows.agg(F.count("*"), F.count_if(F.expr(is_query))).first()
-    blocks, query_blocks = max(BLOCKS, -(-n // BLOCK)), max(1, -(-nq // QUERY_BLOCK))
+    blocks = max(1, -(-n // BLOCK), min(PARTS, -(-n // LEAST)))
+    query_blocks = max(1, -(-nq // QUERY_BLOCK), min(PARTS, -(-nq // (LEAST // PARTS))))
     spread = F.pmod(F.xxhash64("__id"), F.lit(blocks).cast("long"))
     vectors = rows.withColumn("block", spread).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     queries = rows.filter(is_query).withColumn("query_block", F.pmod(F.xxhash64("__id", F.lit("query")), F.lit(query_blocks)).cast("int"))
@@ -76,22 +105,24 @@ def search(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scal
     def meet(q, v):
         import pyarrow as pa
 
-        found: list[tuple] = []
-        by_length: dict[int, list[int]] = {}
-        vec, que = [np.asarray(x, dtype=np.float64) for x in v["__v"].to_pylist()], [np.asarray(x, dtype=np.float64) for x in q["__v"].to_pylist()]
+        found: list[list] = [[], [], []]
         vid, qid = v["__id"].to_numpy(), q["__id"].to_numpy()
-        for i, x in enumerate(vec):
-            by_length.setdefault(len(x), []).append(i)
-        for length, at in by_length.items():
-            of = [i for i, x in enumerate(que) if len(x) == length]
-            if not of or not length:
-                found += [(qid[i], vid[j], 0) for i in of for j in sorted((j for j in at if vid[j] != qid[i]), key=lambda j: vid[j])[:k]]
+        asked = {length: (at, m) for length, at, m in _by_length(q["__v"])} if q.num_rows else {}
+        for length, at, m in _by_length(v["__v"]) if asked and v.num_rows else ():
+            if length not in asked:
                 continue
-            ids = vid[at]
-            for n_, best, score in no_random_access(np.stack([que[i] for i in of]), np.stack([vec[i] for i in at]), ids, qid[of], k):
-                found += zip([qid[of[n_]]] * len(best), ids[best], score.astype(np.int64), strict=True)
-        a, b, c = zip(*found, strict=True) if found else ((), (), ())
-        return pa.table({"query_id": pa.array(a, q.schema.field("__id").type), "vec_id": pa.array(b, q.schema.field("__id").type), "score": pa.array(c, pa.int64())})
+            ids, lists = vid[at], Lists(m) if length else None
+            for own, weights in zip(qid[asked[length][0]], asked[length][1], strict=True):
+                if lists is None:
+                    left, score = np.flatnonzero(ids != own), np.zeros(int((ids != own).sum()), np.int64)
+                else:
+                    left, score, _ = no_random_access(lists, weights, ids != own, k)
+                best = np.lexsort((ids[left], -score))[:k]
+                found[0] += [own] * len(best)
+                found[1] += ids[left[best]].tolist()
+                found[2] += score[best].tolist()
+        kind = q.schema.field("__id").type
+        return pa.table({"query_id": pa.array(found[0], kind), "vec_id": pa.array(found[1], kind), "score": pa.array(found[2], pa.int64())})
 
     best = queries.groupBy("block", "query_block").cogroup(vectors.groupBy("block", "query_block")).applyInArrow(meet, schema)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -251,6 +251,26 @@ def test_search_of_odd_vectors_and_ties(spark):
     assert topk_search.search(df.limit(0), "vec_id", "embedding", "__id % 50 = 0").count() == 0
 
 
+def test_lists_are_read_as_far_as_they_must():
+    rng = np.random.default_rng(7)
+    n, dims, k = 6000, 24, 5
+    skewed = np.floor(256 * rng.exponential(size=(n, dims)) ** 4).astype(np.int64)
+    lists, read = topk_search.Lists(skewed), []
+    for q in range(0, 200, 5):
+        weights = np.where(rng.random(dims) < 0.2, skewed[q] + 1, 0)
+        left, score, entries = topk_search.no_random_access(lists, weights, np.arange(n) != q, k)
+        full = skewed @ weights
+        full[q] = -1
+        assert sorted(score.tolist())[-k:] == sorted(full.tolist())[-k:]
+        read.append(entries / (n * max(1, (weights != 0).sum())))
+    assert np.mean(read) < 0.25, np.mean(read)  # of all list entries
+    big = np.array([[2**52 + 1, 3], [2**52, 4], [1, 2], [5, 5], [2**52 + 1, 2]], dtype=np.int64)
+    left, score, _ = topk_search.no_random_access(topk_search.Lists(big), np.array([7, 1]), np.ones(5, bool), 2)
+    assert sorted(score.tolist())[-2:] == [7 * (2**52 + 1) + 2, 7 * (2**52 + 1) + 3]  # beyond 2**53, exact
+    with pytest.raises(OverflowError):
+        topk_search.no_random_access(topk_search.Lists(big), np.array([2**40, 1]), np.ones(5, bool), 2)
+
+
 def test_embedding_groups_equal_brute_force(spark):
     rng = np.random.default_rng(3)
     centers = rng.normal(size=(30, 32))
