@@ -8,8 +8,10 @@ descendant contradicts an ancestor.
 
 There are no labelled pages. The trees learn from nodes that their own markup declares: semantic containers (article, main
 and what lies in them; nav, header, footer, aside, forms, scripts and elements named as adverts, menus, comments and so
-on), with the declaring tag or attribute masked in a share of the examples, so that density and place count too. They are
-fitted on the nodes of at most ``TRAIN_PAGES`` pages, those of lowest hash.
+on). What the markup declares is the label only: a node's features never say it, and in a share ``MASKED`` of the examples
+tag and attributes are masked as a whole, so that the trees also learn density, links, depth and neighbours and find the
+main text of pages whose markup declares nothing. They are fitted on the nodes of at most ``TRAIN_PAGES`` different pages,
+those of lowest hash.
 
 Text is the kept nodes' text with character references decoded, white space inside a block made one space, trimmed, and
 blocks joined by an empty line in page order; nothing is dropped or capped beyond the rejected nodes. A null or empty page,
@@ -29,12 +31,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemetrics.llm.common import table
+from placemetrics.llm.common import slices, table
 
 TRAIN_PAGES = 400
 TREES, LEAVES_DEPTH, RATE, BINS = 24, 4, 0.4, 32
-MASKED = 0.3
-TOKENS = 48
+MASKED = 0.5
+TOKENS = 128
 
 # Fixed values of HTML and of how sites name their parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +55,7 @@ NOISE = re.compile(
 GOOD = re.compile(r"(?:^|[\W_])(?:article\w*|main\w*|content|post\w*|entry\w*|story|body-?text)(?:$|[\W_])")
 CLOSES = {"p": BLOCK - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "body", "html", "legend", "summary", "figcaption"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
-_TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|([!?])[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z))", re.S)
+_TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|([!?])[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HEAD_TAGS = frozenset("base link meta title style script noscript template".split())
 
@@ -165,8 +167,7 @@ class Page:
         own_marks = np.stack([_marks(tag, name) for tag, name in zip(self.tags, self.names, strict=True)])
         tokens = own_marks[:, len(KINDS) :]
         tokens = np.maximum(tokens, 0.5 * (tokens[up] > 0) * (up > 0)[:, None])
-        says = self.declared()
-        return np.hstack([np.stack(columns, axis=1), before, after, own_marks[:, : len(KINDS)], tokens, (says == 0)[:, None], (says == 1)[:, None]])
+        return np.hstack([np.stack(columns, axis=1), before, after, own_marks[:, : len(KINDS)], tokens])
 
     def declared(self) -> np.ndarray:
         """1, 0 or -1 for nodes that the markup declares main text or boilerplate, or says nothing about."""
@@ -264,7 +265,7 @@ def train(pages: list[str], seed: int = 5) -> Boosted | None:
     for source in pages:
         page = Page(source)
         x, y = page.features(), page.declared()
-        first = x.shape[1] - len(KINDS) - TOKENS - 2
+        first = x.shape[1] - len(KINDS) - TOKENS
         masked = rng.random(len(x)) < MASKED
         xs.append(x[y >= 0])
         ys.append(y[y >= 0])
@@ -280,10 +281,10 @@ def train(pages: list[str], seed: int = 5) -> Boosted | None:
 
 def fit(pages: DataFrame, column: str = "html") -> Boosted | None:
     """Fit on at most TRAIN_PAGES pages, those of lowest hash."""
-    rows = pages.filter(F.col(column).isNotNull()).select(F.col(column).alias("html"))
-    n = rows.count()
-    draw = F.pmod(F.xxhash64("html"), F.lit(1 << 30))
-    few = rows.withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.5 * TRAIN_PAGES / max(n, 1)) * (1 << 30)))
+    rows = pages.filter(F.col(column).isNotNull()).select(F.col(column).alias("html")).withColumn("mark", F.xxhash64("html"))
+    n = rows.agg(F.approx_count_distinct("mark")).first()[0]
+    few = rows.withColumn("draw", F.pmod("mark", F.lit(1 << 30))).filter(F.col("draw") < int(min(1.0, 1.5 * TRAIN_PAGES / max(n, 1)) * (1 << 30)))
+    few = few.groupBy("mark", "draw").agg(F.any_value("html").alias("html"))  # copies are one page of the sample
     return train(few.orderBy("draw", "html").limit(TRAIN_PAGES).toArrow()["html"].to_pylist())
 
 
@@ -304,8 +305,7 @@ def extract(pages: DataFrame, model: Boosted | None, keep: list[str], column: st
         import pyarrow as pa
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
+            for part in slices(batch, "__html", 1 << 20):
                 parsed = [Page(t.as_py() or "") for t in part.column("__html")]
                 texts = [p.extract(o) for p, o in zip(parsed, log_odds(parsed, shared.value), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(j) for j in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "text"])
