@@ -2,10 +2,13 @@
 
 Patterns find e-mail addresses, IP addresses, card and telephone numbers. Each distinct value is a protected entity. Words
 within ``WINDOW`` words of an entity co-occur with it; over the whole corpus, the share of a word's documents in which it
-stands by one entity estimates how far seeing the word gives that entity away, and that share against the entity's own
-frequency is the information gained. A term that is seen by an entity in ``TEXTS`` different texts or more, gains ``BITS``
-bits or more and reaches a share of ``GENERALISE`` is generalised, from ``REMOVE`` on removed: its places are added to the
-spans in every text, as kinds ``generalise`` and ``remove``.
+stands by one entity estimates how far seeing the word gives that entity away. Few texts are weak evidence, so the lower end
+of the share's confidence interval (Wilson's, ``Z`` standard errors, over the different texts that support it) is what
+counts, and the share against the entity's own frequency is the information gained. A term that gains ``BITS`` bits or more
+and whose disclosure reaches ``GENERALISE`` is generalised, from ``REMOVE`` on removed: its places are added to the spans in
+every text, as kinds ``generalise`` and ``remove``, and ``sanitised`` rewrites the texts. With these values a word that the
+corpus holds in one text alone, near an entity, is generalised (1 of 1 has a lower end of 0.5), and removed if all of four
+different texts that hold it have it near the same entity.
 
 Two filters of fixed size, bitmaps of hashed terms, say which words of a text are worth counting or looking up; joins on
 the terms' own hashes then decide. A null text is an empty one and has no spans. Equal texts have equal spans; repeated
@@ -22,10 +25,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemetrics.llm.common import stored, table
+from placemetrics.llm.common import slices, stored, table
 from placemetrics.llm.near_dedup import _Powers, _mix, normal
 
-WINDOW, TEXTS, BITS, GENERALISE, REMOVE = 8, 3, 6.0, 0.5, 0.9
+WINDOW, BITS, GENERALISE, REMOVE, Z = 8, 6.0, 0.5, 0.8, 1.0
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "generalise", "remove")
 #: Bits of a filter.
@@ -122,7 +125,7 @@ def entities(df: DataFrame, key: str, text: str) -> DataFrame:
         import pyarrow as pa
 
         span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "__text")):
             marks, spans, ents, terms = [], [], [], []
             for t in batch.column("__text"):
                 body = t.as_py() or ""
@@ -209,24 +212,52 @@ def revealing(found: DataFrame, df: DataFrame, text: str) -> DataFrame:
     pairs = near.select("t1", F.explode(F.arrays_zip("entities", "terms")).alias("p")).select("t1", "p.entities", "p.terms")
     by_text = pairs.groupBy("entities", "terms", "t1").agg(F.count("*").alias("n"))
     together = by_text.groupBy(F.col("entities").alias("entity"), F.col("terms").alias("term")).agg(F.count("*").alias("texts"), F.sum("n").alias("n_both"))
-    together = stored(together.filter(F.col("texts") >= TEXTS), "pii-pairs")
+    together = stored(together, "pii-pairs")
     held = near.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     n_docs = document_counts(df, together, text)
     joined = together.join(n_docs, "term").join(held, "entity")
     share = F.col("n_both") / F.col("n_docs")
+    # copies of a text are no evidence of their own: as many texts as the share says that the term has
+    seen = F.col("texts") / share
+    low = (share + Z**2 / (2 * seen) - Z * F.sqrt(share * (1 - share) / seen + Z**2 / (4 * seen * seen))) / (1 + Z**2 / seen)
     bits = F.log2(share / (F.col("n_entity") / F.lit(float(max(found.count(), 1)))))
-    passed = joined.withColumns({"share": share, "bits": bits}).filter((F.col("share") >= GENERALISE) & (F.col("bits") >= BITS))
-    return passed.groupBy("term").agg(F.max(F.when(F.col("share") >= REMOVE, len(BASE) + 1).otherwise(len(BASE))).alias("kind"))
+    passed = joined.withColumns({"low": low + 1e-9, "bits": bits}).filter((F.col("low") >= GENERALISE) & (F.col("bits") >= BITS))
+    return passed.groupBy("term").agg(F.max(F.when(F.col("low") >= REMOVE, len(BASE) + 1).otherwise(len(BASE))).alias("kind"))
 
 
 def find(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, base (spans of the patterns) and added (spans of revealing terms): one row a row of ``df``."""
+    """doc_id, base (spans of the patterns) and added (spans of revealing terms): one row a row of ``df``; t1 and t2 name the text."""
     found = stored(entities(df, key, text), "pii-entities")
     terms = stored(revealing(found, df, text), "pii-terms")
     places = term_places(df, terms, text).join(terms, "term")
     added = places.groupBy("t1", "t2").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "end"))).alias("added"))
     out = found.select("doc_id", "t1", "t2", F.col("spans").alias("base")).join(added, ["t1", "t2"], "left")
-    return out.select("doc_id", "base", F.coalesce("added", F.array().cast(_FOUND)).alias("added"))
+    return out.select("doc_id", "t1", "t2", "base", F.coalesce("added", F.array().cast(_FOUND)).alias("added"))
+
+
+def rewritten(text: Column, spans: Column) -> Column:
+    """The text with its spans, in order of start, replaced: entities by their kind, generalised terms by what sort of word they
+    are, removed ones by nothing. A span inside an earlier one is covered by it."""
+
+    def step(acc: Column, x: Column) -> Column:
+        fresh = x["start"] >= acc["at"]
+        word = F.substring(text, x["start"] + 1, x["end"] - x["start"])
+        sort = F.when(word.rlike(r"^[0-9]+$"), "<number>").when(word.rlike("[0-9]"), "<code>").when(word.rlike(r"^\p{Lu}"), "<name>").otherwise("<word>")
+        mark = F.element_at(F.array(*(F.lit(f"<{k}>") for k in BASE), sort, F.lit("")), x["kind"] + 1)
+        gap = F.substring(text, acc["at"] + 1, F.greatest(x["start"], acc["at"]) - acc["at"])
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, mark)).otherwise(acc["out"]).alias("out"))
+
+    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("long"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    done = F.aggregate(order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+
+
+def sanitised(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and its text without personal data and the terms that give it away: one row a row of ``df``."""
+    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).withColumn("mark", F.sha2(F.coalesce("text", F.lit("")), 256))
+    spans = find(rows, "mark", "text").select(F.col("doc_id").alias("mark"), F.concat("base", "added").alias("spans")).filter(F.size("spans") > 0)
+    found = rows.join(spans.groupBy("mark").agg(F.any_value("spans").alias("spans")), "mark", "left")  # equal texts have equal spans
+    return found.select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(rewritten(F.col("text"), F.col("spans"))).alias("text"))
 
 
 def _joined(spans: Column) -> Column:

@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -101,6 +102,70 @@ def test_pages(spark):
     assert html_extract.extract(df.limit(0), html_extract.fit(df.limit(0)), ["page_id"]).count() == 0
 
 
+def scrambled(source: str, seed: int) -> str:
+    """The page with semantic elements turned into divs and every class, id and role into noise."""
+    rng = random.Random(seed)
+    source = re.sub(r"(?i)<(/?)(article|main|nav|header|footer|aside)\b", r"<\1div", source)
+    return re.sub(r"""(?i)\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", lambda m: f'{m[1]}="x{rng.randrange(10**6)}"', source)
+
+
+def read_article(source: str) -> str:
+    """What lies in the page's article, block by block, read with the standard library."""
+    blocks, inside = [""], False
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            nonlocal inside
+            inside |= tag == "article"
+            if tag in ("p", "h1", "article"):
+                blocks.append("")
+            if tag == "br" and inside:
+                blocks[-1] += " "
+
+        def handle_endtag(self, tag):
+            nonlocal inside
+            if tag in ("p", "h1", "article"):
+                blocks.append("")
+            inside &= tag != "article"
+
+        def handle_data(self, data):
+            if inside:
+                blocks[-1] += data
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(source)
+    reader.close()
+    return "\n\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
+
+
+def test_every_page_equals_a_plain_reading_of_its_article(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    want = {r.page_id: read_article(r.html or "") for r in pages.collect()}
+    got = {r.page_id: r.text for r in html_extract.op4_html_extract(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want and sum(map(bool, want.values())) > 200
+
+
+def test_trees_read_pages_whose_markup_says_nothing(spark):
+    """Names scrambled, semantic elements gone: the word lists that gave the labels find nothing, the trees the article."""
+    pages = [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").filter("html is not null").orderBy("page_id").collect()]
+    model = html_extract.train(pages[:120])
+    held = pages[120:]
+    blind = [html_extract.Page(scrambled(h, i)) for i, h in enumerate(held)]
+    assert all((p.declared() != 1).all() for p in blind)
+    texts = [p.extract(o) for p, o in zip(blind, html_extract.log_odds(blind, model), strict=True)]
+    assert sum(t == read_article(h) for t, h in zip(texts, held, strict=True)) >= 0.95 * len(held)
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [("<article><p title=it's>One.</p><p>Two.</p></article>", "One.\n\nTwo."), ("<article><p data-x='a>b'>One.</p><!-- open <p>Two.", "One."), ("<article>" + "<p>word</p>" * 3000, "\n\n".join(["word"] * 3000)),
+     ("<article><p a=\"1>One.</p></article>", "One."), ("<article>" + "<div>" * 400 + "deep", "deep")],
+)
+def test_odd_markup(source, text):
+    page = html_extract.Page(source)
+    assert page.extract(page.declared().astype(float) - 0.5) == text
+
+
 def test_truncated_and_whole_pages_of_the_test_data(spark, small):
     got = html_extract.op4_html_extract(spark, small).collect()
     assert len(got) == table(spark, small, "pages").count()

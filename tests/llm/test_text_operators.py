@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
+from collections import Counter, defaultdict
 
 import public_tokenizers as tokenizers
 import pytest
@@ -155,6 +157,58 @@ def test_terms_that_give_an_entity_away(spark):
     assert all([(s.kind, s.start, s.end) for s in found[i].base] == personal(texts[i]) for i in texts)
 
 
+def giving_away(texts: dict[int, str]) -> dict[int, list[tuple[int, int, int]]]:
+    """The spans that the method adds, by counting over all texts in plain Python."""
+    word = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
+    together, entities, n_docs, rows = defaultdict(set), defaultdict(set), Counter(), defaultdict(set)
+    for i, t in texts.items():
+        places, spans = [(m.start(), m.end()) for m in word.finditer(t)], personal(t)
+        n_docs.update({t[a:b].lower() for a, b in places})
+        free = [all(b <= s or a >= e for _, s, e in spans) for a, b in places]
+        for kind, s, e in spans:
+            name = (kind, re.sub("[^0-9]", "", t[s:e]) if kind in (2, 3) else t[s:e].lower())
+            entities[name].add(i)
+            before = [k for k, (_, b) in enumerate(places) if b <= s][-8:]
+            after = [k for k, (a, _) in enumerate(places) if a >= e][:8]
+            for k in before + after:
+                a, b = places[k]
+                if free[k] and b - a >= 3:
+                    together[name, t[a:b].lower()].add(t)
+                    rows[name, t[a:b].lower()].add(i)
+    kinds: dict[str, int] = {}
+    for (name, term), by in together.items():
+        share = len(rows[name, term]) / n_docs[term]
+        n = len(by) / share
+        low = (share + 1 / (2 * n) - math.sqrt(share * (1 - share) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+        if low + 1e-9 >= 0.5 and math.log2(share / (len(entities[name]) / len(texts))) >= 6:
+            kinds[term] = max(kinds.get(term, 0), 5 if low + 1e-9 >= 0.8 else 4)
+    return {i: sorted((kinds[t[m.start() : m.end()].lower()], m.start(), m.end()) for m in word.finditer(t) if t[m.start() : m.end()].lower() in kinds) for i, t in texts.items()}
+
+
+def test_added_spans_equal_brute_force(spark):
+    texts = {r.doc_id: r.text or "" for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    for k in range(20):
+        texts[10_000 + k] = f"meeting {k} of Quarbolix{k % 2} with bo{k % 2}@example.org in room r{k} about tandarel" + (" today" if k % 3 else "")
+    got = pii.find(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()
+    want = giving_away(texts)
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.added] for r in got} == want
+    assert sum(map(len, want.values())) > 20
+
+
+def test_sanitised_texts(spark):
+    given = [(i, f"note {i} river{i} from Zanzibarson zan@example.com end{i}") for i in range(3)] + [(i, f"some other note from {i}") for i in range(10, 400)] + [(5, "Zanzibarson alone"), (6, None), (7, "call +44 20 7946 0958 now")]
+    got = {r.doc_id: r.text for r in pii.sanitised(spark.createDataFrame(given, "doc_id long, text string")).collect()}
+    assert got[0] == "note 0 <code> from <name> <email> <code>" and got[5] == "<name> alone" and got[6] is None and got[10] == "some other note from 10"
+    assert got[7] == "<word> <phone> <word>"  # words that stand nowhere else
+
+
+def test_held_out_labels_of_the_test_data(spark):
+    folder = "/root/testdata/sf0.1"
+    got = toxicity.op2_toxicity(spark, folder).join(table(spark, folder, "labels").filter("toxic is not null").select("doc_id", "toxic"), "doc_id").filter("held_out")
+    right = got.groupBy("toxic").agg(F.count("*").alias("n"), F.avg((F.col("predicted") == F.col("toxic")).cast("double")).alias("share")).collect()
+    assert {r.toxic for r in right} == {0, 1} and all(r.n >= 5 and r.share >= 0.9 for r in right), right
+
+
 def test_personal_data_of_odd_rows(odd, none):
     assert pii.find(odd).count() == odd.count()
     assert pii.find(none).count() == 0
