@@ -34,6 +34,8 @@ from placemetrics.llm.components import components
 K, SAMPLED, BANDS, SIMILARITY = 5, 2, 16, 0.8
 #: Documents, and words of them, in a block of a cell that still holds several classes; k-mers counted at a time there.
 ROWS, VOLUME, COLUMNS = 512, 1 << 19, 4096
+#: Parts that a class is dealt in.
+SALTS = 32
 #: Documents of a link are in the same or in neighbouring steps of length.
 STEP = float(np.log(1 / SIMILARITY)) + 1e-6
 #: Cells of the table of mismatches that an alignment may use; beyond it, one row is held at a time.
@@ -377,9 +379,13 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     if not more.isEmpty():
         united = stored(components(links.unionByName(more)), "dedup-classes")
     per = reps.select("m1", "m2", "rep", "first").join(united.withColumnRenamed("node", "rep"), "rep", "left")
-    per = per.select("m1", "m2", "first", F.coalesce("component", "rep").alias("component"))
-    leaders = per.groupBy("component").agg(F.min("first").alias("leader"))
-    per = stored(per.join(leaders, "component").select("m1", "m2", "leader"), "dedup-leaders")
+    # the leader of a class goes to its members in SALTS parts, so that a large class is dealt over as many tasks
+    salt = F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")
+    per = per.select("m1", "m2", "first", F.col("component").isNotNull().alias("linked"), F.coalesce("component", "rep").alias("component"), salt.alias("salt"))
+    leaders = per.filter("linked").groupBy("component").agg(F.min("first").alias("leader"))
+    leaders = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    per = per.join(leaders, ["component", "salt"], "left").select("m1", "m2", F.coalesce("leader", "first").alias("leader"))
+    per = stored(per, "dedup-leaders")
     out = marked.select("doc_id", "content", "m1", "m2").join(per, ["m1", "m2"])
     kept = F.col("doc_id").eqNullSafe(F.col("leader.doc_id")) & (F.col("content") == F.col("leader.content"))
     return out.select("doc_id", F.col("leader.doc_id").alias("class_id"), kept.alias("kept"), "content")
