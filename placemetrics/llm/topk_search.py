@@ -29,6 +29,8 @@ from placemetrics.llm.common import table
 BLOCK, QUERY_BLOCK, PARTS, LEAST = 16384, 4096, 8, 1024
 #: Places of the lists read at first, and the growth of a step: bounds are compared after each step.
 STEP, GROWTH = 32, 1.2
+#: Queries that read in step.
+BATCH = 256
 
 
 class Lists:
@@ -78,6 +80,53 @@ def no_random_access(lists: Lists, weights: np.ndarray, eligible: np.ndarray, k:
     return left, lists.vectors[left] @ weights, depth * len(dims)
 
 
+def together(lists: Lists, queries: np.ndarray, eligible: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """As ``no_random_access`` for several queries that read in step, a slice of all lists at a time; sums must stay below 2**53.
+
+    A query that is done leaves the batch; a vector that no query still needs leaves the lists.
+    """
+    n, dims = lists.vectors.shape
+    up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+    above, below = (lists.vectors - lists.least).astype(np.float64), (lists.vectors - lists.most).astype(np.float64)
+    from_top = n - 1 - lists.place
+    column = np.arange(dims)
+    left: list[np.ndarray] = [np.flatnonzero(e) for e in eligible]
+    read = np.zeros(len(queries), dtype=np.int64)
+    active = np.array([len(x) > k for x in left]) & queries.any(axis=1)
+    act, rows = np.flatnonzero(active), np.arange(n)
+    gain, alive, depth = np.zeros((len(act), n)), eligible[act].copy(), 0
+    while len(act) and depth < n:
+        to = min(n, max(STEP, n // 64) if not depth else min(2 * depth, depth + max(1, n // 4)))
+        top, bottom = (from_top[rows] >= depth) & (from_top[rows] < to), (lists.place[rows] >= depth) & (lists.place[rows] < to)
+        hit = np.flatnonzero((top | bottom).any(axis=1))
+        if len(hit):
+            gain[:, hit] += up[act] @ np.where(top[hit], above[rows[hit]], 0).T + down[act] @ np.where(bottom[hit], below[rows[hit]], 0).T
+        depth = to
+        read[act] = depth * (queries[act] != 0).sum(axis=1)
+        last_up, last_down = up[act] * above[lists.order[n - depth], column], down[act] * below[lists.order[depth - 1], column]
+        unseen = last_up.sum(axis=1) + last_down.sum(axis=1)
+        known = np.where(alive, gain, -1.0)
+        ready = np.flatnonzero((unseen < known.max(axis=1)) | (depth == n))
+        if not len(ready):
+            continue
+        size = known.shape[1]
+        bar = np.partition(known[ready], size - k, axis=1)[:, size - k] if size > k else np.full(len(ready), -1.0)
+        some = unseen[ready] < bar if depth < n else np.ones(len(ready), dtype=bool)
+        ready, bar = ready[some], bar[some]
+        if not len(ready):
+            continue
+        upper = gain[ready] + unseen[ready, None] - last_up[ready] @ (from_top[rows] < depth).T - last_down[ready] @ (lists.place[rows] < depth).T
+        alive[ready] &= upper >= bar[:, None] - 0.5  # whole numbers: half of one covers rounding
+        done = np.zeros(len(act), dtype=bool)
+        done[ready] = (alive[ready].sum(axis=1) <= k) | (depth == n)
+        for i in np.flatnonzero(done):
+            left[act[i]] = rows[alive[i]]
+        needed = alive[~done].any(axis=0)
+        act, gain, alive, rows = act[~done], gain[~done][:, needed], alive[~done][:, needed], rows[needed]
+    for q, at in enumerate(left):
+        yield at, lists.vectors[at] @ queries[q], int(read[q])
+
+
 def _by_length(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Length, rows and matrix of the vectors of each length in an Arrow column of lists."""
     whole = column.combine_chunks()
@@ -88,6 +137,19 @@ def _by_length(column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield int(length), rows, flat[starts[rows][:, None] + np.arange(length)].astype(np.int64).reshape(len(rows), int(length))
 
 
+def _answers(m: np.ndarray, queries: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    if not m.shape[1]:
+        for o in own:
+            left = np.flatnonzero(ids != o)
+            yield left, np.zeros(len(left), np.int64), 0
+        return
+    lists = Lists(m)
+    small = float(np.abs(queries.astype(np.float64)).max() * lists.size.max()) * m.shape[1] < 2.0**51
+    for i in range(0, len(queries), BATCH):
+        part, eligible = queries[i : i + BATCH], ids[None, :] != own[i : i + BATCH, None]
+        yield from together(lists, part, eligible, k) if small else (no_random_access(lists, w, e, k) for w, e in zip(part, eligible, strict=True))
+
+
 def search(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scale: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score for every row where ``is_query`` (an SQL condition on ``key`` as __id) holds."""
     fine = F.col("__id").isNotNull() & F.col("__v").isNotNull() & ~F.exists("__v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -111,12 +173,8 @@ def search(df: DataFrame, key: str, vector: str, is_query: str, k: int = 5, scal
         for length, at, m in _by_length(v["__v"]) if asked and v.num_rows else ():
             if length not in asked:
                 continue
-            ids, lists = vid[at], Lists(m) if length else None
-            for own, weights in zip(qid[asked[length][0]], asked[length][1], strict=True):
-                if lists is None:
-                    left, score = np.flatnonzero(ids != own), np.zeros(int((ids != own).sum()), np.int64)
-                else:
-                    left, score, _ = no_random_access(lists, weights, ids != own, k)
+            ids, own_ids, weights = vid[at], qid[asked[length][0]], asked[length][1]
+            for own, (left, score, _) in zip(own_ids, _answers(m, weights, ids, own_ids, k), strict=True):
                 best = np.lexsort((ids[left], -score))[:k]
                 found[0] += [own] * len(best)
                 found[1] += ids[left[best]].tolist()

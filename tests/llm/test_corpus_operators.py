@@ -329,6 +329,17 @@ def test_lists_are_read_as_far_as_they_must():
         assert sorted(score.tolist())[-k:] == sorted(full.tolist())[-k:]
         read.append(entries / (n * max(1, (weights != 0).sum())))
     assert np.mean(read) < 0.25, np.mean(read)  # of all list entries
+    own = np.arange(0, 200, 5)
+    queries = np.stack([np.where(rng.random(dims) < 0.2, skewed[q] + 1, 0) for q in own]) * np.where(rng.random((len(own), dims)) < 0.1, -1, 1)
+    few = []
+    for i, (left, score, entries) in enumerate(topk_search.together(lists, queries, np.arange(n) != own[:, None], k)):
+        full = np.delete(skewed @ queries[i], own[i])
+        assert sorted(score.tolist())[-k:] == sorted(full.tolist())[-k:] or not queries[i].any()
+        few.append(entries / (n * max(1, (queries[i] != 0).sum())))
+    assert np.mean(few) < 0.4, np.mean(few)
+    dense = rng.integers(-300, 300, size=(700, 16))
+    for i, (left, score, _) in enumerate(topk_search.together(topk_search.Lists(dense), dense[:70], np.arange(700) != np.arange(70)[:, None], k)):
+        assert sorted(score.tolist())[-k:] == sorted(np.delete(dense @ dense[i], i).tolist())[-k:]
     big = np.array([[2**52 + 1, 3], [2**52, 4], [1, 2], [5, 5], [2**52 + 1, 2]], dtype=np.int64)
     left, score, _ = topk_search.no_random_access(topk_search.Lists(big), np.array([7, 1]), np.ones(5, bool), 2)
     assert sorted(score.tolist())[-2:] == [7 * (2**52 + 1) + 2, 7 * (2**52 + 1) + 3]  # beyond 2**53, exact
