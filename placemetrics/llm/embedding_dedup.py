@@ -1,15 +1,15 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
 Every tree splits a bounded sample (``SAMPLE`` vectors of lowest hash) along random directions, again and again, until a
-leaf stands for about ``LEAF`` vectors of the whole table. All vectors then go down the trees; one that falls within half
-the link distance of a cut goes to both sides. Two unit vectors whose cosine reaches the threshold are no further apart
+leaf stands for about ``LEAF`` vectors of one label. All vectors then go down the trees; one that falls within half the
+link distance of a cut goes to both sides. Two unit vectors whose cosine reaches the threshold are no further apart
 than that distance along any direction, so no cut parts a linked pair and each tree alone brings all of them together. Of
-``TRIES`` directions and all cuts a node takes those that leave the fewest pairs; where none leaves fewer than ``GAIN`` of
-them, as inside a dense group, the node stays a leaf. Of the trees, a label takes the one with the fewest pairs to compare.
+``TRIES`` directions and ``CUTS`` cuts of each a node takes those that leave the fewest pairs within labels; where none
+leaves fewer than ``GAIN`` of them, as inside a dense group, the node stays a leaf. Of the trees, a label takes the one with the fewest pairs to compare.
 Vectors of one label that share a leaf are compared by cosine in double precision. A pair that meets in several leaves
 counts in the first of them only, so links are counted without listing pairs; each leaf gives its members' numbers of links
-and a link to the smallest member of their group there, and those are united. A leaf with more than ``ROWS`` vectors of a
-label is cut into blocks that meet two by two, so a group of any size is compared whole.
+and a link to the smallest member of their group there, and those are united. A leaf with more than ``ROWS`` vectors or
+``VOLUME`` components of a label is cut into blocks that meet two by two, so a group of any size is compared whole.
 
 Equal vectors of a label are compared once, with their number. A vector that is null, zero, or holds a null or non-finite
 component, or whose label or id is null, links with nothing and is its own component. Repeated rows count as vectors of
@@ -29,16 +29,17 @@ from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
 TREES = 6
-SAMPLE, LEAF, LEAST = 16384, 1024, 8
-#: Directions that a node tries, on so many of its sampled vectors at most; the share of pairs that a split may leave.
-TRIES, TRIED, GAIN = 8, 2048, 0.98
-ROWS = 512
+SAMPLE, LEAF, LEAST = 16384, 2048, 8
+#: Directions that a node tries, cuts of each, on so many of its sampled vectors at most; the share of pairs that a split may leave.
+TRIES, CUTS, TRIED, GAIN = 8, 63, 2048, 0.98
+#: Vectors, and components of them, in a block of a leaf.
+ROWS, VOLUME = 2048, 1 << 20
 
 
 class Tree:
     """Inner nodes by number: direction, cut, children. Other numbers are leaves."""
 
-    def __init__(self, sample: np.ndarray, leaf: float, margin: float, seed: int):
+    def __init__(self, sample: np.ndarray, kinds: np.ndarray, leaf: float, margin: float, seed: int):
         rng = np.random.default_rng(seed)
         self.at: dict[int, int] = {}
         self.margin = margin
@@ -46,9 +47,10 @@ class Tree:
         todo, nodes = [(0, np.arange(len(sample)))], 1
         while todo:
             node, rows = todo.pop()
-            if len(rows) <= leaf:
+            if np.bincount(kinds[rows]).max() <= leaf:
                 continue
-            found = self._split(sample[rng.choice(rows, TRIED, replace=False) if len(rows) > TRIED else rows], rng)
+            few = rng.choice(rows, TRIED, replace=False) if len(rows) > TRIED else rows
+            found = self._split(sample[few], kinds[few], rng)
             if found is None:
                 continue
             direction, cut = found
@@ -64,22 +66,24 @@ class Tree:
             nodes += 2
         self.directions, self.cuts, self.children = np.array(directions).reshape(len(cuts), sample.shape[1]), np.array(cuts), children
 
-    def _split(self, few: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float] | None:
-        """The direction and cut that leave the fewest pairs: random ones, and ones from one vector to another."""
-        n, best, least = len(few), None, GAIN
+    def _split(self, few: np.ndarray, kinds: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float] | None:
+        """The direction and cut that leave the fewest pairs within labels: random ones, and ones from one vector to another."""
+        order = np.argsort(kinds, kind="stable")
+        few, kinds = few[order], kinds[order]
+        starts = np.flatnonzero(np.concatenate(([True], kinds[1:] != kinds[:-1])))
+        pairs = (np.diff(starts, append=len(few)).astype(np.float64) ** 2).sum()
+        best, least = None, GAIN
         for k in range(TRIES):
-            i, j = rng.integers(n, size=2)
+            i, j = rng.integers(len(few), size=2)
             direction = few[i] - few[j] if k % 4 else rng.normal(size=few.shape[1])
             norm = np.linalg.norm(direction)
             if norm == 0:
                 continue
             direction = direction / norm
-            p = np.sort(few @ direction)
-            cuts = (p[1:] + p[:-1]) / 2
-            if not len(cuts):
-                continue
-            left, right = np.searchsorted(p, cuts + self.margin) / n, 1 - np.searchsorted(p, cuts - self.margin) / n
-            cost = left**2 + right**2
+            p = (few @ direction)[:, None]
+            cuts = np.quantile(p, np.arange(1, CUTS + 1) / (CUTS + 1))
+            left, right = (np.add.reduceat(side.astype(np.float64), starts, axis=0) for side in (p < cuts + self.margin, p >= cuts - self.margin))
+            cost = (left**2 + right**2).sum(axis=0) / pairs
             at = int(cost.argmin())
             if cost[at] < least:
                 best, least = (direction, float(cuts[at])), float(cost[at])
@@ -103,8 +107,18 @@ class Tree:
         return found
 
 
-def _matrix(column) -> np.ndarray:
-    return np.asarray(column.to_pylist(), dtype=np.float64)
+def _by_length(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows and the matrix of the vectors of each length, out of an Arrow column without nulls."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths, values = pc.list_value_length(column).to_numpy(zero_copy_only=False), column.flatten().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        yield at, values[starts[at][:, None] + np.arange(length)]
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -116,12 +130,13 @@ def grow(rows: DataFrame, n: int, length: int, threshold: float, trees: int = TR
     margin = float(np.sqrt(max(0.0, 2 - 2 * threshold))) / 2 + 1e-6  # more than rounding can add to a distance
     draw = F.pmod(F.xxhash64("vector", F.lit("sample")), F.lit(1 << 30))
     few = rows.filter(F.size("vector") == length).withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.2 * SAMPLE / max(n, 1)) * (1 << 30)))
-    few = few.orderBy("draw", "rep").limit(SAMPLE).select("vector").toArrow()
+    few = few.orderBy("draw", "rep").limit(SAMPLE).select("vector", F.xxhash64("label").alias("kind")).toArrow()
     if not few.num_rows:
-        return []
-    sample = _unit(_matrix(few["vector"]))
+        return [Tree(np.zeros((1, length)), np.zeros(1, np.int64), LEAST, margin, seed) for seed in range(trees)]  # one leaf
+    ((_, sample),) = _by_length(few["vector"])
+    kinds = np.unique(few["kind"].to_numpy(), return_inverse=True)[1]
     leaf = max(LEAST, LEAF * len(sample) / max(n, 1))
-    return [Tree(sample, leaf, margin, seed) for seed in range(trees)]
+    return [Tree(_unit(sample), kinds, leaf, margin, seed) for seed in range(trees)]
 
 
 def _shared_first(leaves: np.ndarray, leaf: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -152,11 +167,7 @@ def _compare(key: tuple, t, threshold: float):
             x = root[x]
         return x
 
-    vectors = t["vector"].to_pylist()
-    lengths = np.array(list(map(len, vectors)))
-    for length in np.unique(lengths):
-        at = np.flatnonzero(lengths == length)
-        m = np.asarray([vectors[i] for i in at], dtype=np.float64)
+    for at, m in _by_length(t["vector"]):
         norm = np.linalg.norm(m, axis=1)
         for start in range(0, len(at), 256):
             cos = (m[start : start + 256] @ m.T) / (norm[start : start + 256, None] * norm)
@@ -170,7 +181,10 @@ def _compare(key: tuple, t, threshold: float):
             i, j = i[new], j[new]
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])
-            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            while (root[root] != root).any():
+                root = root[root]
+            apart = np.unique((root[i] * len(ids) + root[j])[root[i] != root[j]])
+            for a, b in zip((apart // len(ids)).tolist(), (apart % len(ids)).tolist(), strict=True):
                 a, b = find(a), find(b)
                 if a != b:
                     if ids[a] > ids[b]:
@@ -199,24 +213,23 @@ def link(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: st
         import pyarrow as pa
 
         for batch in batches:
-            vectors = batch.column("vector").to_pylist()
-            leaves: list = [None] * len(vectors)
-            for length in set(map(len, vectors)):
-                at = [i for i, v in enumerate(vectors) if len(v) == length]
-                unit = _unit(np.asarray([vectors[i] for i in at], dtype=np.float64))
-                for i, found in zip(at, zip(*(t.leaves(unit) for t in forest.value[length]), strict=True), strict=True):
+            leaves: list = [None] * batch.num_rows
+            for at, m in _by_length(batch.column("vector")):
+                unit = _unit(m)
+                for i, found in zip(at.tolist(), zip(*(t.leaves(unit) for t in forest.value[m.shape[1]]), strict=True), strict=True):
                     leaves[i] = [sorted(x) for x in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.list_(pa.int64())))], names=schema.names)
 
     routed = groups.mapInArrow(route, schema)
     routed = stored(routed, "leaves")
-    every = routed.select("label", F.posexplode("leaves").alias("tree", "own")).withColumn("leaf", F.explode("own"))
-    held = every.groupBy("label", "tree", "leaf").agg(F.count("*").alias("held"))
+    every = routed.select("label", F.size("vector").alias("length"), F.posexplode("leaves").alias("tree", "own")).withColumn("leaf", F.explode("own"))
+    held = every.groupBy("label", "tree", "leaf").agg(F.count("*").alias("held"), F.sum("length").alias("volume"))
     held = stored(held, "leaf-sizes")
     trees_of = held.groupBy("label", "tree").agg(F.sum(F.col("held").cast("double") * F.col("held")).alias("cost"))
     taken = trees_of.groupBy("label").agg(F.min_by("tree", F.struct("cost", "tree")).alias("tree"))
     sizes = held.join(taken, ["label", "tree"]).filter("held > 1")
-    sizes = sizes.select("label", "leaf", F.expr(f"cast((held + {ROWS - 1}) div {ROWS} as int)").alias("blocks"))
+    blocks = F.greatest(F.expr(f"(held + {ROWS - 1}) div {ROWS}"), F.expr(f"(volume + {VOLUME - 1}) div {VOLUME}"))
+    sizes = sizes.select("label", "leaf", blocks.cast("int").alias("blocks"))
     own = F.element_at("leaves", F.col("tree") + 1)
     met = routed.join(taken, "label").select("label", "rep", "copies", "vector", own.alias("leaves")).withColumn("leaf", F.explode("leaves"))
     met = met.join(sizes, ["label", "leaf"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
