@@ -30,7 +30,7 @@ from placemetrics.llm.common import slices, table
 #: Bytes of a piece beyond which the stepwise query runs.
 LONG = 256
 #: Pieces and cuts of a generation that a worker remembers, and rows of bytes that one query takes.
-CACHE, ROWS = 100_000, 200_000
+CACHE, ROWS = 200_000, 200_000
 #: Bytes of text that are laid out at a time.
 CHUNK = 3 << 20
 
