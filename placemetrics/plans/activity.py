@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from placemetrics.functions.casts import month, rate, safe_divide
 from placemetrics.operators.cells import AREA
+from placemetrics.operators.ranks import ranked
 from placemetrics.sources.zones import stored
 
 SPINE = ["dataset", "row_key", "category", "event_date", "place"]
@@ -112,5 +113,7 @@ def complete_months(events: DataFrame, column: str = "event_month") -> DataFrame
 
 def three_ranks(cells: DataFrame) -> DataFrame:
     """Places ranked by count, density and rate; density at one resolution ranks as count does."""
-    by = {"count_rank": "events", "density_rank": "density", "rate_rank": "rate"}
-    return cells.withColumns({name: F.rank().over(Window.orderBy(F.col(c).desc_nulls_last())) for name, c in by.items()})
+    out = cells
+    for name, column in {"count_rank": "events", "density_rank": "density", "rate_rank": "rate"}.items():
+        out = ranked(out, column, name)
+    return out
