@@ -158,11 +158,11 @@ def search(docs: DataFrame, items: DataFrame, item_id: str = "item_id", doc_id:
     asked = stored(asked.withColumn("block", F.pmod(F.xxhash64("__item"), F.lit(blocks).cast("long"))), "terms")
     out = None
     for block in range(blocks):
-        rows = asked.filter(F.col("block") == block).groupBy("term").agg(F.collect_list("__item").alias("items")).collect()  # BLOCK_BYTES of items
+        rows = asked.filter(F.col("block") == block).groupBy("term").agg(F.collect_list(F.struct("__item")).alias("items")).collect()  # BLOCK_BYTES of items
         if not rows:
             continue
-        names = {i: n for n, i in enumerate(sorted({i for r in rows for i in r[1]}, key=lambda i: (i is not None, i)))}
-        automaton = Automaton([r[0] for r in rows], [[names[i] for i in r[1]] for r in rows])
+        names = {i: n for n, i in enumerate({i for r in rows for (i,) in r[1]})}
+        automaton = Automaton([r[0] for r in rows], [[names[i] for (i,) in r[1]] for r in rows])
         counted = {r[0]: r for r in count(docs, automaton, text).collect()}  # a row for each term of the block
         n, words = (counted[-1][1], counted[-1][2]) if -1 in counted else (0, 0)
         found = np.array([counted[t][1] if t in counted else 0 for t in range(automaton.size)], dtype=np.float64)

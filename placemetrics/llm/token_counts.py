@@ -328,7 +328,7 @@ class Tokens:
     def _class(self, c: str) -> int:
         """As the library sees it: a letter joins a letter, a digit stands alone, white space is no piece."""
         pieces = self.splits.pre_tokenize_str(c + c)
-        if not pieces or not c.strip():
+        if not pieces:
             return SPACE
         if len(pieces) == 2:
             return DIGIT
@@ -353,7 +353,7 @@ class Tokens:
         for c in found - self.__dict__.setdefault("met", set()):
             self.met.add(c)
             own = unicodedata.normalize("NFC", c).replace("Σ", "σ").lower()
-            if unicodedata.category(c) == "Cn" or (not own.isspace() and self.normalizer.normalize_str(c) != own):
+            if unicodedata.category(c) == "Cn" or self.normalizer.normalize_str(c) not in (own, " "):
                 self.odd.add(c)
         return found
 
