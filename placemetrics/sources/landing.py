@@ -13,7 +13,7 @@ from placemetrics.sources.zones import found_paths, read_version, remove, write_
 
 RUNS = (
     "run_id string, dataset string, table_name string, ingest_date string, started_at timestamp, finished_at timestamp, watermark_in string, "
-    "watermark_out string, rows_written long, files_written long, mode string, status string, error string"
+    "watermark_out string, rows_written long, files_written long, mode string, status string, error string, rows_again long, rows_late long"
 )
 
 

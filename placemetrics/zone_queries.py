@@ -325,18 +325,22 @@ def latest_loads(spark: SparkSession, sf: str) -> DataFrame:
 # ---- streams
 
 
-@query(f"WITH {_EVENTS} SELECT id, user, event_type, updated_at, '2024-03-01' AS ingest_date FROM ev")
+_SINCE = "(SELECT (max(updated_at)::DATE - 7)::VARCHAR FROM ev)"
+
+
+@query(f"""WITH {_EVENTS}, r AS (SELECT 's-' || (id::BIGINT % 2) AS _ingest_run_id, count(*) AS landed, count(*) FILTER (updated_at < {_SINCE}) AS late FROM ev GROUP BY 1), again AS (SELECT count(*) AS n FROM ev WHERE id::BIGINT % 6 = 0)
+SELECT id, user, event_type, updated_at, max(updated_at) OVER ()[:10] AS ingest_date, _ingest_run_id, late AS rows_late, CASE _ingest_run_id WHEN 's-1' THEN n ELSE 0 END AS rows_again FROM ev JOIN r ON _ingest_run_id = 's-' || (id::BIGINT % 2), again""")
 def streamed_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON drops landed by a stream that is started twice: the checkpoint lets nothing in again."""
+    """JSON drops landed by a stream that is started twice; the second drop sends a third of the first one again. Run records count these and the late ones."""
     drops, raw, runs = (zones.fresh_path(spark, n) for n in ("drops", "raw", "stream-runs"))
     e = _events(spark, sf)
-    k = F.col("id").cast("long")
-    for n in (0, 1):
-        e.filter(k % 2 == n).write.mode("append").json(drops)
-        feeds.land_stream(spark, drops, "id string, user string, event_type string, props string, updated_at string", raw, f"{raw}-check", "s", "2024-03-01", runs, "updated_at").awaitTermination()
-    got, recorded = spark.read.parquet(raw), landing.read_runs(spark, runs).agg(F.sum("rows_written").alias("n"))
-    held = got.count()
-    return got.join(F.broadcast(recorded.filter(F.col("n") == held))).select("id", "user", "event_type", "updated_at", F.col("ingest_date").cast("string").alias("ingest_date"))
+    day, k = e.agg(F.max("updated_at")).first()[0][:10], F.col("id").cast("long")
+    for part in (k % 2 == 0, (k % 2 == 1) | (k % 6 == 0)):
+        e.filter(part).coalesce(1).write.mode("append").json(drops)
+        feeds.land_stream(spark, drops, "id string, user string, event_type string, props string, updated_at string", raw, f"{raw}-check", "s", day, runs, "updated_at", key="id").awaitTermination()
+    records = landing.read_runs(spark, runs).select(F.col("run_id").alias("_ingest_run_id"), "rows_late", "rows_again")
+    got = spark.read.parquet(raw).withColumn("ingest_date", F.col("ingest_date").cast("string"))
+    return got.join(F.broadcast(records), "_ingest_run_id").select("id", "user", "event_type", "updated_at", "ingest_date", "_ingest_run_id", "rows_late", "rows_again")
 
 
 @query("SELECT user_id::VARCHAR AS user, arg_max(event_id, struct_pack(t := ts, e := event_id))::VARCHAR AS id, arg_max(event_type, struct_pack(t := ts, e := event_id)) AS event_type FROM events GROUP BY 1")
@@ -351,14 +355,17 @@ def streamed_latest(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.read_latest(spark, latest, schema).select("user", F.col("id").cast("long").cast("string").alias("id"), "event_type")
 
 
-@query("""WITH l AS (SELECT user_id, arg_max(event_type, struct_pack(t := ts, e := event_id)) AS place, date_trunc('month', max(ts))::DATE AS event_month FROM events GROUP BY 1) SELECT place, event_month, count(*) AS event_count FROM l GROUP BY 1, 2""")
+@query("""WITH e AS (SELECT user_id, event_id, event_type || '-' || event_id % 97 AS place, ts + to_months((event_id % 4)::INT) AS moved FROM events),
+l AS (SELECT user_id, arg_max(place, struct_pack(t := moved, e := event_id)) AS place, date_trunc('month', max(moved))::DATE AS event_month FROM e GROUP BY 1) SELECT place, event_month, count(*) AS event_count FROM l GROUP BY 1, 2""")
 def streamed_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly counts over the newest event of every user, recounted where a drop touches them."""
+    """Monthly counts over the newest event of every user, kept by its changes: users move place and month from drop to drop, and groups vanish."""
     drops, latest, counts = (zones.fresh_path(spark, n) for n in ("drops", "latest", "counts"))
-    e = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user"), F.format_string("%012d", "event_id").alias("id"), F.col("event_type").alias("place"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
+    at = F.col("ts") + F.make_interval(months=(F.col("event_id") % 4).cast("int"))
+    e = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("user"), F.format_string("%012d", "event_id").alias("id"), F.concat_ws("-", "event_type", F.col("event_id") % 97).alias("place"), F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
+    )
     schema = "user string, id string, place string, at string"
-    for part in (0, 1):
-        e.filter(F.col("id").cast("long") % 2 == part).coalesce(4).write.mode("append").json(drops)
-        feeds.latest_stream(spark, drops, schema, latest, f"{latest}-check", ["user"], ["at", "id"]).awaitTermination()
-        feeds.recount_stream(spark, drops, schema, latest, counts, f"{counts}-check", "place", "at").awaitTermination()
+    for part in (0, 1, 2):
+        e.filter(F.col("id").cast("long") % 3 == part).coalesce(4).write.mode("append").json(drops)
+        feeds.recount_stream(spark, drops, schema, latest, counts, f"{latest}-check", ["user"], ["at", "id"], "place", "at").awaitTermination()
     return feeds.read_counts(spark, counts, "place")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from placemetrics.functions import casts
 from placemetrics.operators import checks, profile, reconcile, versions
 from placemetrics.sources import landing, zones
-from placemetrics.streaming import feeds
+from placemetrics.streaming import feeds, parted
 
 
 def test_landing_round_trip(spark, tmp_path):
@@ -83,19 +83,127 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(raw).count() == 4
     rows = feeds.read_latest(spark, latest, schema)
     assert {r.id: r.v for r in rows.collect()} == {"1": "new", "2": "a"}
-    # a crash in the middle of a batch: its folder is not complete, so the state before it holds, and the batch runs again
-    (tmp_path / "latest" / "batch=2" / "part=0").mkdir(parents=True)
+    # a folder that no record names, as after a crash, is not read
+    (tmp_path / "latest" / "data" / "version=000000000002-x" / "__part=0").mkdir(parents=True)
     (drops / "3.json").write_text('{"id":"3","place":"y","ts":"2024-03-01","v":"z"}\n')
     assert feeds.read_latest(spark, latest, schema).count() == 2
     run()
     assert {r.id: r.v for r in feeds.read_latest(spark, latest, schema).collect()} == {"1": "new", "2": "a", "3": "z"}
-    totals = str(tmp_path / "totals")
-    feeds.recount_stream(spark, str(drops), schema, latest, totals, str(tmp_path / "c3"), "place", "ts").awaitTermination()
-    assert {(r.place, str(r.event_month)): r.event_count for r in feeds.read_counts(spark, totals, "place").collect()} == {("x", "2024-01-01"): 1, ("x", "2024-02-01"): 1, ("y", "2024-03-01"): 1}
     counts = feeds.recount(rows, rows.filter("id = '1'"), "place", "ts").collect()
     assert [(r.place, str(r.event_month), r.event_count) for r in counts] == [("x", "2024-02-01", 1)]
 
 
+SCHEMA = "id string, place string, ts string"
+DROPS = [
+    [("1", "A", "2024-01-05"), ("2", "A", "2024-01-09"), ("3", "B", "2024-02-01"), ("4", None, None)],
+    [("1", "B", "2024-02-02"), ("2", "A", "2023-12-01"), ("5", "C", "2024-05-05")],
+    [("5", "A", "2024-06-01"), ("4", "D", "2024-01-01"), ("3", "B", "2024-02-01")],
+    [("6", "E", "2024-07-01")],
+]
+STATES = [
+    {("A", "2024-01-01"): 2, ("B", "2024-02-01"): 1, (None, "None"): 1},
+    {("A", "2024-01-01"): 1, ("B", "2024-02-01"): 2, (None, "None"): 1, ("C", "2024-05-01"): 1},
+    {("A", "2024-01-01"): 1, ("B", "2024-02-01"): 2, ("A", "2024-06-01"): 1, ("D", "2024-01-01"): 1},
+    {("A", "2024-01-01"): 1, ("B", "2024-02-01"): 2, ("A", "2024-06-01"): 1, ("D", "2024-01-01"): 1, ("E", "2024-07-01"): 1},
+]
+
+
+@pytest.fixture(autouse=True)
+def few_parts(monkeypatch):
+    monkeypatch.setattr(feeds, "PARTS", 3)
+
+
+class Follow:
+    """A stream of the drops above, one drop at a time."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        (root / "drops").mkdir()
+
+    def run(self, drop=None):
+        if drop is not None:
+            lines = [json.dumps(dict(zip(("id", "place", "ts"), r, strict=True))) for r in DROPS[drop]]
+            (self.root / "drops" / f"{drop}.json").write_text("\n".join(lines))
+        at = [str(self.root / n) for n in ("drops", "latest", "counts", "check")]
+        feeds.recount_stream(self.spark, at[0], SCHEMA, at[1], at[2], at[3], ["id"], ["ts"], "place", "ts").awaitTermination()
+
+    def counts(self):
+        return {(r.place, str(r.event_month)): r.event_count for r in feeds.read_counts(self.spark, str(self.root / "counts"), "place").collect()}
+
+    def keys(self):
+        return {r.id: r.place for r in feeds.read_latest(self.spark, str(self.root / "latest"), SCHEMA).collect()}
+
+
+def test_counts_follow_keys_that_move(spark, tmp_path):
+    follow = Follow(spark, tmp_path)
+    for k, state in enumerate(STATES):
+        follow.run(k)
+        assert follow.counts() == state
+    assert follow.keys() == {"1": "B", "2": "A", "3": "B", "4": "D", "5": "A", "6": "E"}
+    kept = parted.newest(spark, str(tmp_path / "latest"))
+    assert [v for v, _ in zones.versions(spark, str(tmp_path / "latest" / "log"))] == [kept[0] - 1, kept[0]]  # swept behind the newest two
+
+
+@pytest.mark.parametrize("lost", [1, 2, 3])
+def test_a_lost_commit_of_the_stream_changes_nothing(spark, tmp_path, lost):
+    follow = Follow(spark, tmp_path)
+    for k in range(lost + 1):
+        follow.run(k)
+    for name in (f"{lost}", f".{lost}.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    before = follow.keys()
+    follow.run()
+    assert follow.counts() == STATES[lost] and follow.keys() == before
+    for k in range(lost + 1, 4):
+        follow.run(k)
+    assert follow.counts() == STATES[3]
+
+
+@pytest.mark.parametrize(("step", "done"), [("write_parts", False), ("write_parts", True), ("commit", True), ("sweep", True)])
+@pytest.mark.parametrize("table", ["latest", "counts"])
+def test_a_crash_at_any_point_changes_nothing(spark, tmp_path, monkeypatch, step, table, done):
+    follow, real = Follow(spark, tmp_path), getattr(parted, step)
+    follow.run(0)
+    follow.run(1)
+
+    def breaks(*given, **named):
+        if not any(str(x).endswith(f"/{table}") for x in given):
+            return real(*given, **named)
+        if done:
+            real(*given, **named)
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(parted, step, breaks)
+    with pytest.raises(Exception, match="crash"):
+        follow.run(2)
+    assert len(follow.keys()) >= 5  # what readers see is a whole version
+    monkeypatch.setattr(parted, step, real)
+    follow.run()
+    assert follow.counts() == STATES[2]
+    follow.run(3)
+    assert follow.counts() == STATES[3] and len(follow.keys()) == 6
+
+
+def test_counts_without_a_feed_are_counted_anew(spark, tmp_path):
+    follow = Follow(spark, tmp_path)
+    for k in (0, 1, 2):
+        follow.run(k)
+    other = str(tmp_path / "other")
+    feeds.count_changes(spark, str(tmp_path / "latest"), other, SCHEMA, "place", "ts")
+    assert {(r.place, str(r.event_month)): r.event_count for r in feeds.read_counts(spark, other, "place").collect()} == STATES[2]
+
+
+def test_records_sent_again_land_once(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    raw, runs = str(tmp_path / "raw"), str(tmp_path / "runs")
+    first = ['{"id":"1","at":"2024-02-01"}', '{"id":"1","at":"2024-02-01"}', '{"id":"2","at":"2023-01-01"}', '{"at":"2024-02-01"}']
+    for n, lines in enumerate((first, ['{"id":"1","at":"2024-02-01"}', '{"id":"1","at":"2024-02-02"}', '{"at":"2024-02-01"}', '{"id":"2","at":"2023-01-01"}'])):
+        (tmp_path / "d" / f"{n}.json").write_text("\n".join(lines))
+        feeds.land_stream(spark, str(tmp_path / "d"), "id string, at string", raw, str(tmp_path / "c"), "r", "2024-02-03", runs, "at", key="id").awaitTermination()
+    assert sorted((r.id or "", r.at) for r in spark.read.parquet(raw).collect()) == [("", "2024-02-01"), ("", "2024-02-01"), ("1", "2024-02-01"), ("1", "2024-02-02"), ("2", "2023-01-01")]
+    assert [(r.rows_written, r.rows_again, r.rows_late) for r in landing.read_runs(spark, runs).orderBy("run_id").collect()] == [(3, 1, 1), (2, 2, 0)]
+
+
 def test_versions_and_upkeep(spark):
     rows = spark.createDataFrame([("k", "2", "open"), ("k", "3", "Closed"), ("j", None, "x"), (None, "1", "y")], "key string, at string, v string")
     assert {r.key: r.v for r in versions.latest_by_key(rows, ["key"], ["at"]).collect()} == {"k": "Closed", "j": "x", None: "y"}
