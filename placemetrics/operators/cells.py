@@ -53,6 +53,12 @@ def pack(q: Column, r: Column, resolution: int) -> Column:
     return (F.lit(resolution).cast("long") * F.lit(1 << 58) + (q.cast("long") + (1 << 27)) * F.lit(1 << 29) + (r.cast("long") + (1 << 27))).cast("long")
 
 
+def unpack(cell: Column) -> tuple[Column, Column]:
+    """q and r of a cell."""
+    low = F.lit((1 << 29) - 1)
+    return F.shiftright(cell, 29).bitwiseAND(low) - (1 << 27), cell.bitwiseAND(low) - (1 << 27)
+
+
 def cell(lat: Column, lon: Column, resolution: int) -> Column:
     """The cell that holds a point; NULL for a null coordinate."""
     s = side(resolution)

@@ -5,19 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemetrics.operators import polygons
+from placemetrics.operators import cells, polygons
+
+
+_POINT = ["source_table", "row_key"]
+_HIT = [*_POINT, "longitude", "latitude", "boundary_set", "boundary_id", "is_interior"]
 
 
 def assign(points: DataFrame, bridge: DataFrame, edge: DataFrame, resolution: int = 10) -> DataFrame:
     """source_table, row_key, boundary_set, boundary_id, assignment_method."""
-    usable = points.filter("is_usable_coordinate").select("source_table", "row_key", "longitude", "latitude", F.col(f"h3_r{resolution}").alias("h3_cell"))
+    usable = points.filter("is_usable_coordinate").select(*_POINT, "longitude", "latitude", F.col(f"h3_r{resolution}").alias("h3_cell"))
     near = usable.join(bridge.filter(F.col("resolution") == resolution).select("boundary_set", "boundary_id", "h3_cell", "is_interior"), "h3_cell")
-    point = ["source_table", "row_key"]
-    interior = near.filter("is_interior").groupBy(*point, "boundary_set").agg(F.min("boundary_id").alias("boundary_id")).withColumn("assignment_method", F.lit("interior_cell"))
-    rest = near.filter("not is_interior").join(interior.select(*point, "boundary_set"), [*point, "boundary_set"], "left_anti")
-    exact = polygons.inside(rest.select(*point, "longitude", "latitude", "boundary_set", "boundary_id"), edge, point)
-    exact = exact.groupBy(*point, "boundary_set").agg(F.min("boundary_id").alias("boundary_id")).withColumn("assignment_method", F.lit("exact_refinement"))
-    return interior.unionByName(exact).select(*point, "boundary_set", "boundary_id", "assignment_method")
+    return _decided(near.select(_HIT), edge)
+
+
+def assign_by_runs(points: DataFrame, runs: DataFrame, edge: DataFrame, resolution: int = 10) -> DataFrame:
+    """As ``assign``, by a compact cover: a point meets the runs of its row and block that span its cell."""
+    q, r = cells.unpack(F.col(f"h3_r{resolution}"))
+    usable = points.filter("is_usable_coordinate").select(*_POINT, "longitude", "latitude", q.alias("q"), r.alias("r")).withColumn("block", F.floor(F.col("q") / polygons.RUN))
+    near = usable.join(runs, ["r", "block"]).filter("q between q0 and q1")
+    return _decided(near.select(_HIT), edge)
+
+
+def _decided(near: DataFrame, edge: DataFrame) -> DataFrame:
+    """Points and the boundaries near them: an interior cell decides, else the exact test."""
+    interior = near.filter("is_interior").groupBy(*_POINT, "boundary_set").agg(F.min("boundary_id").alias("boundary_id")).withColumn("assignment_method", F.lit("interior_cell"))
+    rest = near.filter("not is_interior").join(interior.select(*_POINT, "boundary_set"), [*_POINT, "boundary_set"], "left_anti")
+    exact = polygons.inside(rest.select(*_POINT, "longitude", "latitude", "boundary_set", "boundary_id"), edge, _POINT)
+    exact = exact.groupBy(*_POINT, "boundary_set").agg(F.min("boundary_id").alias("boundary_id")).withColumn("assignment_method", F.lit("exact_refinement"))
+    return interior.unionByName(exact).select(*_POINT, "boundary_set", "boundary_id", "assignment_method")
 
 
 def sample(points: DataFrame, n: int) -> DataFrame:
@@ -83,7 +99,7 @@ def interpolate(measures: DataFrame, bridge: DataFrame, columns: list[str], boun
     return spread.groupBy("resolution", "h3_cell").agg(*(F.sum(F.col(c) / F.col("__n")).alias(c) for c in columns))
 
 
-def conserved(cells: DataFrame, measures: DataFrame, column: str, within: float = 1.0) -> DataFrame:
+def conserved(spread: DataFrame, measures: DataFrame, column: str, within: float = 1.0) -> DataFrame:
     total = measures.agg(F.sum(column).cast("double").alias("expected"))
-    by = cells.groupBy("resolution").agg(F.sum(column).alias("allocated")).join(F.broadcast(total))
+    by = spread.groupBy("resolution").agg(F.sum(column).alias("allocated")).join(F.broadcast(total))
     return by.withColumn("passes", F.abs(F.col("allocated") - F.col("expected")) <= within)

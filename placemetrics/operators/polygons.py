@@ -70,47 +70,103 @@ def contains(polys: Column, lon: Column, lat: Column) -> Column:
     return F.exists(polys, lambda p: odd(p[0]) & ~F.exists(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(1))), odd))
 
 
-def _grid(df: DataFrame, resolution: int) -> DataFrame:
-    """Explode the cells (q, r) whose centres lie around each row's box (lon0, lat0, lon1, lat1)."""
-    s = cells.side(resolution)
-    x0, x1, y0, y1 = cells.plane_x(F.col("lon0")), cells.plane_x(F.col("lon1")), cells.plane_y(F.col("lat0")), cells.plane_y(F.col("lat1"))
-    rows = df.withColumn("r", F.explode(F.sequence(F.floor(y0 / (1.5 * s)) - 1, F.ceil(y1 / (1.5 * s)) + 1)))
-    wide = 3.0**0.5 * s
-    return rows.withColumn("q", F.explode(F.sequence(F.floor(x0 / wide - F.col("r") / 2) - 1, F.ceil(x1 / wide - F.col("r") / 2) + 1)))
+#: How much a cell counts as larger where an edge is held against it.
+GROW = 1.001
 
 
-def _touches(resolution: int, grow: float = 1.001) -> Column:
-    """Whether the segment (x1, y1)-(x2, y2) meets the cell (q, r), a little enlarged: clipped against its six half-planes in degrees."""
-    s = cells.side(resolution)
-    at = [(grow * s * math.cos(a), grow * s * math.sin(a)) for a in (math.radians(30 + 60 * k) for k in range(6))]
-    sides = F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip((*p, *q), ("ax", "ay", "bx", "by"), strict=True))) for p, q in zip(at, [*at[1:], at[0]], strict=True)))
-    x, y = (F.col("q") + F.col("r") / 2) * (3.0**0.5 * s), F.col("r") * (1.5 * s)
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+def _center(q: Column, resolution: int) -> Column:
+    """Longitude of a cell's centre, by q and the column r."""
+    return cells.corner_lon((q + F.col("r") / 2) * (3.0**0.5 * cells.side(resolution)))
 
-    def clip(acc: Column, c: Column) -> Column:
-        ax, ay = cells.corner_lon(x + c["ax"]), cells.corner_lat(y + c["ay"])
-        ex, ey = cells.corner_lon(x + c["bx"]) - ax, cells.corner_lat(y + c["by"]) - ay
-        num, den = ex * (F.col("y1") - ay) - ey * (F.col("x1") - ax), ex * dy - ey * dx
-        t = -num / F.nullif(den, F.lit(0.0))
-        low = F.when(den > 0, F.greatest(acc["low"], t)).when((den == 0) & (num < 0), F.lit(2.0)).otherwise(acc["low"])
-        return F.struct(low.alias("low"), F.when(den < 0, F.least(acc["high"], t)).otherwise(acc["high"]).alias("high"))
 
-    done = F.aggregate(sides, F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")), clip)
-    return done["low"] <= done["high"]
+def _touched(edge: DataFrame, resolution: int, key: tuple[str, ...]) -> DataFrame:
+    """key, q, r of the cells that an edge meets, a little enlarged, each once an edge.
+
+    Each edge walks up the rows of cells that it crosses. What of it lies within a row's band of latitude names the few cells of the
+    row it may meet, and these are clipped against the cell's six sides in degrees. Everything but the cell's own
+    longitude is a number of edge and row, worked out once for the row.
+    """
+    s = cells.side(resolution)
+    g, pitch, wide = GROW * s, 1.5 * s, 3.0**0.5 * s
+    x1, y1, r = F.col("x1"), F.col("y1"), F.col("r")
+    low, high = cells.plane_y(F.least("y1", "y2")), cells.plane_y(F.greatest("y1", "y2"))
+    walk = edge.select(*key, "x1", "y1", (F.col("x2") - x1).alias("dx"), (F.col("y2") - y1).alias("dy"), F.sequence(F.ceil((low - g) / pitch - 1e-6), F.floor((high + g) / pitch + 1e-6)).alias("rows"))
+    walk = walk.select(*key, "x1", "y1", "dx", "dy", F.explode("rows").alias("r"))
+    at = [(g * math.cos(a), g * math.sin(a)) for a in (math.radians(30 + 60 * k) for k in range(6))]
+    lats = {f"la{k}": cells.corner_lat(r * pitch + y) for k, (_, y) in enumerate(at)}
+    lons = [math.degrees(x / (RADIUS * math.cos(math.radians(cells.PARALLEL)))) for x, _ in at]
+    walk = walk.withColumns(lats)
+    ends = [(F.col(f"la{k}") - y1) / F.nullif(F.col("dy"), F.lit(0.0)) for k in (4, 1)]  # the band's lower and upper line
+    first, last = F.greatest(F.lit(0.0), F.least(*ends)), F.least(F.lit(1.0), F.greatest(*ends))
+    near, far = x1 + F.least(first, F.lit(1.0)) * F.col("dx"), x1 + F.greatest(last, F.lit(0.0)) * F.col("dx")
+    start = F.ceil((cells.plane_x(F.least(near, far)) - wide * GROW / 2) / wide - r / 2 - 1e-6)
+    stop = F.floor((cells.plane_x(F.greatest(near, far)) + wide * GROW / 2) / wide - r / 2 + 1e-6)
+    side = {}
+    for k in range(6):
+        ex, ey = lons[(k + 1) % 6] - lons[k], F.col(f"la{(k + 1) % 6}") - F.col(f"la{k}")
+        side |= {f"ey{k}": ey, f"base{k}": ex * (y1 - F.col(f"la{k}")) - ey * (x1 - lons[k]), f"den{k}": ex * F.col("dy") - ey * F.col("dx")}
+    found = walk.select(*key, "r", *(c.alias(n) for n, c in side.items()), F.sequence(start, stop).alias("cells")).withColumn("q", F.explode("cells"))
+    lon = _center(F.col("q"), resolution)
+    num, den = [F.col(f"base{k}") + F.col(f"ey{k}") * lon for k in range(6)], [F.col(f"den{k}") for k in range(6)]
+    t = [-n / F.nullif(d, F.lit(0.0)) for n, d in zip(num, den, strict=True)]
+    enters = F.greatest(F.lit(0.0), *(F.when(d > 0, v) for v, d in zip(t, den, strict=True)))
+    leaves = F.least(F.lit(1.0), *(F.when(d < 0, v) for v, d in zip(t, den, strict=True)))
+    beside = [(d == 0) & (n < 0) for n, d in zip(num, den, strict=True)]
+    return found.filter((enters <= leaves) & ~(beside[0] | beside[1] | beside[2] | beside[3] | beside[4] | beside[5])).select(*key, "q", "r")
+
+
+def _stretches(edge: DataFrame, resolution: int, key: tuple[str, ...]) -> DataFrame:
+    """key, poly, ring, r, lon0, lon1: along each row of cell centres, the stretches [lon0, lon1) inside a ring, by its sorted crossings."""
+    pitch = 1.5 * cells.side(resolution)
+    y1, y2, lat = F.col("y1"), F.col("y2"), F.col("lat")
+    rows = F.sequence(F.floor(cells.plane_y(F.least("y1", "y2")) / pitch), F.ceil(cells.plane_y(F.greatest("y1", "y2")) / pitch))
+    met = edge.withColumn("r", F.explode(rows)).withColumn("lat", cells.corner_lat(F.col("r") * pitch)).filter((y1 > lat) != (y2 > lat))
+    at = F.col("x1") + (lat - y1) * (F.col("x2") - F.col("x1")) / (y2 - y1)
+    lines = met.groupBy(*key, "poly", "ring", "r").agg(F.array_sort(F.collect_list(at)).alias("x"))  # as many as edges cross one row
+    pairs = F.transform(F.sequence(F.lit(1), F.size("x") - 1, F.lit(2)), lambda i: F.struct(F.element_at("x", i).alias("lon0"), F.element_at("x", i + 1).alias("lon1")))
+    return lines.select(*key, "poly", "ring", "r", F.inline(pairs))
+
+
+def _centers(edge: DataFrame, resolution: int, key: tuple[str, ...]) -> DataFrame:
+    """key, q, r of the cells whose centres lie inside: in a shell and in none of its holes."""
+    wide, r = 3.0**0.5 * cells.side(resolution), F.col("r")
+    run = F.sequence(F.ceil(cells.plane_x(F.col("lon0")) / wide - r / 2) - 1, F.floor(cells.plane_x(F.col("lon1")) / wide - r / 2) + 1)
+    cell = _stretches(edge, resolution, key).withColumn("q", F.explode(run))
+    lon = _center(F.col("q"), resolution)
+    cell = cell.filter((lon >= F.col("lon0")) & (lon < F.col("lon1")))
+    whole = cell.groupBy(*key, "poly", "q", "r").agg(F.max(F.col("ring") == 0).alias("shell"), F.max(F.col("ring") > 0).alias("hole"))
+    return whole.filter("shell and not hole").select(*key, "q", "r")
 
 
 def cover(edge: DataFrame, resolution: int, key: tuple[str, ...] = ("boundary_set", "boundary_id")) -> DataFrame:
     """key, q, r, is_center, is_touched: every cell that has its centre inside or that an edge meets."""
-    box = [F.min(F.least("x1", "x2")).alias("lon0"), F.min(F.least("y1", "y2")).alias("lat0"), F.max(F.greatest("x1", "x2")).alias("lon1"), F.max(F.greatest("y1", "y2")).alias("lat1")]
-    s = cells.side(resolution)
-    middle = _grid(edge.groupBy(*key).agg(*box), resolution).select(*key, "q", "r").withColumns(
-        {"longitude": cells.corner_lon((F.col("q") + F.col("r") / 2) * (3.0**0.5 * s)), "latitude": cells.corner_lat(F.col("r") * (1.5 * s))}
-    )
-    center = inside(middle, edge, ["q", "r"], key).withColumn("is_center", F.lit(True))
-    own = edge.select(*key, "x1", "y1", "x2", "y2", F.least("x1", "x2").alias("lon0"), F.least("y1", "y2").alias("lat0"), F.greatest("x1", "x2").alias("lon1"), F.greatest("y1", "y2").alias("lat1"))
-    touched = _grid(own, resolution).filter(_touches(resolution)).select(*key, "q", "r").distinct().withColumn("is_touched", F.lit(True))
-    both = center.join(touched, [*key, "q", "r"], "full_outer")
-    return both.select(*key, "q", "r", F.coalesce("is_center", F.lit(False)).alias("is_center"), F.coalesce("is_touched", F.lit(False)).alias("is_touched"))
+    both = _centers(edge, resolution, key).withColumns({"c": F.lit(True), "t": F.lit(False)}).unionByName(_touched(edge, resolution, key).withColumns({"c": F.lit(False), "t": F.lit(True)}))
+    return both.groupBy(*key, "q", "r").agg(F.max("c").alias("is_center"), F.max("t").alias("is_touched"))
+
+
+#: Cells of a row that a run of the compact cover spans at most: runs end where q is a multiple of it.
+RUN = 64
+
+
+def compact_cover(edge: DataFrame, resolution: int, key: tuple[str, ...] = ("boundary_set", "boundary_id"), keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
+    """key, r, block, q0, q1, is_interior: the covering cells as runs along rows, cut at multiples of RUN, so that large insides are few rows.
+
+    Between two cells of a row that edges meet, all cells lie inside or all outside: one centre decides for the whole gap. Cells
+    that edges meet are runs too, not interior. ``keep`` may store the touched cells, which are read twice.
+    """
+    met = keep(_touched(edge, resolution, key).distinct(), f"touched-{resolution}")
+    rows = met.groupBy(*key, "r").agg(F.array_sort(F.collect_list("q")).alias("at"))  # the touched cells of one row
+    gaps = F.filter(F.transform(F.sequence(F.lit(1), F.size("at") - 1), lambda i: F.struct((F.element_at("at", i) + 1).alias("q0"), (F.element_at("at", i + 1) - 1).alias("q1"))), lambda g: g["q0"] <= g["q1"])
+    gap = rows.filter(F.size("at") > 1).select(*key, "r", F.inline(gaps))
+    gap = gap.withColumns({"longitude": _center(F.col("q0"), resolution), "latitude": cells.corner_lat(F.col("r") * (1.5 * cells.side(resolution)))})
+    within = inside(gap, edge, ["r", "q0", "q1"], key).withColumn("is_interior", F.lit(True))
+    block = F.explode(F.sequence(F.floor(F.col("q0") / RUN), F.floor(F.col("q1") / RUN)))
+    within = within.withColumn("block", block).withColumns({"q0": F.greatest("q0", F.col("block") * RUN), "q1": F.least("q1", F.col("block") * RUN + RUN - 1)})
+    own = F.col("q") - F.row_number().over(Window.partitionBy(*key, "r", "block").orderBy("q"))  # the same along neighbours
+    line = met.withColumn("block", F.floor(F.col("q") / RUN)).withColumn("own", own)
+    line = line.groupBy(*key, "r", "block", "own").agg(F.min("q").alias("q0"), F.max("q").alias("q1")).withColumn("is_interior", F.lit(False))
+    names = [*key, "r", "block", "q0", "q1", "is_interior"]
+    return within.select(names).unionByName(line.select(names))
 
 
 def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "boundary_id"), steps: int = 15) -> DataFrame:

@@ -251,7 +251,18 @@ _ORDERED = _POINTS.replace("c_custkey", "o_orderkey").replace("customer", "order
 def ring_membership(spark: SparkSession, sf: str) -> DataFrame:
     """Orders' points in slanted polygons, by cells of resolution 10."""
     points = stored(cells.points(world.coordinates(table(spark, sf, "orders"), "o_orderkey"), "orders", "o_orderkey", "lat_text", "lon_text"), "order-points")
-    return membership.assign(points, _ring_bridge(spark, sf), _ring_edges(spark, sf), 10).select("row_key", "boundary_set", "boundary_id")
+    return membership.assign_by_runs(points, _ring_runs(spark, sf), _ring_edges(spark, sf), 10).select("row_key", "boundary_set", "boundary_id")
+
+
+def _ring_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return derived(spark, sf, "ring-runs", lambda: polygons.compact_cover(_ring_edges(spark, sf), 10, keep=stored))
+
+
+@query(f"WITH {geo.RING_EDGES}, {geo.bridge('e', (10,))} SELECT boundary_set, boundary_id, {geo.packed('q', 'r', 10)} AS h3_cell, is_center AND NOT is_touched AS is_interior FROM cov_10")
+def compact_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells that the runs of the compact cover stand for."""
+    runs = _ring_runs(spark, sf).withColumn("q", F.explode(F.sequence("q0", "q1")))
+    return runs.select("boundary_set", "boundary_id", cells.pack(F.col("q"), F.col("r"), 10).alias("h3_cell"), "is_interior")
 
 
 @query(f"WITH {geo.RING_EDGES} SELECT boundary_set, boundary_id, round(sum(CASE ring WHEN 0 THEN a ELSE -a END), 6) AS area_sq_km FROM (SELECT boundary_set, boundary_id, poly, ring, abs(sum(radians(x2 - x1) * (sin(radians(y1)) + sin(radians(y2))))) * {polygons.RADIUS**2 / 2.0!r}::DOUBLE AS a FROM e GROUP BY 1, 2, 3, 4) GROUP BY 1, 2")
