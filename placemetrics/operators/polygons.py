@@ -74,6 +74,11 @@ def contains(polys: Column, lon: Column, lat: Column) -> Column:
 GROW = 1.001
 
 
+def _dealt(edge: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Edges dealt evenly, as each becomes many rows."""
+    return edge.repartition(int(edge.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key, "poly", "ring", "nth")
+
+
 def _center(q: Column, resolution: int) -> Column:
     """Longitude of a cell's centre, by q and the column r."""
     return cells.corner_lon((q + F.col("r") / 2) * (3.0**0.5 * cells.side(resolution)))
@@ -90,7 +95,7 @@ def _touched(edge: DataFrame, resolution: int, key: tuple[str, ...]) -> DataFram
     g, pitch, wide = GROW * s, 1.5 * s, 3.0**0.5 * s
     x1, y1, r = F.col("x1"), F.col("y1"), F.col("r")
     low, high = cells.plane_y(F.least("y1", "y2")), cells.plane_y(F.greatest("y1", "y2"))
-    walk = edge.select(*key, "x1", "y1", (F.col("x2") - x1).alias("dx"), (F.col("y2") - y1).alias("dy"), F.sequence(F.ceil((low - g) / pitch - 1e-6), F.floor((high + g) / pitch + 1e-6)).alias("rows"))
+    walk = _dealt(edge, key).select(*key, "x1", "y1", (F.col("x2") - x1).alias("dx"), (F.col("y2") - y1).alias("dy"), F.sequence(F.ceil((low - g) / pitch - 1e-6), F.floor((high + g) / pitch + 1e-6)).alias("rows"))
     walk = walk.select(*key, "x1", "y1", "dx", "dy", F.explode("rows").alias("r"))
     at = [(g * math.cos(a), g * math.sin(a)) for a in (math.radians(30 + 60 * k) for k in range(6))]
     lats = {f"la{k}": cells.corner_lat(r * pitch + y) for k, (_, y) in enumerate(at)}
@@ -120,7 +125,7 @@ def _stretches(edge: DataFrame, resolution: int, key: tuple[str, ...]) -> DataFr
     pitch = 1.5 * cells.side(resolution)
     y1, y2, lat = F.col("y1"), F.col("y2"), F.col("lat")
     rows = F.sequence(F.floor(cells.plane_y(F.least("y1", "y2")) / pitch), F.ceil(cells.plane_y(F.greatest("y1", "y2")) / pitch))
-    met = edge.withColumn("r", F.explode(rows)).withColumn("lat", cells.corner_lat(F.col("r") * pitch)).filter((y1 > lat) != (y2 > lat))
+    met = _dealt(edge, key).withColumn("r", F.explode(rows)).withColumn("lat", cells.corner_lat(F.col("r") * pitch)).filter((y1 > lat) != (y2 > lat))
     at = F.col("x1") + (lat - y1) * (F.col("x2") - F.col("x1")) / (y2 - y1)
     lines = met.groupBy(*key, "poly", "ring", "r").agg(F.array_sort(F.collect_list(at)).alias("x"))  # as many as edges cross one row
     pairs = F.transform(F.sequence(F.lit(1), F.size("x") - 1, F.lit(2)), lambda i: F.struct(F.element_at("x", i).alias("lon0"), F.element_at("x", i + 1).alias("lon1")))
@@ -169,25 +174,32 @@ def compact_cover(edge: DataFrame, resolution: int, key: tuple[str, ...] = ("bou
     return within.select(names).unionByName(line.select(names))
 
 
-def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "boundary_id"), steps: int = 15) -> DataFrame:
+def representative(edge: DataFrame, key: tuple[str, ...] = ("boundary_set", "boundary_id"), steps: int = 15, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
     """A point inside each boundary: its largest shell's mean vertex if that is inside, else the first hit of a grid over its box.
 
     Where the grid misses too, the middle of the widest stretch of the boundary on the latitude between its two lowest vertices:
-    every boundary with an area gets a point.
+    every boundary with an area gets a point. Each step is for the boundaries that the one before left over, and is left out where
+    there are none; ``keep`` may store what the steps share.
     """
     twice = F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")))
     shells = edge.filter("ring = 0").groupBy(*key, "poly").agg(
         twice.alias("size"), F.avg("x1").alias("mx"), F.avg("y1").alias("my"), F.min("x1").alias("x0"), F.max("x1").alias("xn"), F.min("y1").alias("y0"), F.max("y1").alias("yn")
     )
     shells = shells.groupBy(*key).agg(F.max_by(F.struct("mx", "my", "x0", "xn", "y0", "yn"), F.struct("size", -F.col("poly"))).alias("s")).select(*key, "s.*")
-    k = F.sequence(F.lit(0), F.lit(steps * steps))
-    tries = shells.withColumn("k", F.explode(k))
-    i, j = F.expr(f"(k - 1) div {steps}"), (F.col("k") - 1) % steps
-    lon = F.when(F.col("k") == 0, F.col("mx")).otherwise(F.col("x0") + (j + 0.5) * (F.col("xn") - F.col("x0")) / steps)
-    lat = F.when(F.col("k") == 0, F.col("my")).otherwise(F.col("y0") + (i + 0.5) * (F.col("yn") - F.col("y0")) / steps)
-    tries = tries.select(*key, "k", lon.alias("longitude"), lat.alias("latitude"))
-    hits = inside(tries, edge, ["k", "longitude", "latitude"], key)
-    found = hits.groupBy(*key).agg(F.min_by(F.struct("longitude", "latitude"), "k").alias("p")).select(*key, "p.longitude", "p.latitude")
+    shells = keep(shells, "shells")
+    middle = shells.select(*key, F.col("mx").alias("longitude"), F.col("my").alias("latitude"))
+    found = keep(inside(middle, edge, ["longitude", "latitude"], key).select(*key, "longitude", "latitude"), "middles")
+    left = shells.join(found.select(*key), list(key), "left_anti")
+    if left.isEmpty():
+        return found
+    tries = left.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(steps * steps - 1))))
+    i, j = F.expr(f"k div {steps}"), F.col("k") % steps
+    lon, lat = F.col("x0") + (j + 0.5) * (F.col("xn") - F.col("x0")) / steps, F.col("y0") + (i + 0.5) * (F.col("yn") - F.col("y0")) / steps
+    hits = inside(tries.select(*key, "k", lon.alias("longitude"), lat.alias("latitude")), edge, ["k", "longitude", "latitude"], key)
+    grid = hits.groupBy(*key).agg(F.min_by(F.struct("longitude", "latitude"), "k").alias("p")).select(*key, "p.longitude", "p.latitude")
+    found = keep(found.unionByName(grid), "points")
+    if shells.join(found.select(*key), list(key), "left_anti").isEmpty():
+        return found
     thin = edge.join(found.select(*key), list(key), "left_anti")
     heights = thin.groupBy(*key).agg(F.slice(F.array_sort(F.collect_set("y1")), 1, 2).alias("y")).filter(F.size("y") == 2)
     level = heights.select(*key, ((F.col("y")[0] + F.col("y")[1]) / 2).alias("latitude"))
@@ -203,14 +215,14 @@ def bridge(
 ) -> DataFrame:
     """boundary_set, boundary_id, resolution, h3_cell, is_interior, is_primary, is_allocation_cell.
 
-    ``keep`` may store the covering cells, which are read twice.
+    ``keep`` may store the covering cells and the edges of boundaries without a cell of their own, which are read more than once.
     """
     out = None
     for resolution in resolutions:
         found = cover(edge, resolution, key).select(*key, cells.pack(F.col("q"), F.col("r"), resolution).alias("h3_cell"), "is_center", (F.col("is_center") & ~F.col("is_touched")).alias("is_interior"))
         found = keep(found, f"cover-{resolution}")
         without = edge.select(*key).distinct().join(found.filter("is_center"), list(key), "left_anti")
-        point = representative(edge.join(without, list(key), "left_semi"), key)
+        point = representative(keep(edge.join(without, list(key), "left_semi"), f"alone-{resolution}"), key, keep=keep)
         tiny = point.select(*key, cells.cell(F.col("latitude"), F.col("longitude"), resolution).alias("h3_cell"), F.lit(True).alias("is_center"), F.lit(False).alias("is_interior"))
         both = found.unionByName(tiny).groupBy(*key, "h3_cell").agg(F.max("is_center").alias("is_allocation_cell"), F.max("is_interior").alias("is_interior"))
         both = both.withColumn("resolution", F.lit(resolution))
