@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemetrics.functions.casts import canonical
+from placemetrics.sources.zones import stored
 
 
 def _shape(kind: str, name: str = "", cells: tuple[str, ...] = ()) -> str:
@@ -22,20 +21,37 @@ def _shape(kind: str, name: str = "", cells: tuple[str, ...] = ()) -> str:
     return "string" if kind == "string" else "blob"
 
 
-def _median(counts: DataFrame, steps: int = 1000) -> DataFrame:
-    """column_name and exact median of (column_name, number, n): only the step of equal width that holds the middle is sorted."""
-    span = counts.groupBy("column_name").agg(F.min("number").alias("a"), F.max("number").alias("b"), F.sum("n").alias("all"))
-    step = F.when(F.col("b") > F.col("a"), F.least(F.floor((F.col("number") - F.col("a")) / (F.col("b") - F.col("a")) * steps), F.lit(steps - 1))).otherwise(0).cast("int")
-    placed = counts.join(F.broadcast(span), "column_name").withColumn("step", step)
-    own = Window.partitionBy("column_name").orderBy("step")
-    steps_ = placed.groupBy("column_name", "step").agg(F.sum("n").alias("m"), F.first("all").alias("all")).withColumn("upto", F.sum("m").over(own))
-    # the two middle places, counted from 0, are (all - 1) div 2 and all div 2
-    hold = (F.col("upto") > F.expr("(all - 1) div 2")) & (F.col("upto") - F.col("m") <= F.expr("all div 2"))
-    few = placed.drop("all").join(F.broadcast(steps_.filter(hold).select("column_name", "step", "all", (F.col("upto") - F.col("m")).alias("before"))), ["column_name", "step"])
-    inner = Window.partitionBy("column_name", "step").orderBy("number")
-    few = few.withColumn("upto", F.col("before") + F.sum("n").over(inner))
-    middle = (F.col("upto") > F.expr("(all - 1) div 2")) & (F.col("upto") - F.col("n") <= F.expr("all div 2"))
-    both = few.filter(middle).groupBy("column_name").agg(F.min("number").alias("x"), F.max("number").alias("y"))
+#: Parts that a round of the median cuts what is left of a column into, and values of a column that are sorted in one task at most.
+SPLITS, SORTED = 64, 1_000_000
+
+
+def _median(counts: DataFrame, splits: int | None = None, most: int | None = None) -> DataFrame:
+    """column_name and exact median of (column_name, number, n), n rows for each different number.
+
+    Sampled quantiles cut the different numbers of a column into parts of about equal size, whatever their spread; only the part that holds
+    the middle goes on, and is cut again until it is small enough to sort.
+    """
+    splits, most = splits or SPLITS, most or SORTED
+    total = counts.groupBy("column_name").agg(F.sum("n").alias("all"))
+    rows = counts.select("column_name", "number", "n").join(F.broadcast(total), "column_name").withColumn("before", F.lit(0).cast("long"))
+    at = [i / splits for i in range(1, splits)]
+    low, high = F.expr("(all - 1) div 2"), F.expr("all div 2")  # the two middle places, counted from 0
+    widest = None
+    while True:
+        cuts = rows.groupBy("column_name").agg(F.percentile_approx("number", at, 10000).alias("cuts"))  # a row a column
+        placed = rows.join(F.broadcast(cuts), "column_name").withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("number"))))
+        parts = placed.groupBy("column_name", "part").agg(F.sum("n").alias("m"), F.first("all").alias("all"), F.first("before").alias("before"))
+        parts = parts.withColumn("upto", F.col("before") + F.sum("m").over(Window.partitionBy("column_name").orderBy("part")))
+        held = parts.filter((F.col("upto") > low) & (F.col("upto") - F.col("m") <= high))
+        start = F.min(F.col("upto") - F.col("m")).over(Window.partitionBy("column_name"))
+        held = held.select("column_name", "part", start.alias("start"))
+        rows = stored(placed.join(F.broadcast(held), ["column_name", "part"]).select("column_name", "number", "n", "all", F.col("start").alias("before")), "middles")
+        now = rows.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
+        if now <= most or now == widest:
+            break
+        widest = now
+    few = rows.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("column_name").orderBy("number")))
+    both = few.filter((F.col("upto") > low) & (F.col("upto") - F.col("n") <= high)).groupBy("column_name").agg(F.min("number").alias("x"), F.max("number").alias("y"))
     return both.select("column_name", ((F.col("x") + F.col("y")) / 2).alias("median"))
 
 
@@ -49,10 +65,12 @@ def profile(df: DataFrame, few: int = 50, top: int = 5, cells: tuple[str, ...] =
     entries = []
     for c, shape in cols:
         value = F.col(f"`{c}`")
-        text = F.when(value.isNotNull(), F.lit("blob")) if shape == "blob" else value.cast("string")
+        whole = shape == "numeric" and dict(df.dtypes)[c] in ("int", "smallint", "tinyint", "float", "double")  # the number says all that the text does
+        text = F.when(value.isNotNull(), F.lit("")) if shape == "blob" or whole else value.cast("string")
         number = value.cast("double") if shape == "numeric" else F.lit(None).cast("double")
         entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(shape).alias("shape"), text.alias("text"), number.alias("number")))
     counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("column_name", "shape", "text", "number").agg(F.count("*").alias("n"))
+    counts = stored(counts, "counts")
     real = F.col("text").isNotNull()
     most = F.slice(F.array_sort(F.collect_list(F.when(F.col("nth") <= top, F.struct((-F.col("n")).alias("m"), "text")))), 1, top)
     order = Window.partitionBy("column_name").orderBy(F.col("text").isNull(), F.col("n").desc(), "text")
@@ -119,17 +137,62 @@ def fingerprint(df: DataFrame, key: list[str]) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), digest(*text.values()).alias("rows_digest"), *(digest(*grain, t).alias(f"{c}_digest") for c, t in text.items() if c not in key))
 
 
+#: Leaves of the digest tree of a comparison, and leaves under a node.
+LEAVES, FAN = 4096, 64
+
+
+def _leaves(df: DataFrame, key: list[str], kinds: dict[str, str]) -> DataFrame:
+    """leaf, n and a digest of every column, keyed by the grain; neither depends on order."""
+    own = F.xxhash64(*(canonical(F.col(k), kinds[k]) for k in key))
+    rows = df.withColumn("__own", own).withColumn("leaf", F.pmod("__own", F.lit(LEAVES).cast("long")))
+    digests = [F.bit_xor(F.xxhash64("__own", canonical(F.col(c), k))).alias(c) for c, k in kinds.items() if c not in key]
+    return rows.groupBy("leaf").agg(F.count("*").alias("__n"), F.sum(F.col("__own").cast("decimal(38,0)")).alias("__keys"), *digests)
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, key: list[str]) -> tuple[list[int], list[str]]:
+    """Leaves of the key's hash and columns in which two tables differ, from a digest tree compared from the top down.
+
+    Each table is read once for its leaves; nodes are sums of leaves, and only leaves under a node that differs are compared.
+    """
+    kinds = {c: k for c, k in a.dtypes if c in b.columns}
+    names = ["__n", "__keys", *(c for c in kinds if c not in key)]
+    x, y = (stored(_leaves(t, key, kinds), "leaves") for t in (a, b))
+    up = [F.sum(c).alias(c) if c in ("__n", "__keys") else F.bit_xor(c).alias(c) for c in names]
+    node = F.expr(f"leaf div {FAN}")
+
+    def unlike(p: DataFrame, q: DataFrame, by: str) -> DataFrame:
+        both = p.alias("p").join(q.alias("q"), by, "full_outer")
+        off = {c: ~F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in names}
+        missing = F.col("p.__n").isNull() | F.col("q.__n").isNull() | off["__n"] | off["__keys"]
+        return both.select(by, *((missing | off[c]).alias(c) for c in names if c in kinds), missing.alias("__missing")).filter(" or ".join(f"`{c}`" for c in (*(c for c in names if c in kinds), "__missing")))
+
+    top = unlike(x.groupBy(node.alias("node")).agg(*up), y.groupBy(node.alias("node")).agg(*up), "node").select("node")
+    under = lambda t: t.withColumn("node", node).join(F.broadcast(top), "node", "left_semi").drop("node")
+    found = unlike(under(x), under(y), "leaf").collect()  # LEAVES rows at most
+    return sorted(r["leaf"] for r in found), [c for c in names if c in kinds and any(r[c] for r in found)]
+
+
 def differing(a: DataFrame, b: DataFrame, key: list[str], most: int = 5) -> DataFrame:
-    """column_name and up to ``most`` keys whose values differ, for the columns whose digests do."""
-    x, y = fingerprint(a, key).first().asDict(), fingerprint(b, key).first().asDict()
-    cols = [c for c in a.columns if c not in key and x.get(f"{c}_digest") != y.get(f"{c}_digest")]
-    empty = a.select(F.lit("").alias("column_name"), *key).limit(0)
+    """column_name and up to ``most`` keys whose values differ; keys that one table lacks differ in every column.
+
+    Only rows of the leaves that differ are joined, once for all columns.
+    """
+    leaves, cols = differing_ranges(a, b, key)
     kinds = dict(a.dtypes)
-    parts = []
-    for c in cols:
-        both = a.select(*key, canonical(F.col(c), kinds[c]).alias("va")).join(b.select(*key, canonical(F.col(c), kinds[c]).alias("vb")), key, "full_outer")
-        parts.append(both.filter(~F.col("va").eqNullSafe(F.col("vb"))).orderBy(*key).limit(most).select(F.lit(c).alias("column_name"), *key))
-    return reduce(lambda p, q: p.unionByName(q), parts, empty)
+    if not leaves or not cols:
+        return a.select(F.lit("").alias("column_name"), *key).limit(0)
+    text = lambda t, side: [canonical(F.col(c), kinds[c]).alias(f"{side}_{c}") for c in cols]
+    of = a.sparkSession.createDataFrame([(leaf,) for leaf in leaves], "leaf long")
+
+    def part(t: DataFrame, side: str) -> DataFrame:
+        own = F.pmod(F.xxhash64(*(canonical(F.col(k), kinds[k]) for k in key)), F.lit(LEAVES).cast("long"))
+        return t.withColumn("leaf", own).join(F.broadcast(of), "leaf", "left_semi").select(*key, *text(t, side), F.lit(True).alias(f"{side}_has"))
+
+    both = part(a, "a").join(part(b, "b"), key, "full_outer")
+    unlike = F.array_compact(F.array(*(F.when(~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")), F.lit(c)) for c in cols)))
+    each = both.select(*key, F.explode(unlike).alias("column_name"))
+    order = Window.partitionBy("column_name").orderBy(*key)
+    return each.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= most).select("column_name", *key)
 
 
 def cardinality(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:

@@ -79,16 +79,19 @@ def runs_to_drop(runs: DataFrame, fates: DataFrame, partition: str) -> DataFrame
 def changed_partitions(old: DataFrame, new: DataFrame, partition: str, share: float = 0.5) -> DataFrame:
     """New or grown partitions are rebuilt alone; a shrunk or vanished one, or a share of them touched, rebuilds the table.
 
-    A partition has grown or shrunk by its rows; with equal rows and another number of files it counts as grown.
+    A partition has grown or shrunk by its rows; with equal rows and another number of files it counts as grown, and with equal rows
+    and files but another digest it has changed: it was written again with other values.
     """
-    if ("files" in old.columns) != ("files" in new.columns):
-        raise ValueError("both states need files, or none")
-    files = "files" in old.columns
-    mine = lambda df, name: df.select(partition, F.col("rows").alias(f"{name}_rows"), (F.col("files") if files else F.lit(0)).alias(f"{name}_files"))
+    for c in ("files", "digest"):
+        if (c in old.columns) != (c in new.columns):
+            raise ValueError(f"both states need {c}, or none")
+    have = lambda df, c, kind: F.col(c).cast(kind) if c in df.columns else F.lit(0).cast(kind)
+    mine = lambda df, name: df.select(partition, F.col("rows").alias(f"{name}_rows"), have(df, "files", "long").alias(f"{name}_files"), have(df, "digest", "string").alias(f"{name}_digest"))
     both = mine(old, "old").join(mine(new, "new"), partition, "full_outer")
     state = (
         F.when(F.col("old_rows").isNull(), "new").when(F.col("new_rows").isNull(), "vanished").when(F.col("new_rows") > F.col("old_rows"), "grown")
-        .when(F.col("new_rows") < F.col("old_rows"), "shrunk").when(F.col("new_files") != F.col("old_files"), "grown").otherwise("same")
+        .when(F.col("new_rows") < F.col("old_rows"), "shrunk").when(F.col("new_files") != F.col("old_files"), "grown")
+        .when(~F.col("new_digest").eqNullSafe(F.col("old_digest")), "changed").otherwise("same")
     )
     both = both.select(partition, state.alias("state"))
     totals = both.agg(F.max(F.col("state").isin("vanished", "shrunk")).alias("lost"), (F.count_if(F.col("state") != "same") >= share * F.count("*")).alias("much"))

@@ -42,7 +42,13 @@ def input_state(df: DataFrame, key: str, watermark: str, name: str) -> DataFrame
     return df.agg((F.count_distinct(key) + nulls).alias("rows"), F.max(watermark).alias("watermark")).select(F.lit(name).alias("table_name"), "rows", "watermark")
 
 
-def partition_state(df: DataFrame, partition: str, file: str | None = None, key: str | None = None) -> DataFrame:
-    """Rows, and where named the different files and keys, of each partition."""
+def partition_state(df: DataFrame, partition: str, file: str | None = None, key: str | None = None, digest: list[str] | None = None) -> DataFrame:
+    """Rows, and where named the different files and keys, of each partition, and a digest of its rows by some columns.
+
+    The digest is of the rows as a multiset: it does not depend on their order, and repeated rows count (sum and xor of row hashes).
+    """
     more = [F.count_distinct(c).alias(n) for n, c in (("files", file), ("keys", key)) if c]
+    if digest:
+        own = F.xxhash64(*digest)
+        more.append(F.concat_ws(":", F.sum(own.cast("decimal(20,0)")), F.bit_xor(own)).alias("digest"))
     return df.groupBy(partition).agg(F.count("*").alias("rows"), *more)

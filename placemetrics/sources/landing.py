@@ -32,15 +32,43 @@ def land_records(df: DataFrame, run_id: str, ingested_at: str) -> DataFrame:
     return df.select(*(text(f) for f in df.schema.fields), F.lit(ingested_at).alias("_ingested_at"), F.lit(run_id).alias("_ingest_run_id"))
 
 
+_LOG = "ingest_date string, position int, column_name string, column_type string"
+
+
 def append_batch(df: DataFrame, path: str, ingest_date: str) -> None:
+    """Appends a batch, and the batch's columns to the zone's schema log; logged first, so that no column is ever unknown."""
+    columns = [(ingest_date, i, c, k) for i, (c, k) in enumerate(df.dtypes)]
+    df.sparkSession.createDataFrame(columns, _LOG).coalesce(1).write.mode("append").json(f"{path}/_schema")
     df.withColumn("ingest_date", F.lit(ingest_date)).write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.schema(_LOG).json(f"{path}/_schema") if found_paths(spark, f"{path}/_schema/*.json") else None
+
+
+def zone_columns(spark: SparkSession, path: str) -> DataFrame:
+    """Every column that a zone's batches had: its type, the first and the last day with it, and the number of days."""
+    log = _log(spark, path)
+    log = spark.createDataFrame([], _LOG) if log is None else log
+    return log.groupBy("column_name", "column_type").agg(F.min("ingest_date").alias("first_seen"), F.max("ingest_date").alias("last_seen"), F.count_distinct("ingest_date").alias("batches"))
+
+
 def read_raw(spark: SparkSession, path: str, partitions: list[str] | None = None, with_file: bool = False) -> DataFrame:
-    """All or some partitions, columns united by name, the partition key a string."""
+    """All or some partitions, columns united by name, the partition key a string.
+
+    The columns are those that the schema log has for the partitions asked for, so no file is opened to find them; only a zone
+    without a log has its files' schemas merged.
+    """
     if partitions is not None and not partitions:
         raise ValueError("no partitions asked for")
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    log = _log(spark, path)
+    if log is None:
+        df = spark.read.option("mergeSchema", True).parquet(path)
+    else:
+        asked = log if partitions is None else log.filter(F.col("ingest_date").isin(partitions))
+        columns = asked.groupBy("column_name").agg(F.min(F.struct("ingest_date", "position")).alias("at"), F.first("column_type").alias("kind")).orderBy("at", "column_name").collect()  # a row a column
+        fields = [*(f"`{r[0]}` {r[2]}" for r in columns), "ingest_date string"]
+        df = spark.read.schema(", ".join(fields)).parquet(path)
     df = df.withColumn("ingest_date", F.col("ingest_date").cast("string"))
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))

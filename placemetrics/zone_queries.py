@@ -222,15 +222,29 @@ def check_log(spark: SparkSession, sf: str) -> DataFrame:
     return checks.newest_runs(spark.read.parquet(path), 2)
 
 
-@query("SELECT 'lost' AS table_name, 'missing' AS problem WHERE (SELECT count(*) FROM orders) > 0 UNION ALL SELECT 'part', 'unregistered' WHERE (SELECT count(*) FROM part) > 0")
+_REGISTRY = "region nation customer supplier orders lineitem events documents embeddings pages benchmark labels lost".split()
+_GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query(f"""WITH found AS ({" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _GIVEN)}), held AS (SELECT table_name FROM found WHERE n > 0), registry AS (SELECT unnest({_REGISTRY!r}) AS table_name)
+SELECT table_name, 'missing' AS problem FROM (FROM registry EXCEPT FROM held) UNION ALL SELECT table_name, 'unregistered' FROM (FROM held EXCEPT FROM registry)""")
 def registered_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """The registry against the tables that exist with rows."""
-    registry = spark.createDataFrame([("orders",), ("customer",), ("lost",)], "table_name string")
-    found = activity.union_all([table(spark, sf, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t in ("orders", "customer", "part")])
+    """A registry against the tables that are found in the folder and hold rows."""
+    registry = spark.createDataFrame([(t,) for t in _REGISTRY], "table_name string")
+    names = [p.rsplit("/", 1)[1].removesuffix(".parquet") for p in zones.found_paths(spark, f"{sf}/*.parquet")]
+    found = activity.union_all([table(spark, sf, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t in names])
     return checks.registered(registry, found.filter("n > 0").select("table_name"))
 
 
-@query("SELECT 'orders' AS table_name, unnest(['o_comment_hash', 'o_clerk_name']) AS column_name, unnest(['right', 'right']) AS side FROM (SELECT count(*) FROM orders) UNION ALL SELECT 'customer', 'c_acctbal', 'left' FROM (SELECT count(*) FROM customer)")
+def _columns_sql(name: str, select: str) -> str:
+    return f"SELECT '{name}' AS table_name, column_name FROM (DESCRIBE {select})"
+
+
+_LEFT_COLUMNS = f"{_columns_sql('orders', 'SELECT * FROM orders')} UNION ALL {_columns_sql('customer', 'SELECT * FROM customer')}"
+_RIGHT_COLUMNS = f"""{_columns_sql('orders', "SELECT *, 1 AS o_comment_hash, '' AS o_clerk_name FROM orders")} UNION ALL {_columns_sql('customer', 'SELECT * EXCLUDE (c_acctbal) FROM customer')}"""
+
+
+@query(f"WITH a AS ({_LEFT_COLUMNS}), b AS ({_RIGHT_COLUMNS}) SELECT *, 'left' AS side FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT FROM a)")
 def column_differences(spark: SparkSession, sf: str) -> DataFrame:
     """Columns by (table, column) of two versions of two tables, both ways."""
     o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
@@ -240,13 +254,39 @@ def column_differences(spark: SparkSession, sf: str) -> DataFrame:
     return profile.column_differences(left, right)
 
 
-@query("SELECT unnest(['c_name', 'c_acctbal', 'c_new', 'c_mktsegment']) AS column_name, unnest(['renamed', 'retyped', 'added', 'removed']) AS change, unnest(['c_title', NULL, NULL, NULL]) AS new_name FROM (SELECT count(*) FROM customer)")
+_OLD_SCHEMA = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+_NEW_SCHEMA = "SELECT c_custkey, c_name AS c_title, c_nationkey, c_acctbal::VARCHAR AS c_acctbal, 1 AS c_new FROM customer"
+
+
+@query(f"""WITH o AS (SELECT column_name AS name, column_type AS kind, row_number() OVER () AS place FROM (DESCRIBE {_OLD_SCHEMA})), n AS (SELECT column_name AS name, column_type AS kind, row_number() OVER () AS place FROM (DESCRIBE {_NEW_SCHEMA})),
+gone AS (SELECT o.* FROM o ANTI JOIN n USING (name)), come AS (SELECT n.* FROM n ANTI JOIN o USING (name)), pair AS (SELECT gone.name AS was, come.name AS now FROM gone JOIN come USING (kind, place))
+SELECT was AS column_name, 'renamed' AS change, now AS new_name FROM pair UNION ALL SELECT name, 'removed', NULL FROM gone WHERE name NOT IN (SELECT was FROM pair) UNION ALL SELECT name, 'added', NULL FROM come WHERE name NOT IN (SELECT now FROM pair)
+UNION ALL SELECT name, CASE WHEN o.kind <> n.kind THEN 'retyped' ELSE 'reordered' END, NULL FROM o JOIN n USING (name) WHERE o.kind <> n.kind OR o.place <> n.place""")
 def schema_changes(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     new = c.select("c_custkey", F.col("c_name").alias("c_title"), "c_nationkey", F.col("c_acctbal").cast("string"), F.lit(1).alias("c_new"))
     return profile.schema_changes(profile.schema_rows(c), profile.schema_rows(new))
 
 
+_LOGGED = "l AS (SELECT '2024-03-0' || (1 + event_id % 3) AS day, event_id::VARCHAR AS id, user_id::VARCHAR AS user, CASE WHEN event_id % 3 = 1 AND user_id % 2 = 0 THEN event_type END AS kind, CASE WHEN event_id % 3 > 0 AND user_id % 5 = 0 THEN ts::VARCHAR END AS noted FROM events)"
+
+
+@query(f"""WITH {_LOGGED} SELECT column_name, 'string' AS column_type, min(day) AS first_seen, max(day) AS last_seen, count(DISTINCT day) AS batches FROM
+  (UNPIVOT l ON id, user, kind, noted INTO NAME column_name VALUE v) GROUP BY 1 UNION ALL SELECT unnest(['_ingested_at', '_ingest_run_id']), 'string', min(day), max(day), count(DISTINCT day) FROM l""")
+def schema_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a zone's columns, from batches of JSON whose null fields are left out, so that columns come and go with the data."""
+    raw, e = zones.fresh_path(spark, "raw"), table(spark, sf, "events")
+    k, user = F.col("event_id") % 3, F.col("user_id")
+    lines = e.select(
+        k.alias("batch"), F.col("event_id").cast("string").alias("id"), user.cast("string").alias("user"), F.when((k == 1) & (user % 2 == 0), F.col("event_type")).alias("kind"), F.when((k > 0) & (user % 5 == 0), F.col("ts").cast("string")).alias("noted")
+    )
+    for n in (0, 1, 2):
+        drop = zones.fresh_path(spark, "json")
+        lines.filter(F.col("batch") == n).drop("batch").write.json(drop)
+        landing.append_batch(landing.land_records(spark.read.option("primitivesAsString", True).json(drop), f"r{n}", "now"), raw, f"2024-03-0{n + 1}")
+    return landing.zone_columns(spark, raw)
+
+
 # ---- reconciliation and upkeep
 
 
@@ -272,21 +312,26 @@ _STATES = "s AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, count(DI
 
 
 @query(f"""WITH {_STATES}, c AS (SELECT u.case_, day, CASE WHEN case_ = 'shrunk' AND k = 2 THEN n + 1 WHEN case_ IN ('grown', 'half') AND (k = 2 OR (case_ = 'half' AND k <= days)) THEN n - 1 ELSE n END AS was,
-  CASE WHEN case_ = 'files' AND k = 3 THEN f + 1 ELSE f END AS files_were, n, f, case_ = 'vanished' AND k = 1 AS gone FROM w, (VALUES ('grown'), ('files'), ('shrunk'), ('vanished'), ('half')) u(case_)),
-t AS (SELECT case_, day, CASE WHEN gone THEN 'vanished' WHEN n > was THEN 'grown' WHEN n < was THEN 'shrunk' WHEN f <> files_were THEN 'grown' ELSE 'same' END AS state FROM c),
+  CASE WHEN case_ = 'files' AND k = 3 THEN f + 1 ELSE f END AS files_were, n, f, case_ = 'vanished' AND k = 1 AS gone FROM w, (VALUES ('grown'), ('files'), ('shrunk'), ('vanished'), ('half'), ('swapped')) u(case_)),
+d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) > 1 AND min(user_id) < max(user_id) AS differs FROM events GROUP BY 1),
+t AS (SELECT case_, day, CASE WHEN gone THEN 'vanished' WHEN n > was THEN 'grown' WHEN n < was THEN 'shrunk' WHEN f <> files_were THEN 'grown' WHEN case_ = 'swapped' AND differs AND day = (SELECT day FROM w WHERE k = 2) THEN 'changed' ELSE 'same' END AS state FROM c JOIN d USING (day)),
 v AS (SELECT case_, bool_or(state IN ('vanished', 'shrunk')) OR count(*) FILTER (state <> 'same') >= 0.5 * count(*) AS whole FROM t GROUP BY 1)
 SELECT case_ AS scenario, day AS ingest_date, state, CASE WHEN whole THEN 'table' WHEN state <> 'same' THEN 'partition' ELSE 'none' END AS rebuild FROM t JOIN v USING (case_)""")
 def rebuild_plans(spark: SparkSession, sf: str) -> DataFrame:
-    """What is rebuilt when partitions grow, get files, shrink, vanish, or are touched by half."""
-    e = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("ingest_date"), (F.col("event_id") % 3).alias("file"))
-    now = zones.stored(versions.partition_state(e, "ingest_date", file="file"), "states")
+    """What is rebuilt when partitions grow, get files, shrink, vanish, are touched by half, or have two values swapped."""
+    e = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("ingest_date"), (F.col("event_id") % 3).alias("file"), "event_id", "user_id")
+    state = lambda df: versions.partition_state(df, "ingest_date", file="file", digest=["event_id", "user_id"])
+    now = zones.stored(state(e), "states")
     k = {r.ingest_date: i for i, r in enumerate(now.select("ingest_date").orderBy("ingest_date").limit(3).collect(), 1)}
     first, second, third = (next(d for d, n in k.items() if n == i) for i in (1, 2, 3))
     at = lambda day: F.col("ingest_date") == day
+    ends = e.filter(at(second)).agg(F.min_by("event_id", F.struct("user_id", "event_id")).alias("one"), F.max_by("event_id", F.struct("user_id", "event_id")).alias("two"), F.min("user_id").alias("u1"), F.max("user_id").alias("u2"))
+    other = F.when(at(second) & (F.col("event_id") == F.col("one")), F.col("u2")).when(at(second) & (F.col("event_id") == F.col("two")), F.col("u1")).otherwise(F.col("user_id"))
+    swapped = zones.stored(state(e.join(F.broadcast(ends)).withColumn("user_id", other)), "states")
     less = lambda where, by: now.withColumn("rows", F.when(where, F.col("rows") - by).otherwise(F.col("rows")))
     cases = {
         "grown": (less(at(second), 1), now), "files": (now.withColumn("files", F.when(at(third), F.col("files") + 1).otherwise(F.col("files"))), now),
-        "shrunk": (less(at(second), -1), now), "vanished": (now, now.filter(~at(first))), "half": (less(F.lit(True), 1), now),
+        "shrunk": (less(at(second), -1), now), "vanished": (now, now.filter(~at(first))), "half": (less(F.lit(True), 1), now), "swapped": (swapped, now),
     }
     return activity.union_all([reconcile.changed_partitions(old, new, "ingest_date").withColumn("scenario", F.lit(name)) for name, (old, new) in cases.items()])
 
