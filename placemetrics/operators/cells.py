@@ -59,6 +59,19 @@ def unpack(cell: Column) -> tuple[Column, Column]:
     return F.shiftright(cell, 29).bitwiseAND(low) - (1 << 27), cell.bitwiseAND(low) - (1 << 27)
 
 
+def _spread_bits(x: Column) -> Column:
+    """The low 31 bits of a number with a zero between any two of them."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def curve(cell: Column) -> Column:
+    """Place of a cell along a Z-order curve over q and r: cells near each other are mostly near along it."""
+    q, r = unpack(cell)
+    return _spread_bits(q + (1 << 27)).bitwiseOR(F.shiftleft(_spread_bits(r + (1 << 27)), 1))
+
+
 def cell(lat: Column, lon: Column, resolution: int) -> Column:
     """The cell that holds a point; NULL for a null coordinate."""
     s = side(resolution)

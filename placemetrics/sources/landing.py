@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placemetrics.operators.profile import schema_hash
-from placemetrics.sources.zones import found_paths, read_version, remove, write_version
+from placemetrics.sources.zones import found_paths, read_version, remove, stored, versions, write_version
 
 RUNS = (
     "run_id string, dataset string, table_name string, ingest_date string, started_at timestamp, finished_at timestamp, watermark_in string, "
@@ -80,9 +81,9 @@ def after(df: DataFrame, since: str | None, position: str, key: str) -> DataFram
     return (df.filter(F.col(position) > since) if since else df).orderBy(position, key)
 
 
-def read_json(spark: SparkSession, path: str, schema: str | None = None, since: str | None = None, position: str = "updated_at", key: str = "id") -> DataFrame:
-    """JSON records after a position, in the order of position and key."""
-    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+def read_json(spark: SparkSession, path: str, schema: str | None = None, since: str | None = None, position: str = "updated_at", key: str = "id", lines: bool = False) -> DataFrame:
+    """JSON records, pages of arrays or one a line, after a position, in the order of position and key."""
+    reader = spark.read.option("multiLine", not lines).option("primitivesAsString", True)
     return after((reader.schema(schema) if schema else reader).json(path), since, position, key)
 
 
@@ -155,21 +156,61 @@ def read_derived(spark: SparkSession, schema: str, path: str) -> DataFrame:
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def publish(df: DataFrame, name: str, path: str, at: str, partition_by: list[str] | None = None, files: int = 1) -> DataFrame:
-    """Write a mart in few files, then return its manifest row. The mart is computed at full width and only then dealt to its files."""
-    writer = df.repartition(files).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    done = df.sparkSession.read.parquet(path)
-    size = done.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size").alias("bytes"))
-    return done.agg(F.count("*").alias("rows")).join(F.broadcast(size)).select(F.lit(name).alias("mart"), "rows", "bytes", F.lit(schema_hash(df)).alias("schema_hash"), F.lit(at).alias("published_at"))
+#: Bytes of a published file.
+FILE_BYTES = 128 << 20
+_MANIFEST = "mart string, folder string, file string, rows long, bytes long, ranges map<string, struct<low: double, high: double>>, schema_hash string, published_at string"
+_MARTS = "mart string, rows long, bytes long, schema_hash string, published_at string"
 
 
-def publish_all(marts: dict[str, DataFrame], root: str, at: str) -> DataFrame:
-    """Publish marts under ``root``, remove what is no longer published, and write the manifest last."""
-    rows = reduce(lambda a, b: a.unionByName(b), [publish(df, name, f"{root}/{name}", at) for name, df in marts.items()])
-    spark = rows.sparkSession
-    for path in found_paths(spark, f"{root}/*"):
-        if path.rsplit("/", 1)[1] not in {*marts, "manifest"}:
+def publish(df: DataFrame, name: str, path: str, at: str, along: Column | None = None, ranges: dict[str, Column] | None = None, file_bytes: int | None = None) -> DataFrame:
+    """Write a mart into a new folder under ``path`` and return its manifest rows, one a file.
+
+    The mart is computed once, at full width. Its size then gives the number of files, and its rows are dealt to them by ranges of
+    ``along`` (a space-filling curve of a cell, say), or evenly. ``ranges`` are numbers whose least and greatest value each file's row carries,
+    so that a reader opens only the files that can hold what it asks for.
+    """
+    spark = df.sparkSession
+    whole = stored(df, "mart")
+    size = whole.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+    files = max(1, -(-size // (file_bytes or FILE_BYTES)))
+    dealt = whole.repartition(files) if along is None else whole.withColumn("__along", along).repartitionByRange(files, "__along").sortWithinPartitions("__along").drop("__along")
+    folder = f"{path}/{uuid.uuid4().hex}"
+    dealt.write.parquet(folder)
+    for spent in {f.rsplit("/", 1)[0] for f in whole.inputFiles()}:
+        remove(spark, spent)
+    done = spark.read.schema(df.schema).parquet(folder).withColumns({"__file": F.col("_metadata.file_path"), "__bytes": F.col("_metadata.file_size")})
+    held = [F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")) for c in (ranges or {}).values()]
+    kept = F.map_from_arrays(F.array(*(F.lit(n) for n in ranges)), F.array(*held)) if ranges else F.create_map().cast("map<string, struct<low: double, high: double>>")
+    rows = done.groupBy("__file", "__bytes").agg(F.count("*").alias("rows"), kept.alias("ranges"))
+    fixed = {"mart": name, "folder": folder, "schema_hash": schema_hash(df), "published_at": at}
+    rows = rows.select(F.col("__file").alias("file"), F.col("__bytes").alias("bytes"), "rows", "ranges", *(F.lit(v).alias(k) for k, v in fixed.items()))
+    return rows.select([f.name for f in T.StructType.fromDDL(_MANIFEST)])
+
+
+def publish_all(marts: dict[str, DataFrame], root: str, at: str, layout: dict[str, tuple[Column, dict[str, Column]]] | None = None, file_bytes: int | None = None) -> DataFrame:
+    """Publish marts under ``root`` and then their manifest, a row a mart returned.
+
+    A mart counts once a manifest names its folder, so a reader finds the old marts whole until then, and after a crash. Folders that
+    neither the new manifest nor the one before names are removed. ``layout`` has curve and ranges of marts.
+    """
+    rows = [publish(df, name, f"{root}/{name}", at, *(layout or {}).get(name, (None, None)), file_bytes) for name, df in marts.items()]
+    spark, manifest = rows[0].sparkSession, f"{root}/manifest"
+    write_version(reduce(lambda a, b: a.unionByName(b), rows).coalesce(1), manifest)  # a row a file
+    known = [spark.read.schema(_MANIFEST).parquet(v) for _, v in versions(spark, manifest)]
+    named = {r[0].rsplit("/", 2)[-2] + "/" + r[0].rsplit("/", 1)[-1] for df in known for r in df.select("folder").distinct().collect()}
+    for path in found_paths(spark, f"{root}/*/*"):
+        mart, folder = path.rsplit("/", 2)[-2:]
+        if mart != "manifest" and f"{mart}/{folder}" not in named:
             remove(spark, path)
-    rows.coalesce(1).write.mode("overwrite").json(f"{root}/manifest")  # a row a mart
-    return spark.read.schema("mart string, rows long, bytes long, schema_hash string, published_at string").json(f"{root}/manifest")
+    new = read_version(spark, manifest, T.StructType.fromDDL(_MANIFEST))
+    return new.groupBy("mart", "schema_hash", "published_at").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).select([f.name for f in T.StructType.fromDDL(_MARTS)])
+
+
+def read_published(spark: SparkSession, root: str, name: str, schema: T.StructType, within: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """A published mart, or those of its files that can hold rows with the named ranges' values ``within`` bounds; the caller still filters."""
+    files = read_version(spark, f"{root}/manifest", T.StructType.fromDDL(_MANIFEST)).filter(F.col("mart") == name)
+    for c, (low, high) in (within or {}).items():
+        r = F.col("ranges")[c]
+        files = files.filter((r["high"] >= low) & (r["low"] <= high))
+    paths = [r[0] for r in files.select("file").collect()]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

@@ -67,12 +67,22 @@ def read_version(spark: SparkSession, path: str, schema) -> DataFrame | None:
     return spark.read.schema(schema).parquet(have[-1][1]) if have else None
 
 
-_DERIVED: dict[tuple[str, str, str], tuple] = {}
+_DERIVED: dict[tuple, tuple] = {}
+
+
+def _stamp(spark: SparkSession, pattern: str) -> tuple:
+    """Names, sizes and times of what matches a glob: another stamp means that something was written again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    hits = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return tuple(sorted((str(h.getPath()), h.getLen(), h.getModificationTime()) for h in hits or []))
 
 
 def derived(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A table derived from the tables of ``sf``: built and written once in an application, then read by every query that needs it."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """A table derived from the tables of ``sf``: built and written once in an application, then read by every query that needs it.
+
+    It is built again where a table of ``sf`` has been written since.
+    """
+    key = (spark.sparkContext.applicationId, sf, name, _stamp(spark, f"{sf}/*.parquet"))
     if key not in _DERIVED:
         df, path = build(), fresh_path(spark, name)
         df.write.parquet(path)

@@ -62,8 +62,7 @@ def resumed_json(spark: SparkSession, sf: str) -> DataFrame:
     drops, e = zones.fresh_path(spark, "json"), _events(spark, sf)
     e.write.json(drops)
     after = e.agg(F.median(F.unix_timestamp("updated_at")).alias("m")).select(F.date_format(F.timestamp_seconds("m"), "yyyy-MM-dd")).first()[0]
-    lines = spark.read.schema("id string, user string, event_type string, props string, updated_at string").json(drops)
-    return landing.after(lines, after, "updated_at", "id")
+    return landing.read_json(spark, drops, "id string, user string, event_type string, props string, updated_at string", since=after, lines=True)
 
 
 @query(f"WITH {_EVENTS}, x AS (SELECT *, row_number() OVER (ORDER BY updated_at, id) AS nth FROM ev) SELECT id, updated_at FROM x WHERE nth <= 100")
@@ -71,14 +70,14 @@ def first_in_total_order(spark: SparkSession, sf: str) -> DataFrame:
     return _events(spark, sf).select("id", "updated_at").orderBy("updated_at", "id").limit(100)
 
 
-@query("""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS m FROM events WHERE ts < (SELECT min(ts)::DATE + 3 FROM events) GROUP BY 1)
+@query("""WITH d AS (SELECT '2024-03-0' || (1 + event_id % 3) AS day, count(*) AS n, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS m FROM events GROUP BY 1)
 SELECT 'run-' || day AS run_id, 'events' AS dataset, day AS ingest_date, n AS rows_written, m AS watermark_out, 'success' AS status FROM d
 UNION ALL SELECT 'run-none', 'events', min(day), 0, NULL, 'success' FROM d UNION ALL SELECT 'run-broken', 'events', min(day), 0, NULL, 'failed' FROM d""")
 def run_records(spark: SparkSession, sf: str) -> DataFrame:
-    """A record for every run: of three days, of one without rows, of one that fails on its way."""
+    """A record for every run: of three batches, of one without rows, of one that fails on its way."""
     raw, runs, e = zones.fresh_path(spark, "raw"), zones.fresh_path(spark, "runs"), _events(spark, sf)
-    days = [r[0] for r in e.select(F.substring("updated_at", 1, 10).alias("d")).distinct().orderBy("d").limit(3).collect()]
-    batches = [(f"run-{d}", d, e.filter(F.col("updated_at").startswith(d))) for d in days]
+    days = [f"2024-03-0{n}" for n in (1, 2, 3)]
+    batches = [(f"run-{d}", d, e.filter(F.col("id").cast("long") % 3 == n)) for n, d in enumerate(days)]
     broken = e.withColumn("user", F.assert_true(F.col("id") < "")).limit(10)
     for run, day, rows in [*batches, ("run-none", days[0], e.filter("id is null")), ("run-broken", days[0], broken)]:
         try:
@@ -113,14 +112,42 @@ def derived_table(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read_derived(spark, schema, path)
 
 
-@query("SELECT 'by_nation' AS mart, count(DISTINCT c_nationkey) AS rows, true AS has_bytes, '2024-03-02' AS published_at FROM customer UNION ALL SELECT 'orders_by_day', count(DISTINCT o_orderdate), true, '2024-03-02' FROM orders")
+def _hash_sql(select: str) -> str:
+    """The schema hash of a query, from DuckDB's own description of it."""
+    kinds = "CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(column_type) END"
+    return f"(SELECT sha256(string_agg(column_name || ':' || {kinds}, chr(10) ORDER BY place)) FROM (SELECT *, row_number() OVER () AS place FROM (DESCRIBE {select})))"
+
+
+_BY_NATION = "SELECT c_nationkey::BIGINT AS c_nationkey, count(*) AS n FROM customer GROUP BY 1"
+_BY_DAY = "SELECT o_orderdate::DATE AS o_orderdate, count(*) AS n FROM orders GROUP BY 1"
+
+
+@query(f"SELECT 'by_nation' AS mart, count(*) AS rows, {_hash_sql(_BY_NATION)} AS schema_hash, '2024-03-02' AS published_at FROM ({_BY_NATION}) UNION ALL SELECT 'orders_by_day', count(*), {_hash_sql(_BY_DAY)}, '2024-03-02' FROM ({_BY_DAY})")
 def published_marts(spark: SparkSession, sf: str) -> DataFrame:
     """The manifest after a second publication that no longer has one of the marts."""
     root = zones.fresh_path(spark, "marts")
-    by = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
-    days = table(spark, sf, "orders").groupBy("o_orderdate").agg(F.count("*").alias("n"))
+    by = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("long").alias("c_nationkey")).agg(F.count("*").alias("n"))
+    days = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("o_orderdate")).agg(F.count("*").alias("n"))
     landing.publish_all({"by_nation": by, "gone": by.limit(1)}, root, "2024-03-01")
-    return landing.publish_all({"by_nation": by, "orders_by_day": days}, root, "2024-03-02").select("mart", "rows", (F.col("bytes") > 0).alias("has_bytes"), "published_at")
+    return landing.publish_all({"by_nation": by, "orders_by_day": days}, root, "2024-03-02").select("mart", "rows", "schema_hash", "published_at")
+
+
+_CURVED = "SELECT (o_orderkey * 7919 % 4096)::BIGINT AS q, (o_custkey * 104729 % 4096)::BIGINT AS r, count(*) AS orders FROM orders GROUP BY 1, 2"
+
+
+@query(f"WITH m AS ({_CURVED}) SELECT *, true AS few_files FROM m WHERE q BETWEEN 1000 AND 1200 AND r BETWEEN 500 AND 700 UNION ALL SELECT NULL, NULL, count(*), true FROM m")
+def published_district(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart laid out along a space-filling curve of its cells: the rows of a district, from under a fifth of the files, and the count of all rows."""
+    root, o = zones.fresh_path(spark, "marts"), table(spark, sf, "orders")
+    mart = o.groupBy((F.col("o_orderkey") * 7919 % 4096).cast("long").alias("q"), (F.col("o_custkey") * 104729 % 4096).cast("long").alias("r")).agg(F.count("*").alias("orders"))
+    place = {"q": F.col("q"), "r": F.col("r")}
+    size = zones.stored(mart, "size").select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+    landing.publish_all({"cells": mart}, root, "now", {"cells": (cells.curve(cells.pack(F.col("q"), F.col("r"), 8)), place)}, file_bytes=max(1, size // 40))
+    whole = landing.read_published(spark, root, "cells", mart.schema)
+    near = landing.read_published(spark, root, "cells", mart.schema, {"q": (1000, 1200), "r": (500, 700)})
+    few = F.lit(5 * len(near.inputFiles()) < len(whole.inputFiles()))
+    none = F.lit(None).cast("long")
+    return near.filter("q between 1000 and 1200 and r between 500 and 700").withColumn("few_files", few).unionByName(whole.agg(F.count("*").alias("orders")).select(none.alias("q"), none.alias("r"), "orders", F.lit(True).alias("few_files")))
 
 
 # ---- staging
@@ -171,6 +198,51 @@ def staged_with_geography(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stage(landed, dataset, place.unionByName(other)).select("case_id", "cell", "nation")
 
 
+# Every column of the other datasets, filled by rule from a key k; each record is landed twice, the older one with other values.
+_TEXTS = {
+    "text": ("concat('{c}-', {k} % 13)", "'{c}-' || ({k} % 13)"),
+    "whole": ("if({k} % 7 = 0, 'none', concat({k} % 1000, '.00000'))", "CASE WHEN {k} % 7 <> 0 THEN {k} % 1000 END::BIGINT"),
+    "float": ("concat({k} % 100, '.5')", "({k} % 100 + 0.5)::DOUBLE"),
+    "timestamp": ("if({k} % 11 = 0, null, concat(cast(date_add(date'2020-01-01', cast({k} % 1000 as int)) as string), 'T00:00:00.000'))", "CASE WHEN {k} % 11 <> 0 THEN DATE '2020-01-01' + ({k} % 1000)::INT END"),
+    "flag_y": ("if({k} % 3 = 0, 'Y', 'N')", "{k} % 3 = 0"),
+    "flag_y_or_null": ("if({k} % 5 = 0, null, if({k} % 3 = 0, 'Y', 'N'))", "CASE WHEN {k} % 5 <> 0 THEN {k} % 3 = 0 END"),
+}
+
+
+def _projected(name: str) -> list[list[str]]:
+    """Source, name and kind of a dataset's columns but its key."""
+    dataset = next(d for d in staging.DATASETS if d.name == name)
+    parsed = [line.split() for line in dataset.columns.split(";") if line.strip()]
+    return [[p[0], p[1] if len(p) > 1 else p[0], p[2] if len(p) > 2 else "text"] for p in parsed if p[0] != dataset.key]
+
+
+def _staged(name: str, given: str, k: str) -> None:
+    """Registers the query that stages a dataset whole, from a given table by its key."""
+    dataset = next(d for d in staging.DATASETS if d.name == name)
+    own = next(p for p in (line.split() for line in dataset.columns.split(";")) if p and p[0] == dataset.key)
+    key = own[1] if len(own) > 1 else own[0]
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        made = {source: F.expr(_TEXTS[kind][0].format(c=source, k=k)) for source, _, kind in _projected(name)}
+        landed = table(spark, sf, given).select(F.col(k).cast("string").alias(dataset.key), *(c.cast("string").alias(n) for n, c in made.items()))
+        old = landed.withColumns({n: F.lit("old") for n in made} | {staging.UPDATED: F.lit("2024-01-01T00:00:00.000Z"), staging.INGESTED: F.lit("2024-03-01")})
+        new = landed.withColumns({staging.UPDATED: F.lit("2024-02-01T00:00:00.000Z"), staging.INGESTED: F.lit("2024-02-01")})
+        out = staging.stage(new.unionByName(old), dataset).drop("source_updated_at", "ingested_at")
+        return out.withColumns({c: F.to_date(c) for c, t in out.dtypes if t.startswith("timestamp")})
+
+    run.__name__ = f"staged_{dataset.name}"
+    columns = ", ".join(f"{_TEXTS[kind][1].format(c=source, k=k)} AS {column}" for source, column, kind in _projected(name))
+    whole = "::BIGINT" if len(own) > 2 else "::VARCHAR"
+    query(f"SELECT {k}{whole} AS {key}, {columns} FROM {given}")(run)
+
+
+_staged("service_requests", "orders", "o_orderkey")
+_staged("building_permits", "orders", "o_orderkey")
+_staged("film_locations", "part", "p_partkey")
+_staged("neighborhoods", "supplier", "s_suppkey")
+_staged("districts", "supplier", "s_suppkey")
+
+
 # ---- scalars
 
 

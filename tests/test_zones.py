@@ -46,13 +46,19 @@ def test_json_source_refresh_views_and_publish(spark, tmp_path):
     landing.load_views(spark, {"things": target, "absent": str(tmp_path / "no")}, {"absent": "x long"})
     assert spark.sql("select * from absent").columns == ["x"] and spark.table("things").count() == 2
     row = landing.publish(spark.table("things"), "things", str(tmp_path / "p"), "now").first()
+    assert row.file.startswith(row.folder) or row.folder in row.file
     assert row.rows == 2 and row.bytes > 0 and len(row.schema_hash) == 64
     assert landing.read_derived(spark, "id int", str(tmp_path / "d")).count() == 0
     landing.write_derived(spark.range(3), "id int", str(tmp_path / "d"))
     assert landing.read_derived(spark, "id int", str(tmp_path / "d")).dtypes == [("id", "int")]
     root = str(tmp_path / "marts")
     landing.publish_all({"a": spark.range(3), "b": spark.range(4)}, root, "t1")
-    assert {r.mart: r.rows for r in landing.publish_all({"b": spark.range(5)}, root, "t2").collect()} == {"b": 5} and not (tmp_path / "marts" / "a").exists()
+    old = landing.read_published(spark, root, "b", spark.range(0).schema)
+    assert {r.mart: r.rows for r in landing.publish_all({"b": spark.range(5)}, root, "t2").collect()} == {"b": 5}
+    assert old.count() == 4  # a reader of the manifest before still finds its files
+    landing.publish_all({"b": spark.range(6)}, root, "t3")
+    assert not list((tmp_path / "marts" / "a").glob("*")) and len(list((tmp_path / "marts" / "b").glob("*"))) == 2
+    assert landing.read_published(spark, root, "b", spark.range(0).schema).count() == 6
 
 
 def test_a_run_is_recorded_whether_it_succeeds_or_not(spark, tmp_path):
