@@ -1,16 +1,18 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
 Every tree splits a bounded sample (``SAMPLE`` vectors of lowest hash) along random directions, again and again, until a
-leaf stands for about ``LEAF`` vectors of one label. All vectors then go down the trees; one that falls within half the
-link distance of a cut goes to both sides. Two unit vectors whose cosine reaches the threshold are no further apart
-than that distance along any direction, so no cut parts a linked pair and each tree alone brings all of them together. Of
-``TRIES`` directions and ``CUTS`` cuts of each a node takes those that leave the fewest pairs within labels; where none
-leaves fewer than ``GAIN`` of them, as inside a dense group, the node stays a leaf. Of the trees, a label takes the one with the fewest pairs to compare.
+leaf stands for about ``LEAF`` vectors of one label. All vectors then go down every tree; one that falls near a cut goes to both
+sides (spill). A linked pair differs along a random direction by about the link distance over the root of the number of components, so
+that is the scale of the overlap (``MARGIN`` of it on each side): a cut parts few linked pairs, and several trees part a pair all
+together hardly ever. Of ``TRIES`` directions and ``CUTS`` cuts of each a node takes those that leave the fewest pairs within
+labels, among the cuts that part at most ``LOSS`` of the linked pairs known from the sample; where there is none, as inside
+a dense group, the node stays a leaf and is compared whole. A label that some tree leaves whole is compared in that tree alone, others in all.
 Vectors of one label that share a leaf are compared by cosine in double precision. A pair that meets in several leaves
 counts in the first of them only, so links are counted without listing pairs; each leaf gives its members' numbers of links
 and a link to the smallest member of their group there, and those are united. A leaf with more than ``ROWS`` vectors or
 ``VOLUME`` components of a label is cut into blocks that meet two by two, so a group of any size is compared whole.
 
+Links are exact where a label is left whole; else a pair is missed only if every tree parts it (recall measured in the tests).
 Equal vectors of a label are compared once, with their number. A vector that is null, zero, or holds a null or non-finite
 component, or whose label or id is null, links with nothing and is its own component. Repeated rows count as vectors of
 their own. An empty table gives an empty table; other columns are ignored.
@@ -28,10 +30,14 @@ from pyspark.sql import types as T
 from placemetrics.llm.common import stored, table
 from placemetrics.llm.components import components
 
-TREES = 6
-SAMPLE, LEAF, LEAST = 16384, 2048, 8
+TREES = 4
+SAMPLE, LEAF, LEAST = 16384, 1024, 8
 #: Directions that a node tries, cuts of each, on so many of its sampled vectors at most; the share of pairs that a split may leave.
-TRIES, CUTS, TRIED, GAIN = 8, 63, 2048, 0.98
+TRIES, CUTS, TRIED, GAIN = 8, 63, 2048, 0.9
+#: Overlap on each side of a cut, in link distances over the root of the number of components; share of the sample's linked pairs that a cut may part.
+MARGIN, LOSS = 0.5, 0.01
+#: Sampled vectors among which linked pairs are looked for, and pairs kept.
+PAIRED, KNOWN = 8192, 50_000
 #: Vectors, and components of them, in a block of a leaf.
 ROWS, VOLUME = 2048, 1 << 20
 
@@ -39,18 +45,17 @@ ROWS, VOLUME = 2048, 1 << 20
 class Tree:
     """Inner nodes by number: direction, cut, children. Other numbers are leaves."""
 
-    def __init__(self, sample: np.ndarray, kinds: np.ndarray, leaf: float, margin: float, seed: int):
+    def __init__(self, sample: np.ndarray, kinds: np.ndarray, leaf: float, margin: float, seed: int, near: np.ndarray | None = None):
         rng = np.random.default_rng(seed)
         self.at: dict[int, int] = {}
         self.margin = margin
         directions, cuts, children = [], [], []
-        todo, nodes = [(0, np.arange(len(sample)))], 1
+        todo, nodes = [(0, np.arange(len(sample)), np.zeros((0, 2), dtype=np.int64) if near is None else near)], 1
         while todo:
-            node, rows = todo.pop()
+            node, rows, pairs = todo.pop()
             if np.bincount(kinds[rows]).max() <= leaf:
                 continue
-            few = rng.choice(rows, TRIED, replace=False) if len(rows) > TRIED else rows
-            found = self._split(sample[few], kinds[few], rng)
+            found = self._split(sample, kinds, rows, pairs, rng)
             if found is None:
                 continue
             direction, cut = found
@@ -62,28 +67,37 @@ class Tree:
             directions.append(direction)
             cuts.append(cut)
             children.append((nodes, nodes + 1))
-            todo += [(nodes, rows[left]), (nodes + 1, rows[right])]
+            for number, side in ((nodes, left), (nodes + 1, right)):
+                inside = np.zeros(len(sample), dtype=bool)
+                inside[rows[side]] = True
+                todo.append((number, rows[side], pairs[inside[pairs].all(axis=1)]))
             nodes += 2
         self.directions, self.cuts, self.children = np.array(directions).reshape(len(cuts), sample.shape[1]), np.array(cuts), children
 
-    def _split(self, few: np.ndarray, kinds: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float] | None:
+    def _split(self, sample: np.ndarray, kinds: np.ndarray, rows: np.ndarray, pairs: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float] | None:
         """The direction and cut that leave the fewest pairs within labels: random ones, and ones from one vector to another."""
-        order = np.argsort(kinds, kind="stable")
-        few, kinds = few[order], kinds[order]
-        starts = np.flatnonzero(np.concatenate(([True], kinds[1:] != kinds[:-1])))
-        pairs = (np.diff(starts, append=len(few)).astype(np.float64) ** 2).sum()
+        few = rng.choice(rows, TRIED, replace=False) if len(rows) > TRIED else rows
+        few = few[np.argsort(kinds[few], kind="stable")]
+        own = kinds[few]
+        starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        all_pairs = (np.diff(starts, append=len(few)).astype(np.float64) ** 2).sum()
         best, least = None, GAIN
         for k in range(TRIES):
             i, j = rng.integers(len(few), size=2)
-            direction = few[i] - few[j] if k % 4 else rng.normal(size=few.shape[1])
+            direction = sample[few[i]] - sample[few[j]] if k % 4 == 3 else rng.normal(size=sample.shape[1])
             norm = np.linalg.norm(direction)
             if norm == 0:
                 continue
             direction = direction / norm
-            p = (few @ direction)[:, None]
+            p = (sample[few] @ direction)[:, None]
             cuts = np.quantile(p, np.arange(1, CUTS + 1) / (CUTS + 1))
             left, right = (np.add.reduceat(side.astype(np.float64), starts, axis=0) for side in (p < cuts + self.margin, p >= cuts - self.margin))
-            cost = (left**2 + right**2).sum(axis=0) / pairs
+            cost = (left**2 + right**2).sum(axis=0) / all_pairs
+            if len(pairs):
+                ends = np.sort((sample @ direction)[pairs], axis=1)
+                ends = ends[ends[:, 1] - ends[:, 0] > 2 * self.margin] + [self.margin, -self.margin]
+                parted = np.searchsorted(np.sort(ends[:, 0]), cuts) - np.searchsorted(np.sort(ends[:, 1]), cuts)
+                cost[parted > LOSS * len(pairs)] = np.inf
             at = int(cost.argmin())
             if cost[at] < least:
                 best, least = (direction, float(cuts[at])), float(cost[at])
@@ -125,18 +139,35 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def linked(unit: np.ndarray, kinds: np.ndarray, threshold: float, seed: int = 0) -> np.ndarray:
+    """Linked pairs of one label among the first PAIRED vectors of a sample, KNOWN of them at most."""
+    unit, kinds = unit[:PAIRED], kinds[:PAIRED]
+    found = []
+    for start in range(0, len(unit), 512):
+        i, j = np.nonzero((unit[start : start + 512] @ unit.T >= threshold) & (kinds[start : start + 512, None] == kinds))
+        keep = i + start < j
+        found.append(np.stack((i[keep] + start, j[keep]), axis=1))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+    return pairs if len(pairs) <= KNOWN else np.random.default_rng(seed).choice(pairs, KNOWN, replace=False)
+
+
+def forest(sample: np.ndarray, kinds: np.ndarray, n: int, threshold: float, trees: int = TREES) -> list[Tree]:
+    """Trees for n vectors, from a sample of them: whatever their labels, a leaf stands for about LEAF vectors of one."""
+    margin = MARGIN * float(np.sqrt(max(0.0, 2 - 2 * threshold))) / np.sqrt(max(1, sample.shape[1])) + 1e-6  # more than rounding can add
+    unit, leaf = _unit(sample), max(LEAST, LEAF * len(sample) / max(n, 1))
+    near = linked(unit, kinds, threshold) if np.bincount(kinds).max() > leaf else None
+    return [Tree(unit, kinds, leaf, margin, seed, near) for seed in range(trees)]
+
+
 def grow(rows: DataFrame, n: int, length: int, threshold: float, trees: int = TREES) -> list[Tree]:
     """Trees for vectors of one length, from a sample of at most SAMPLE rows."""
-    margin = float(np.sqrt(max(0.0, 2 - 2 * threshold))) / 2 + 1e-6  # more than rounding can add to a distance
     draw = F.pmod(F.xxhash64("vector", F.lit("sample")), F.lit(1 << 30))
     few = rows.filter(F.size("vector") == length).withColumn("draw", draw).filter(F.col("draw") < int(min(1.0, 1.2 * SAMPLE / max(n, 1)) * (1 << 30)))
     few = few.orderBy("draw", "rep").limit(SAMPLE).select("vector", F.xxhash64("label").alias("kind")).toArrow()
     if not few.num_rows:
-        return [Tree(np.zeros((1, length)), np.zeros(1, np.int64), LEAST, margin, seed) for seed in range(trees)]  # one leaf
+        return [Tree(np.zeros((1, length)), np.zeros(1, np.int64), LEAST, 0.0, seed) for seed in range(trees)]  # one leaf
     ((_, sample),) = _by_length(few["vector"])
-    kinds = np.unique(few["kind"].to_numpy(), return_inverse=True)[1]
-    leaf = max(LEAST, LEAF * len(sample) / max(n, 1))
-    return [Tree(_unit(sample), kinds, leaf, margin, seed) for seed in range(trees)]
+    return forest(sample, np.unique(few["kind"].to_numpy(), return_inverse=True)[1], n, threshold, trees)
 
 
 def _shared_first(leaves: np.ndarray, leaf: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -205,9 +236,9 @@ def link(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: st
     groups = good.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
     groups = stored(groups, "vectors")
     counts = groups.groupBy(F.size("vector").alias("length")).count().collect()  # a row for each length that vectors have
-    forest = spark.sparkContext.broadcast({r["length"]: grow(groups, r["count"], r["length"], threshold, trees) for r in counts})  # SAMPLE bounds a tree
+    grown = spark.sparkContext.broadcast({r["length"]: grow(groups, r["count"], r["length"], threshold, trees) for r in counts})  # SAMPLE bounds a tree
 
-    schema = T.StructType([*groups.schema.fields, T.StructField("leaves", T.ArrayType(T.ArrayType(T.LongType())))])
+    schema = T.StructType([*groups.schema.fields, T.StructField("leaves", T.ArrayType(T.LongType()))])
 
     def route(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -216,22 +247,21 @@ def link(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", vector: st
             leaves: list = [None] * batch.num_rows
             for at, m in _by_length(batch.column("vector")):
                 unit = _unit(m)
-                for i, found in zip(at.tolist(), zip(*(t.leaves(unit) for t in forest.value[m.shape[1]]), strict=True), strict=True):
-                    leaves[i] = [sorted(x) for x in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.list_(pa.int64())))], names=schema.names)
+                for i, found in zip(at.tolist(), zip(*(t.leaves(unit) for t in grown.value[m.shape[1]]), strict=True), strict=True):
+                    leaves[i] = [tree << 32 | x for tree, own in enumerate(found) for x in sorted(own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], names=schema.names)
 
     routed = groups.mapInArrow(route, schema)
     routed = stored(routed, "leaves")
-    every = routed.select("label", F.size("vector").alias("length"), F.posexplode("leaves").alias("tree", "own")).withColumn("leaf", F.explode("own"))
-    held = every.groupBy("label", "tree", "leaf").agg(F.count("*").alias("held"), F.sum("length").alias("volume"))
-    held = stored(held, "leaf-sizes")
-    trees_of = held.groupBy("label", "tree").agg(F.sum(F.col("held").cast("double") * F.col("held")).alias("cost"))
-    taken = trees_of.groupBy("label").agg(F.min_by("tree", F.struct("cost", "tree")).alias("tree"))
-    sizes = held.join(taken, ["label", "tree"]).filter("held > 1")
+    tree = F.shiftright("leaf", 32)
+    held = routed.select("label", F.size("vector").alias("length"), F.explode("leaves").alias("leaf")).groupBy("label", "leaf").agg(F.count("*").alias("held"), F.sum("length").alias("volume"))
+    held = stored(held.join(groups.groupBy("label").agg(F.count("*").alias("all")), "label"), "leaf-sizes")
+    whole = held.filter("held = all").groupBy("label").agg(F.min(tree).alias("alone"))  # a tree that leaves the label whole is enough
+    sizes = held.join(whole, "label", "left").filter((F.col("held") > 1) & (F.col("alone").isNull() | (F.col("alone") == tree)))
     blocks = F.greatest(F.expr(f"(held + {ROWS - 1}) div {ROWS}"), F.expr(f"(volume + {VOLUME - 1}) div {VOLUME}"))
     sizes = sizes.select("label", "leaf", blocks.cast("int").alias("blocks"))
-    own = F.element_at("leaves", F.col("tree") + 1)
-    met = routed.join(taken, "label").select("label", "rep", "copies", "vector", own.alias("leaves")).withColumn("leaf", F.explode("leaves"))
+    taken = F.filter("leaves", lambda x: F.col("alone").isNull() | (F.shiftright(x, 32) == F.col("alone")))
+    met = routed.join(whole, "label", "left").select("label", "rep", "copies", "vector", taken.alias("leaves")).withColumn("leaf", F.explode("leaves"))
     met = met.join(sizes, ["label", "leaf"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
     # two blocks meet in one group; a block meets itself in a group of its own
