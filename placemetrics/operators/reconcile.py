@@ -31,8 +31,10 @@ def resume_position(raw: DataFrame, column: str, since: str | None = None, start
     return raw.agg(F.max(column).alias("held")).select(F.coalesce(F.lit(since), F.col("held"), F.lit(start)).alias("position"))
 
 
-def position_drift(claims: DataFrame, raw: DataFrame, column: str) -> DataFrame:
-    both = claims.agg(F.max("watermark_out").alias("claimed")).join(F.broadcast(raw.agg(F.max(column).alias("held"))))
+def position_drift(claims: DataFrame, raw: DataFrame, column: str, by: list[str] = ()) -> DataFrame:
+    """Claimed and held newest positions, of the whole or of each group, and how they differ."""
+    claimed, held = claims.groupBy(*by).agg(F.max("watermark_out").alias("claimed")), raw.groupBy(*by).agg(F.max(column).alias("held"))
+    both = claimed.join(held, list(by), "full_outer") if by else claimed.join(F.broadcast(held))
     return both.withColumn("drift", F.when(F.col("claimed").eqNullSafe(F.col("held")), "none").when(F.col("claimed").isNull(), "unclaimed").when(F.col("held").isNull() | (F.col("claimed") > F.col("held")), "ahead").otherwise("behind"))
 
 

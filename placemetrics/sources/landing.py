@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placemetrics.operators.profile import schema_hash
+from placemetrics.operators.reconcile import runs_to_drop
 from placemetrics.sources.zones import found_paths, read_version, remove, stored, versions, write_version
 
 RUNS = (
@@ -118,7 +119,26 @@ def run_record(rows: DataFrame, position: str, files: str | None = None, **known
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).json(path)
+    """Run records, without those of runs whose rows have been pruned."""
+    rows = spark.read.schema(RUNS).json(path)
+    return rows.join(rows.filter("status = 'pruned'").select("run_id"), "run_id", "left_anti").select(rows.columns)
+
+
+def prune(spark: SparkSession, raw: str, runs: str, fates: DataFrame, at: str, partition: str = "ingest_date", dry_run: bool = True) -> DataFrame:
+    """Applies a retention plan to a zone and its run records in one step: (kind, name) of what goes. In a dry run, the default, nothing does.
+
+    Runs all of whose partitions go are marked as pruned first and the partitions removed afterwards, so that after a crash in
+    between the plan, made again from what is left, still finds the partitions.
+    """
+    gone = fates.filter("fate = 'drop'").select(F.lit("partition").alias("kind"), F.col(partition).alias("name"))
+    done = runs_to_drop(read_runs(spark, runs), fates, partition).select(F.lit("run").alias("kind"), F.col("run_id").alias("name"))
+    out = stored(gone.unionByName(done), "pruned")  # a row a partition and a run
+    if not dry_run:
+        marks = out.filter("kind = 'run'").select(F.col("name").alias("run_id"), F.lit("pruned").alias("status"), F.lit(at).cast("timestamp").alias("finished_at"))
+        marks.coalesce(1).write.mode("append").json(runs)
+        for r in out.filter("kind = 'partition'").collect():
+            remove(spark, f"{raw}/{partition}={r.name}")
+    return out
 
 
 def full_refresh(fresh: DataFrame, path: str) -> bool:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placemetrics.functions import casts
-from placemetrics.operators import cells, checks, profile, reconcile, versions
+from placemetrics.operators import cells, checks, profile, ranks, reconcile, versions
 from placemetrics.plans import activity, freshness, staging, world
 from placemetrics.plans.world import table
 from placemetrics.sources import landing, zones
@@ -425,12 +425,36 @@ SELECT t AS event_type, CASE k WHEN 1 THEN held WHEN 2 THEN held + 1 WHEN 3 THEN
 def position_drifts(spark: SparkSession, sf: str) -> DataFrame:
     """Claimed positions that agree, are ahead, are behind, or are missing, one kind of event each."""
     e = table(spark, sf, "events")
-    out = []
-    for n, kind in enumerate(r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()):
-        own = e.filter(F.col("event_type") == kind)
-        claims = own.select((F.col("event_id") + (0, 1, -1)[n]).alias("watermark_out")) if n < 3 else own.limit(0).select(F.col("event_id").alias("watermark_out"))
-        out.append(reconcile.position_drift(claims, own, "event_id").withColumn("event_type", F.lit(kind)))
-    return activity.union_all(out)
+    kinds = e.select("event_type").distinct()
+    claims = _off_by(kinds).join(e, "event_type").select("event_type", (F.col("event_id") + F.col("by")).alias("watermark_out"))
+    return reconcile.position_drift(claims, e, "event_id", by=["event_type"])
+
+
+def _off_by(kinds: DataFrame) -> DataFrame:
+    """The first three kinds by name, with what their claims are off by."""
+    off = F.element_at(F.array(F.lit(0), F.lit(1), F.lit(-1)), F.col("k").cast("int"))
+    return ranks.numbered(kinds, [F.col("event_type")], "k").filter("k <= 3").select("event_type", off.alias("by"))
+
+
+_PRUNED = """r AS (SELECT c_custkey AS key, '2024-01-01' AS day, 1 AS v FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, '2024-01-02', CASE WHEN c_custkey = 10 THEN 9 ELSE 2 END FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, '2024-01-03', 3 FROM customer WHERE c_custkey NOT IN (7, 8)),
+k AS (SELECT key FROM r WHERE day = '2024-01-03'), s AS (SELECT day, count(*) AS rows, bool_and(k.key IS NOT NULL AND v <= 3) AS proven FROM r LEFT JOIN k USING (key) GROUP BY day)"""
+
+
+@query(f"WITH {_PRUNED} SELECT day AS ingest_date, rows, 'run-' || day AS run_id FROM s WHERE day = '2024-01-03' OR NOT proven")
+def pruned_zone(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of a snapshot zone, with their runs, after a retention plan has been applied to both; a dry run before it leaves all."""
+    raw, runs, c = zones.fresh_path(spark, "raw"), zones.fresh_path(spark, "runs"), table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    days = {"2024-01-01": (k % 3 == 0, F.lit(1)), "2024-01-02": (k % 2 == 0, F.when(k == 10, 9).otherwise(2)), "2024-01-03": (~k.isin(7, 8), F.lit(3))}
+    for day, (where, v) in days.items():
+        rows = c.filter(where).select(k.alias("key"), v.alias("v"))
+        landing.ingest(rows, raw, runs, "v", run_id=f"run-{day}", dataset="customers", ingest_date=day, finished_at="2024-03-01 00:00:00", mode="snapshot")
+    held = landing.read_raw(spark, raw)
+    fates = zones.stored(reconcile.retention(held, reconcile.supersession(held, "ingest_date", "key", "v"), "ingest_date", 1), "fates")
+    for dry in (True, False):
+        landing.prune(spark, raw, runs, fates, "2024-03-02 00:00:00", dry_run=dry)
+    left = landing.read_raw(spark, raw).groupBy("ingest_date").agg(F.count("*").alias("rows"))
+    return left.join(landing.read_runs(spark, runs).select("ingest_date", "run_id"), "ingest_date", "full_outer")
 
 
 @query("SELECT 'events' AS dataset, count(*) AS row_count, max(ts) AS latest_load, max('r' || event_id) AS latest_run FROM events UNION ALL SELECT 'views', count(*), max(ts), max('r' || event_id) FROM events WHERE event_type = 'view'")
