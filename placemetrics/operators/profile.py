@@ -38,8 +38,12 @@ def _median(counts: DataFrame, splits: int | None = None, most: int | None = Non
     low, high = F.expr("(all - 1) div 2"), F.expr("all div 2")  # the two middle places, counted from 0
     widest = None
     while True:
-        cuts = rows.groupBy("column_name").agg(F.percentile_approx("number", at, 10000).alias("cuts"))  # a row a column
-        placed = rows.join(F.broadcast(cuts), "column_name").withColumn("part", F.size(F.filter("cuts", lambda c: c < F.col("number"))))
+        cuts = rows.groupBy("column_name").agg(F.percentile_approx("number", at, 1000).alias("cuts"))  # a row a column
+        placed = rows.join(F.broadcast(cuts), "column_name").withColumn("part", F.lit(0))
+        for step in (1 << b for b in reversed(range((splits - 1).bit_length()))):  # how many cuts lie below, by halves
+            further = F.col("part") + step
+            placed = placed.withColumn("part", F.when((further < splits) & (F.get("cuts", further - 1) < F.col("number")), further).otherwise(F.col("part")))
+        placed = placed.drop("cuts")
         parts = placed.groupBy("column_name", "part").agg(F.sum("n").alias("m"), F.first("all").alias("all"), F.first("before").alias("before"))
         parts = parts.withColumn("upto", F.col("before") + F.sum("m").over(Window.partitionBy("column_name").orderBy("part")))
         held = parts.filter((F.col("upto") > low) & (F.col("upto") - F.col("m") <= high))
@@ -63,14 +67,15 @@ def profile(df: DataFrame, few: int = 50, top: int = 5, cells: tuple[str, ...] =
     """
     cols = [(c, _shape(k, c, cells)) for c, k in df.dtypes]
     entries = []
-    for c, shape in cols:
+    for nth, (c, shape) in enumerate(cols):
         value = F.col(f"`{c}`")
         whole = shape == "numeric" and dict(df.dtypes)[c] in ("int", "smallint", "tinyint", "float", "double")  # the number says all that the text does
         text = F.when(value.isNotNull(), F.lit("")) if shape == "blob" or whole else value.cast("string")
         number = value.cast("double") if shape == "numeric" else F.lit(None).cast("double")
-        entries.append(F.struct(F.lit(c).alias("column_name"), F.lit(shape).alias("shape"), text.alias("text"), number.alias("number")))
-    counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("column_name", "shape", "text", "number").agg(F.count("*").alias("n"))
-    counts = stored(counts, "counts")
+        entries.append(F.struct(F.lit(nth).alias("nth"), text.alias("text"), number.alias("number")))
+    counts = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("nth", "text", "number").agg(F.count("*").alias("n"))
+    names, shapes = F.array(*(F.lit(c) for c, _ in cols)), F.array(*(F.lit(x) for _, x in cols))
+    counts = stored(counts.select(F.get(names, F.col("nth")).alias("column_name"), F.get(shapes, F.col("nth")).alias("shape"), "text", "number", "n"), "counts")
     real = F.col("text").isNotNull()
     most = F.slice(F.array_sort(F.collect_list(F.when(F.col("nth") <= top, F.struct((-F.col("n")).alias("m"), "text")))), 1, top)
     order = Window.partitionBy("column_name").orderBy(F.col("text").isNull(), F.col("n").desc(), "text")
