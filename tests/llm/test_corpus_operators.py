@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import math
 import random
 import re
@@ -156,6 +157,52 @@ def test_trees_read_pages_whose_markup_says_nothing(spark):
     assert sum(t == read_article(h) for t, h in zip(texts, held, strict=True)) >= 0.95 * len(held)
 
 
+FORMS = [
+    "<p>{12} <a href=/x>{3}</a> {9} <em>{2}</em>.</p>", "<ul><li>{3}</li><li>{15} <a href=/q>{2}</a></li><li>{18}</li></ul>", "<ol><li>{12}</li><li>{20}</li></ol>",
+    "<table><tr><th>{1}</th><th>{2}</th></tr><tr><td>{3}</td><td>{8}</td></tr></table>", "<blockquote>{20}</blockquote>", "<blockquote><p>{20}</p></blockquote>",
+    "<dl><dt>{1}</dt><dd>{9}</dd><dt>{1}</dt><dd>{12}</dd></dl>", "<figure><img src=a.png><figcaption>{8}</figcaption></figure>", "<section><h2>{4}</h2><p>{40}</p></section>", "<pre>{15}</pre>",
+    "<div>{30}</div>", "<details><summary>{3}</summary><p>{20}</p></details>", "<h3>{3}</h3><p>{25}</p>",
+]
+UNWANTED = [
+    "<aside>Advert {9}</aside>", '<div class="comments"><p>{9}</p><p>{9}</p></div>', '<div class="related"><h3>Related</h3><ul><li><a href=/1>{9}</a></li></ul></div>', '<div class="advert">{9}</div>',
+    "<nav><a href=#a>{2}</a> <a href=#b>{3}</a></nav>", "<form><p>{9}</p><input></form>", '<section class="comment-list"><div class="comment"><b>{1}</b><div>{9}</div></div></section>',
+]
+
+
+def plain_blocks(source: str) -> list[str]:
+    marked = re.sub(r"</?(?:p|div|li|[uo]l|t[dhr]|table|blockquote|d[ldt]|figure|figcaption|section|h\d|pre|details|summary)\b[^>]*>", "\0", source)
+    return [b for b in (" ".join(html.unescape(b).split()) for b in re.sub(r"<[^>]*>", "", marked.replace("<br>", " ")).split("\0")) if b]
+
+
+def test_trees_read_forms_that_the_given_pages_do_not_have(spark):
+    """Thirteen forms of main text, kept whole with the words of their links, names scrambled or not; boilerplate inside the article goes."""
+    pages = [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").filter("html is not null").orderBy("page_id").collect()]
+    model = html_extract.train(pages[:150])
+    held, right, scrambled_right, n = [h for h in pages[150:] if h.count("<p>") > 2 and "</article>" in h], 0, 0, 0
+    for k, source in enumerate(held):
+        before, body, after = re.match(r"(.*<article>)(.*)(</article>.*)$", source, re.S).groups()
+        words, rng, at = re.sub(r"<[^>]*>", " ", body).split(), random.Random(k), body.rfind("<p>")
+
+        def fill(form):
+            return re.sub(r"\{(\d+)\}", lambda m: " ".join(rng.choices(words, k=int(m[1]))), form)  # noqa: B023
+
+        for j, form in enumerate(FORMS):
+            inner, unwanted = fill(form), fill(UNWANTED[(k + j) % len(UNWANTED)])
+            want = "\n\n".join(plain_blocks(body[:at] + inner + body[at:]))
+            forms = [html_extract.Page(before + body[:at] + inner + unwanted + body[at:] + after), html_extract.Page(scrambled(before + body[:at] + inner + body[at:] + after, k))]
+            named, blind = (p.extract(o) for p, o in zip(forms, html_extract.log_odds(forms, model), strict=True))
+            right, scrambled_right, n = right + (named == want), scrambled_right + (blind == want), n + 1
+    assert n > 500 and right >= 0.95 * n and scrambled_right >= 0.95 * n, (right, scrambled_right, n)
+
+
+@pytest.mark.parametrize(
+    ("source", "verdict"),
+    [("<p>a <b>b <i>c</i></b> d</p>", [0, 1, 1, 1]), ("<div><a>x</a> <a>y</a><p>z</p></div>", [0, 1, 2, 3, 4]), ("<div>so <a>x</a><p>z</p></div>", [0, 1, 1, 3]), ("<x-app><div>z</div></x-app><a>b</a>", [0, 1, 2, 3])],
+)
+def test_inline_elements_take_the_verdict_of_their_sentence(source, verdict):
+    assert html_extract.Page(source).judged().tolist() == verdict
+
+
 @pytest.mark.parametrize(
     ("source", "text"),
     [("<article><p title=it's>One.</p><p>Two.</p></article>", "One.\n\nTwo."), ("<article><p data-x='a>b'>One.</p><!-- open <p>Two.", "One."), ("<article>" + "<p>word</p>" * 3000, "\n\n".join(["word"] * 3000)),
