@@ -219,6 +219,20 @@ def test_truncated_and_whole_pages_of_the_test_data(spark, small):
     assert all(r.n_chars == len(r.text) and "track(" not in r.text for r in got)
 
 
+@pytest.mark.parametrize("words", [100, 300, 1000])
+@pytest.mark.parametrize("share", [0.1, 0.15, 0.18])
+def test_sketches_of_linked_texts_meet(words, share):
+    rng, met = np.random.default_rng(words), 0
+    for _ in range(300):
+        one = rng.integers(0, 3000, words).astype(np.uint32)
+        two, at = one.copy(), rng.choice(words, int(share * words), replace=False)
+        two[at] = rng.integers(3000, 6000, len(at))
+        assert near_dedup.edits_within(one, two, int(0.2 * words))
+        met += bool((near_dedup.sketch(near_dedup.kmers(one)) == near_dedup.sketch(near_dedup.kmers(two))).any())
+    s = (1 - share) ** 5
+    assert met / 300 >= min(0.9, 1 - (1 - (s / (2 - s)) ** 2) ** near_dedup.BANDS - 0.05), met
+
+
 def distance(a, b) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
