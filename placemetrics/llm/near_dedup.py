@@ -6,7 +6,8 @@ k-mers of least hash and keeps their order in the text: two documents fall into
 follows edit similarity. With a share p of the words replaced at random s = (1 - p) ** 5 of the k-mers stand and a band
 agrees with chance (s / (2 - s)) ** 2; of 16 bands one does with chance 0.95 at 10 %, 0.74 at 15 % and 0.47 at 20 %.
 In a bucket every document is compared with the first one. Then, in each bucket that still holds several classes, every
-two documents of different classes are compared whose lengths allow a link. A bucket is cut by length into cells, and a large cell into blocks that meet two by two.
+two documents of different classes are compared whose lengths allow a link. A bucket is cut by
+length into cells, and a large cell into blocks that meet two by two.
 
 A pair is a link if, aligned word by word inside a band as wide as the allowed edits, at least 0.8 of the longer one stands
 unedited. What spares an alignment loses nothing: a word that one of the two lacks costs an edit.
