@@ -44,7 +44,7 @@ def test_mix_of_odd_rows(spark, odd, none):
     assert (by.s == by.n).all() and (by.t <= 3 * by.s + 1e-9).all()
     assert math.isclose(by.t.sum(), got["size"].sum())
     again = mixing.mix(odd.repartition(3)).toPandas()
-    key = ["doc_id", "source", "size", "taken"]
+    key = ["doc_id", "source", "size", "taken", "first_slot", "n_slots"]
     assert sorted(map(repr, got[key].values.tolist())) == sorted(map(repr, again[key].values.tolist()))
     assert mixing.mix(none).count() == 0
 
@@ -60,8 +60,43 @@ def test_every_source_is_taken_to_its_target(spark, monkeypatch):
     assert (got.taken <= 3 * got["size"]).all()
     parts = mixing.blocks(df).filter("slot is not null")
     assert parts.select("slot", "sid").distinct().groupBy("slot").count().filter("count > 1").count() == 0
-    widths = parts.groupBy("sid", "slot").agg(F.sum(F.col("high") - F.col("low")).alias("n")).groupBy("sid").agg((F.max("n")).alias("m"), F.count_if(F.col("n") > 0).alias("k"), F.sum("n").alias("all"))
-    assert all(r["all"] > r.m * (r.k - 1) for r in widths.collect())  # equal blocks, the last one the remainder
+    per = mixing.targets(df.select("source", mixing.n_words().alias("size"))).select("sid", "slot", "words").toPandas().set_index("sid")
+    held = parts.groupBy("sid", "slot").agg(F.sum(F.col("high") - F.col("low")).alias("n")).filter("n > 0").toPandas().sort_values("slot")
+    for sid, n in held.groupby("sid")["n"]:  # equal blocks in every source, the last one the remainder
+        assert (n.iloc[:-1] == per.slot[sid]).all() and 0 < n.iloc[-1] <= per.slot[sid] and n.sum() == per.words[sid]
+
+
+def slot_shares(spark, sizes):
+    """The schedule's source ids in the order of slots, and each source's share of the words."""
+    per = stored(mixing.targets(spark.createDataFrame(sizes, "source string, size long")), "per")
+    words = per.select("sid", "words").toPandas().set_index("sid")["words"]
+    return mixing.schedule(per).toPandas().sort_values("i")["sid"].to_numpy(), words / words.sum()
+
+
+def farthest(order, shares, run=1000):
+    """By how much a source's share of a run of so many slots differs from its share of the words, at most."""
+    off = 0.0
+    for sid, share in shares.items():
+        sums = np.concatenate(([0], np.cumsum(order == sid)))
+        off = max(off, np.abs((sums[run:] - sums[:-run]) / run - share).max())
+    return off
+
+
+def test_every_stretch_of_slots_holds_the_sources_in_their_shares(spark, monkeypatch):
+    sizes = [("large", 1_000_000), ("middle", 300_000), ("small", 50_000), ("tiny", 90), (None, 120_000)]
+    order, shares = slot_shares(spark, sizes)
+    assert len(order) >= 65_536 * 0.99 and farthest(order[: 65_000], shares) < 0.01
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0001)
+    assert farthest(slot_shares(spark, sizes)[0][:65_000], shares) > 0.2
+
+
+def test_points_find_their_source_among_many(spark):
+    order, shares = slot_shares(spark, [(f"s{i:05}", 1 + i % 7) for i in range(3000)] + [("z", 100_000)])
+    ends = np.cumsum(shares.to_numpy())
+    at = 0.5 + np.arange(len(order)) * mixing.GOLDEN
+    want = np.searchsorted(ends, at - np.floor(at), side="right") + 1
+    met = int((order[: len(want)] == want).sum())
+    assert len(shares) == 3001 and met >= int(0.9 * len(want))  # those after the last point are for what sources lack
 
 
 def test_rows_of_one_id_or_none_are_told_apart_without_a_hot_window(spark):
