@@ -42,13 +42,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix to target weights takes it, in whole copies."""
+    """Each document as often as the mix to target weights takes it, in whole copies, in the order of the slots in which they begin."""
     keys = ["doc_id", "source", "content", "size"]
-    taken = mixing.mix(docs).groupBy(*keys).agg(F.avg("taken").alias("taken")).select(*(F.col(k).alias(f"mix_{k}") for k in keys), "taken")
+    mixed = mixing.mix(docs).groupBy(*keys).agg(F.avg("taken").alias("taken"), F.min("starts").alias("starts"))
+    taken = mixed.select(*(F.col(k).alias(f"mix_{k}") for k in keys), "taken", "starts").withColumn("copies", mixing.copies("mix_size", "taken", "mix_doc_id"))
     rows = docs.select(*COLUMNS).withColumn("content", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     same = rows["doc_id"].eqNullSafe(taken["mix_doc_id"]) & rows["source"].eqNullSafe(taken["mix_source"]) & (rows["content"] == taken["mix_content"])
-    joined = rows.join(taken, same).withColumn("copies", mixing.copies("mix_size", "taken"))
-    return joined.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    joined = rows.join(taken.filter("copies > 0"), same)
+    begun = joined.withColumn("slot", F.explode(F.slice("starts", F.lit(1), F.col("copies"))))
+    return begun.repartitionByRange("slot").sortWithinPartitions("slot", "doc_id").select(*COLUMNS)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
