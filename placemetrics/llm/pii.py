@@ -3,15 +3,15 @@
 Patterns find e-mail addresses, IP addresses, card and telephone numbers. Each distinct value is a protected entity. Words
 within ``WINDOW`` words of an entity co-occur with it; over the whole corpus, the share of a word's documents in which it
 stands by one entity estimates how far seeing the word gives that entity away. Few texts are weak evidence, so the lower end
-of the share's confidence interval (Wilson's, ``Z`` standard errors, over the different texts that support it) is what
+of the share's confidence interval (Wilson's, one-sided at nine in ten, over the different texts that support it) is what
 counts, and the share against the entity's own frequency is the information gained. A term that gains ``BITS`` bits or more
 and whose disclosure reaches ``GENERALISE`` is generalised, from ``REMOVE`` on removed: its places are added to the spans in
-every text, as kinds ``generalise`` and ``remove``, and ``sanitised`` rewrites the texts. With these values a word that the
-corpus holds in one text alone, near an entity, is generalised (1 of 1 has a lower end of 0.5), and removed if all of four
-different texts that hold it have it near the same entity.
+every text, as kinds ``generalise`` and ``remove``, and ``sanitised`` rewrites the texts. No single text passes (1 of 1 has a
+lower end of 0.38): a word must stand near the same entity in two different texts at least, in all that hold it (2 of 2:
+0.55), and in more if some hold it elsewhere; seven of seven are removed (0.81). Copies of a text count as one.
 
-Two filters of fixed size, bitmaps of hashed terms, say which words of a text are worth counting or looking up; joins on
-the terms' own hashes then decide. A null text is an empty one and has no spans. Equal texts have equal spans; repeated
+Pairs with too few texts to pass whatever their share go before anything is counted. Two filters, bitmaps of hashed terms,
+say which words of a text are worth counting or looking up; joins on the terms' own hashes then decide. A null text is an empty one and has no spans. Equal texts have equal spans; repeated
 rows count as documents of their own, but as one text. An empty table gives an empty table; other columns are ignored.
 """
 
@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from placemetrics.llm.common import slices, stored, table
 from placemetrics.llm.near_dedup import _Powers, _mix, normal
 
-WINDOW, BITS, GENERALISE, REMOVE, Z = 8, 6.0, 0.5, 0.8, 1.0
+WINDOW, BITS, GENERALISE, REMOVE, Z = 8, 6.0, 0.5, 0.8, 1.2816
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "generalise", "remove")
-#: Bits of a filter.
-FILTER = 1 << 20
+#: Bits of a filter: sixteen a term or more, between these bounds; a fuller one lets more words through to the joins.
+FILTER, MOST_FILTER = 1 << 20, 1 << 24
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -147,15 +147,19 @@ def entities(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _filter(terms: DataFrame) -> np.ndarray:
-    """Which of FILTER buckets hold a term."""
-    found = terms.select(F.pmod("term", F.lit(FILTER)).alias("bucket")).groupBy("bucket").agg(F.lit(1).alias("one")).select("bucket").toArrow()  # FILTER rows at most
-    out = np.zeros(FILTER, dtype=bool)
+    """Which buckets of hashed terms hold one: a bitmap whose size is a power of two."""
+    size = FILTER
+    n = terms.select("term").distinct().count()
+    while size < 16 * n and size < MOST_FILTER:
+        size *= 2
+    found = terms.select(F.pmod("term", F.lit(size)).alias("bucket")).groupBy("bucket").agg(F.lit(1).alias("one")).select("bucket").toArrow()  # MOST_FILTER rows at most
+    out = np.zeros(size, dtype=bool)
     out[found["bucket"].to_numpy()] = True
     return np.packbits(out)
 
 
 def _worth(hashed: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    return bits[(hashed & np.uint64(FILTER - 1)).astype(np.int64)]
+    return bits[(hashed & np.uint64(len(bits) - 1)).astype(np.int64)]
 
 
 def document_counts(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
@@ -166,7 +170,7 @@ def document_counts(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
         import pyarrow as pa
 
         bits = np.unpackbits(shared.value).astype(bool)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             seen = []
             for t in batch.column(0):
                 hashed = term_hashes(normal(t.as_py() or ""))
@@ -185,7 +189,7 @@ def term_places(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
         import pyarrow as pa
 
         bits = np.unpackbits(shared.value).astype(bool)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             done, rows = set(), []
             for t in batch.column(0):
                 body = t.as_py() or ""
@@ -212,7 +216,8 @@ def revealing(found: DataFrame, df: DataFrame, text: str) -> DataFrame:
     pairs = near.select("t1", F.explode(F.arrays_zip("entities", "terms")).alias("p")).select("t1", "p.entities", "p.terms")
     by_text = pairs.groupBy("entities", "terms", "t1").agg(F.count("*").alias("n"))
     together = by_text.groupBy(F.col("entities").alias("entity"), F.col("terms").alias("term")).agg(F.count("*").alias("texts"), F.sum("n").alias("n_both"))
-    together = stored(together, "pii-pairs")
+    # the lower end for a share of one: what more texts without the entity could only bring down
+    together = stored(together.filter(F.col("texts") / (F.col("texts") + F.lit(Z**2)) + 1e-9 >= GENERALISE), "pii-pairs")
     held = near.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     n_docs = document_counts(df, together, text)
     joined = together.join(n_docs, "term").join(held, "entity")

@@ -179,7 +179,8 @@ def giving_away(texts: dict[int, str]) -> dict[int, list[tuple[int, int, int]]]:
     for (name, term), by in together.items():
         share = len(rows[name, term]) / n_docs[term]
         n = len(by) / share
-        low = (share + 1 / (2 * n) - math.sqrt(share * (1 - share) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+        z = 1.2816
+        low = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
         if low + 1e-9 >= 0.5 and math.log2(share / (len(entities[name]) / len(texts))) >= 6:
             kinds[term] = max(kinds.get(term, 0), 5 if low + 1e-9 >= 0.8 else 4)
     return {i: sorted((kinds[t[m.start() : m.end()].lower()], m.start(), m.end()) for m in word.finditer(t) if t[m.start() : m.end()].lower() in kinds) for i, t in texts.items()}
@@ -192,14 +193,30 @@ def test_added_spans_equal_brute_force(spark):
     got = pii.find(spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")).collect()
     want = giving_away(texts)
     assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.added] for r in got} == want
-    assert sum(map(len, want.values())) > 20
+    kinds = Counter(kind for spans in want.values() for kind, _, _ in spans)
+    assert kinds[5] >= 20 and sum(kinds.values()) >= 20
+
+
+def test_terms_need_more_than_one_text(spark):
+    """Planted terms near their entity in 1, 2, 3 and 10 texts, and in 3 texts of which one is a copy; single words are no evidence."""
+    words = ["river", "stone", "window", "garden", "paper", "silver", "forest", "market"]
+    given, planted = [], {"onceling": 1, "twicerin": 2, "thricebel": 3, "tenfoldar": 10}
+    for term, n in planted.items():
+        given += [(len(given) + k, f"{words[k % 8]} and {words[(k + 3) % 8]} by {term} at {term[:4]}x@example.com, single{term}{k}") for k in range(n)]
+    given += [(100 + k, "a note of copyfell at copy@example.com") for k in range(3)]
+    given += [(1000 + k, f"{words[k % 8]} and {words[(k // 8) % 8]} by the {words[(k // 64) % 8]} at a note of number {k}") for k in range(1500)]
+    texts = dict(given)
+    got = pii.find(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    marked = Counter((pii.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for r in got for s in r.added)
+    assert marked == {("generalise", "twicerin"): 2, ("generalise", "thricebel"): 3, ("remove", "tenfoldar"): 10}
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.added] for r in got} == giving_away(texts)
 
 
 def test_sanitised_texts(spark):
-    given = [(i, f"note {i} river{i} from Zanzibarson zan@example.com end{i}") for i in range(3)] + [(i, f"some other note from {i}") for i in range(10, 400)] + [(5, "Zanzibarson alone"), (6, None), (7, "call +44 20 7946 0958 now")]
+    given = [(i, f"note {i} river{i} from Zanzibarson zan@example.com end{i}") for i in range(5)] + [(i, f"some other note from {i}") for i in range(10, 400)] + [(5, "Zanzibarson alone"), (6, None), (7, "call +44 20 7946 0958 now")]
     got = {r.doc_id: r.text for r in pii.sanitised(spark.createDataFrame(given, "doc_id long, text string")).collect()}
-    assert got[0] == "note 0 <code> from <name> <email> <code>" and got[5] == "<name> alone" and got[6] is None and got[10] == "some other note from 10"
-    assert got[7] == "<word> <phone> <word>"  # words that stand nowhere else
+    assert got[0] == "note 0 river0 from <name> <email> end0" and got[5] == "<name> alone" and got[6] is None and got[10] == "some other note from 10"
+    assert got[7] == "call <phone> now"
 
 
 def test_held_out_labels_of_the_test_data(spark):
