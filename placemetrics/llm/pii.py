@@ -33,6 +33,8 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "generalise", "remove")
 #: Bits of a filter: sixteen a term or more, between these bounds; a fuller one lets more words through to the joins.
 FILTER, MOST_FILTER = 1 << 20, 1 << 24
+#: Terms whose counts a task holds before it hands them on.
+HELD = 1 << 18
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -169,14 +171,23 @@ def document_counts(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def rows(terms: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(n)], names=["term", "n"])
+
         bits = np.unpackbits(shared.value).astype(bool)
+        held, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in (part for whole in batches for part in slices(whole, text)):
             seen = []
             for t in batch.column(0):
                 hashed = term_hashes(normal(t.as_py() or ""))
                 seen.append(np.unique(hashed[_worth(hashed, bits)]))
             each, n = np.unique(np.concatenate(seen) if seen else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
+            held, where = np.unique(np.concatenate((held, each)), return_inverse=True)
+            counts = np.bincount(where, weights=np.concatenate((counts, n)), minlength=len(held)).astype(np.int64)
+            if len(held) >= HELD:
+                yield rows(held, counts)
+                held, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield rows(held, counts)
 
     return df.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_docs"))
 
