@@ -143,6 +143,13 @@ def _ring_edges(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, "ring-edges", lambda: polygons.edges(world.rings(spark, sf)))
 
 
+def _ring_shapes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Edges of each distinct ring by its number, and the rings that have it."""
+    shape = derived(spark, sf, "ring-shapes", lambda: polygons.shapes(world.rings(spark, sf)))
+    edge = derived(spark, sf, "ring-shape-edges", lambda: polygons.edges(shape, ("shape",)))
+    return edge, derived(spark, sf, "ring-owners", lambda: polygons.owners(world.rings(spark, sf), shape))
+
+
 def _bridge(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, "bridge", lambda: polygons.bridge(_edges(spark, sf), (8,), keep=stored))
 
@@ -250,18 +257,21 @@ _ORDERED = _POINTS.replace("c_custkey", "o_orderkey").replace("customer", "order
 @query(f"WITH {geo.RING_EDGES}, {_ORDERED}, usable AS (SELECT * FROM s WHERE status = 'ok') SELECT k::VARCHAR AS row_key, boundary_set, min(boundary_id) AS boundary_id FROM ({geo.inside('usable', 'e', ['k'], 'lo', 'la')}) GROUP BY 1, 2")
 def ring_membership(spark: SparkSession, sf: str) -> DataFrame:
     """Orders' points in slanted polygons, by cells of resolution 10."""
-    points = stored(cells.points(world.coordinates(table(spark, sf, "orders"), "o_orderkey"), "orders", "o_orderkey", "lat_text", "lon_text"), "order-points")
-    return membership.assign_by_runs(points, _ring_runs(spark, sf), _ring_edges(spark, sf), 10).select("row_key", "boundary_set", "boundary_id")
+    points = cells.points(world.coordinates(table(spark, sf, "orders"), "o_orderkey"), "orders", "o_orderkey", "lat_text", "lon_text")
+    points = stored(points.select("source_table", "row_key", "latitude", "longitude", "is_usable_coordinate", "h3_r10"), "order-points")
+    edge, owned = _ring_shapes(spark, sf)
+    return membership.assign_by_runs(points, _ring_runs(spark, sf), edge, 10, stored, owned).select("row_key", "boundary_set", "boundary_id")
 
 
 def _ring_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return derived(spark, sf, "ring-runs", lambda: polygons.compact_cover(_ring_edges(spark, sf), 10, keep=stored))
+    """Runs of each distinct ring."""
+    return derived(spark, sf, "ring-runs", lambda: polygons.compact_cover(_ring_shapes(spark, sf)[0], 10, ("shape",), stored))
 
 
 @query(f"WITH {geo.RING_EDGES}, {geo.bridge('e', (10,))} SELECT boundary_set, boundary_id, {geo.packed('q', 'r', 10)} AS h3_cell, is_center AND NOT is_touched AS is_interior FROM cov_10")
 def compact_cover(spark: SparkSession, sf: str) -> DataFrame:
     """The cells that the runs of the compact cover stand for."""
-    runs = _ring_runs(spark, sf).withColumn("q", F.explode(F.sequence("q0", "q1")))
+    runs = _ring_runs(spark, sf).join(_ring_shapes(spark, sf)[1], "shape").withColumn("q", F.explode(F.sequence("q0", "q1")))
     return runs.select("boundary_set", "boundary_id", cells.pack(F.col("q"), F.col("r"), 10).alias("h3_cell"), "is_interior")
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from placemetrics import queries
 from placemetrics.operators import cells, membership, polygons, profile, ranks, reconcile, versions
 from placemetrics.plans import activity
 from placemetrics.sources import landing
@@ -149,3 +150,41 @@ def test_a_zone_is_read_by_its_schema_log(spark, tmp_path):
     assert set(whole.columns) == {"a", "b", "c", "d", "_ingested_at", "_ingest_run_id", "ingest_date"} and whole.count() == 3
     assert {"c", "d"}.isdisjoint(landing.read_raw(spark, raw, ["2024-01-01"]).columns)
     assert landing.read_raw(spark, raw, ["2024-01-02", "2024-01-03"]).orderBy("ingest_date").select("a", "b", "c", "d").collect() == [(None, "1", "2", None), ("1", None, None, "2")]
+
+
+@pytest.fixture(scope="module")
+def copied(spark, small, tmp_path_factory):
+    """Suppliers and orders once and four times, the copies shifted by keys that put rings and points where the first ones lie."""
+    at = {n: str(tmp_path_factory.mktemp(f"copies{n}")) for n in (1, 4)}
+    for n, path in at.items():
+        for name, key, shift in (("supplier", "s_suppkey", 7000), ("orders", "o_orderkey", 97 * 3_036_000)):
+            copy = spark.range(n).withColumnRenamed("id", "copy")
+            spark.read.parquet(f"{small}/{name}.parquet").crossJoin(copy).withColumn(key, F.col(key) + F.col("copy") * shift).drop("copy").write.parquet(f"{path}/{name}.parquet")
+    return at
+
+
+def test_copies_of_points_and_rings_are_tested_once(spark, copied, monkeypatch):
+    tested, real = {}, polygons.inside
+    for n, path in copied.items():
+        counts = tested[n] = []
+        monkeypatch.setattr(polygons, "inside", lambda candidates, *more, _to=counts: _to.append(candidates.count()) or real(candidates, *more))
+        rows = queries.ring_membership(spark, path).collect()
+        if n == 1:
+            once = {(int(r.row_key), int(r.boundary_set[4:]), int(r.boundary_id)) for r in rows}
+    assert tested[1] == tested[4] and min(tested[1]) > 0
+    got = [(int(r.row_key), int(r.boundary_set[4:]), int(r.boundary_id)) for r in rows]
+    assert sorted(got) == sorted((k + 97 * 3_036_000 * i, s + 7 * j, b + 7000 * j) for k, s, b in once for i in range(4) for j in range(4)) and once
+
+
+def test_membership_by_shapes_is_membership_by_boundaries(spark, stars):
+    again = stars.filter("boundary_id <> 'flat'").withColumns({"boundary_id": F.concat(F.lit("a"), "boundary_id"), "boundary_set": F.when(F.col("boundary_id") == "holed", "u").otherwise(F.col("boundary_set"))})
+    both, rng = stars.unionByName(again), random.Random(5)
+    given = [(str(i), *rng.choice([(str(rng.uniform(37.6, 37.85)), str(rng.uniform(-122.75, -122.28))), ("37.7", "-122.5"), ("37.75", "-122.31"), ("37.8", "-122.6")])) for i in range(500)]
+    points = cells.points(spark.createDataFrame(given, "k string, lat string, lon string"), "t", "k", "lat", "lon")
+    shape = stored(polygons.shapes(both), "shapes")
+    owned, edge = polygons.owners(both, shape), polygons.edges(shape, ("shape",))
+    assert shape.count() == 4 and owned.count() == 7
+    got = membership.assign_by_runs(points, polygons.compact_cover(edge, 10, ("shape",), stored), edge, 10, stored, owned).cache()
+    want = membership.assign(points, polygons.bridge(polygons.edges(both), (10,), keep=stored), polygons.edges(both), 10)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    assert {r.assignment_method for r in got.collect()} == {"interior_cell", "exact_refinement"} and got.select("boundary_set").distinct().count() == 3
