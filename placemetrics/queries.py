@@ -155,7 +155,7 @@ def _bridge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ring_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    return derived(spark, sf, "ring-bridge", lambda: polygons.bridge(_ring_edges(spark, sf), (8, 10), keep=stored))
+    return derived(spark, sf, "ring-bridge", lambda: ring_bridge(spark, sf))
 
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,7 +243,8 @@ def bridge(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {geo.RING_EDGES}, {geo.bridge('e', (8, 10))} SELECT * FROM bridge")
 def ring_bridge(spark: SparkSession, sf: str) -> DataFrame:
     """Slanted, holed and tiny polygons at both resolutions."""
-    return polygons.bridge(_ring_edges(spark, sf), (8, 10), keep=stored)
+    edge, owned = _ring_shapes(spark, sf)
+    return polygons.bridge(edge, (8, 10), ("shape",), stored, owned)
 
 
 @query(f"WITH {geo.RING_EDGES}, {geo.bridge('e', (8, 10))} SELECT boundary_set, resolution, count(*) AS covering, count(*) FILTER (is_interior) AS interior, round(100.0 * count(*) FILTER (NOT is_interior) / count(*), 6) AS pct_on_boundary FROM bridge GROUP BY 1, 2")

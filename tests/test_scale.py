@@ -188,3 +188,13 @@ def test_membership_by_shapes_is_membership_by_boundaries(spark, stars):
     want = membership.assign(points, polygons.bridge(polygons.edges(both), (10,), keep=stored), polygons.edges(both), 10)
     assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
     assert {r.assignment_method for r in got.collect()} == {"interior_cell", "exact_refinement"} and got.select("boundary_set").distinct().count() == 3
+
+
+def test_copies_of_rings_are_covered_once(spark, copied, monkeypatch):
+    walked, rows, real = {}, {}, polygons.cover
+    for n, path in copied.items():
+        counts = walked[n] = []
+        monkeypatch.setattr(polygons, "cover", lambda edge, *more, _to=counts: _to.append(edge.count()) or real(edge, *more))
+        rows[n] = [(int(r.boundary_set[4:]), int(r.boundary_id), *r[2:]) for r in queries.ring_bridge(spark, path).collect()]
+    assert walked[1] == walked[4] and min(walked[1]) > 0
+    assert sorted(rows[4]) == sorted((s + 7 * j, b + 7000 * j, *more) for s, b, *more in rows[1] for j in range(4)) and len(rows[1]) > 500
